@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forecourt.operators import quality, reconcile
 from forecourt.plans import customer, inventory, reporting, sales, service
 from forecourt.plans.warehouse import Warehouse
 from forecourt.sources.order_tables import read_order_tables
@@ -90,8 +92,31 @@ VIEWS: dict[str, Plan] = {
 }
 
 
+MODEL_CHECKS = (
+    "dimension_key_uniqueness", "fact_grain_uniqueness", "required_foreign_keys_and_role_alignment",
+    "inventory_composite_grain", "repair_order_unique_within_appointments",
+    "service_status_enrichment_preserves_grain", "appointments_not_lost", "sales_eligible_rows_preserved",
+    "inventory_rows_preserved", "calendar_source_unique_contiguous",
+    "full_year_calendar_bounds_cover_event_dates", "calendar_bounds_available", "date_key_matches_date",
+    "signed_return_values", "service_costs_not_fabricated", "slow_moving_and_bucket_boundaries",
+)
+
+CHECKS: dict[str, Plan] = {
+    **{f"{i}_check": partial(quality.check, check_id=i) for i in quality.TEXTS},
+    "dq_all_checks": quality.checks,
+    "rc_sal_sales": reconcile.sales_checks,
+    "rc_inv_inventory": reconcile.inventory_checks,
+    "rc_svc_service": reconcile.service_checks,
+    "rc_cus_customers": reconcile.customer_checks,
+    "rc_rep_reporting_views": reconcile.reporting_checks,
+    "rc_mdl_star_model": reconcile.model_checks,
+    **{f"md_{n:02d}_{name}": partial(reconcile.model_checks, only=name)
+       for n, name in enumerate(MODEL_CHECKS, start=1)},
+}
+
+
 def plans() -> dict[str, Plan]:
-    return {**VIEWS}
+    return {**VIEWS, **CHECKS}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -102,6 +127,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from forecourt.oracle import views
+    from forecourt.oracle import checks, views
 
-    return {**views.SQL}
+    return {**views.SQL, **checks.SQL}
