@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from datetime import date
+from decimal import Decimal
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forecourt.operators import quality, reconcile
-from forecourt.plans import customer, inventory, reporting, sales, service
+from forecourt.operators import measures, quality, reconcile, scenarios
+from forecourt.plans import customer, inventory, model, pages, reporting, sales, service
+from forecourt.plans.model import SemanticModel
 from forecourt.plans.warehouse import Warehouse
 from forecourt.sources.order_tables import read_order_tables
 from forecourt.sources.store import TableStore, shared_folder
@@ -115,8 +118,55 @@ CHECKS: dict[str, Plan] = {
 }
 
 
+def _rounded(frame: DataFrame) -> DataFrame:
+    """Unrounded quotients to 8 decimals, so that both engines can be compared exactly."""
+    return frame.select([
+        F.round(F.col(f.name), 8).alias(f.name)
+        if isinstance(f.dataType, T.DecimalType) and f.dataType.scale > 8 else F.col(f.name)
+        for f in frame.schema.fields
+    ])
+
+
+def _over_model(build: Callable[[SemanticModel], DataFrame]) -> Plan:
+    return lambda w: _rounded(build(SemanticModel.of(w)))
+
+
+MODEL: dict[str, Plan] = {
+    **{f"mdl_{n:02d}_{name}": partial(model.model_table, name=name)
+       for n, name in enumerate(model.TABLES, start=1)},
+    **{f"k_{n:02d}_{name}": _over_model(partial(measures.measure, name=name))
+       for n, name in enumerate(measures.CATALOGUE, start=1)},
+    "k_all_kpis": _over_model(measures.kpis),
+    **{name: _over_model(partial(measures.report, name=name)) for name in measures.REPORTS},
+    "gq_18_drill_through": _over_model(measures.drill_through),
+    "rc_alt_kpis": lambda w: _rounded(scenarios.alternate_kpis(w)),
+    "rc_scn_scenarios": _over_model(scenarios.scenario_kpis),
+}
+
+SALES_FILTER = {"date_from": date(1996, 1, 1), "date_to": date(1999, 6, 30),
+                "payment_type": "Cash", "sale_status": "Completed"}
+VISIT_FILTER = {"date_from": date(2024, 1, 5), "service_type": "Repair"}
+
+PAGES: dict[str, Plan] = {
+    **{f"pg_{n:02d}_{name}": partial(pages.page, name=name)
+       for n, name in enumerate(("sales", "inventory", "service", "customers", "dealerships"), start=1)},
+    "pg_06_sales_summary": partial(pages.sales_summary, **SALES_FILTER),
+    "pg_07_sales_performance": partial(pages.page, name="sales_performance", limit=200, offset=50, **SALES_FILTER),
+    "pg_08_inventory_aging": partial(pages.page, name="inventory_aging", limit=500, offset=20,
+                                     date_from=date(1997, 1, 1), aging_bucket="91-120"),
+    "pg_09_inventory_slow_moving": partial(pages.page, name="inventory_slow_moving", limit=300, brand="Brand#2"),
+    "pg_10_service_revenue": partial(pages.service_revenue, **VISIT_FILTER),
+    "pg_11_service_performance": partial(pages.page, name="service_performance", offset=10,
+                                         appointment_status="Completed", **VISIT_FILTER),
+    "pg_12_customer_value": partial(pages.page, name="customer_value", relationship_segment="Sales + Service",
+                                    minimum_value=Decimal("100000")),
+    "pg_13_dealership_performance": partial(pages.page, name="dealership_performance", region="ASIA",
+                                            minimum_revenue=Decimal("0")),
+}
+
+
 def plans() -> dict[str, Plan]:
-    return {**VIEWS, **CHECKS}
+    return {**VIEWS, **CHECKS, **MODEL, **PAGES}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -128,5 +178,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     from forecourt.oracle import checks, views
+    from forecourt.oracle import model as model_sql
 
-    return {**views.SQL, **checks.SQL}
+    return {**views.SQL, **checks.SQL, **model_sql.SQL}
