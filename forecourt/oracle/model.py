@@ -253,25 +253,25 @@ def _family(key: str, prefix: str, members: str) -> str:
     count(DISTINCT vehicle_key) FILTER (slow) AS sl FROM now_stock GROUP BY 1) USING ({key})"""
 
 
-CTX["service_months"] = "\n  SELECT DISTINCT date_trunc('month', completed_at)::DATE AS m FROM fservice"
+CTX["service_months"] = "\n  SELECT DISTINCT date_trunc('month', completed_at)::DATE AS mo FROM fservice"
 CTX["month_rows"] = """
-  SELECT 'month_' || strftime(m, '%Y%m') AS scenario, r, u, g, sr, so, vc, ve, q, rp, iu, iv, ia, sl, iu IS NOT NULL AS held,
-    (SELECT sum(rev_c) FROM sd WHERE sale_date < m + INTERVAL 1 MONTH) AS hr,
-    (SELECT sum(revenue_c) FROM done WHERE done_d < m + INTERVAL 1 MONTH) AS hs
+  SELECT 'month_' || strftime(mo, '%Y%m') AS scenario, r, u, g, sr, so, vc, ve, q, rp, iu, iv, ia, sl, iu IS NOT NULL AS held,
+    (SELECT sum(rev_c) FROM sd WHERE sale_date < mo + INTERVAL 1 MONTH) AS hr,
+    (SELECT sum(revenue_c) FROM done WHERE done_d < mo + INTERVAL 1 MONTH) AS hs
   FROM service_months
-  LEFT JOIN (SELECT date_trunc('month', sale_date)::DATE AS m, sum(rev_c) AS r, sum(units) AS u, sum(gp_c) AS g
-    FROM sd GROUP BY 1) USING (m)
-  LEFT JOIN (SELECT date_trunc('month', done_d)::DATE AS m, sum(revenue_c) AS sr, count(DISTINCT service_order_id) AS so
-    FROM done GROUP BY 1) USING (m)
-  LEFT JOIN (SELECT date_trunc('month', appointment_date)::DATE AS m, sum(done) AS vc, sum(eligible) AS ve
-    FROM vd GROUP BY 1) USING (m)
-  LEFT JOIN (SELECT m, count(*) AS q, count(*) FILTER (n > 1) AS rp FROM (SELECT m, customer_key, count(*) AS n FROM (
-    SELECT date_trunc('month', sale_date)::DATE AS m, customer_key FROM sd WHERE sale_status = 'Completed'
-    UNION ALL SELECT date_trunc('month', done_d)::DATE, customer_key FROM done) GROUP BY 1, 2) GROUP BY 1) USING (m)
-  LEFT JOIN (SELECT m, sum(units) AS iu, sum(value_c) AS iv, sum(days * units) AS ia,
+  LEFT JOIN (SELECT date_trunc('month', sale_date)::DATE AS mo, sum(rev_c) AS r, sum(units) AS u, sum(gp_c) AS g
+    FROM sd GROUP BY 1) USING (mo)
+  LEFT JOIN (SELECT date_trunc('month', done_d)::DATE AS mo, sum(revenue_c) AS sr, count(DISTINCT service_order_id) AS so
+    FROM done GROUP BY 1) USING (mo)
+  LEFT JOIN (SELECT date_trunc('month', appointment_date)::DATE AS mo, sum(done) AS vc, sum(eligible) AS ve
+    FROM vd GROUP BY 1) USING (mo)
+  LEFT JOIN (SELECT mo, count(*) AS q, count(*) FILTER (n > 1) AS rp FROM (SELECT mo, customer_key, count(*) AS n FROM (
+    SELECT date_trunc('month', sale_date)::DATE AS mo, customer_key FROM sd WHERE sale_status = 'Completed'
+    UNION ALL SELECT date_trunc('month', done_d)::DATE, customer_key FROM done) GROUP BY 1, 2) GROUP BY 1) USING (mo)
+  LEFT JOIN (SELECT mo, sum(units) AS iu, sum(value_c) AS iv, sum(days * units) AS ia,
     count(DISTINCT vehicle_key) FILTER (slow) AS sl
-    FROM (SELECT m, (SELECT max(snapshot_date) FROM idt WHERE snapshot_date < m + INTERVAL 1 MONTH) AS last_d FROM service_months)
-    JOIN idt ON snapshot_date = last_d GROUP BY 1) USING (m)"""
+    FROM (SELECT mo, (SELECT max(snapshot_date) FROM idt WHERE snapshot_date < mo + INTERVAL 1 MONTH) AS last_d FROM service_months)
+    JOIN idt ON snapshot_date = last_d GROUP BY 1) USING (mo)"""
 _ALL = _family("one", "", "(SELECT 1 AS one)").replace("'' || one::VARCHAR", "'all'")
 _ALL = re.sub(r"FROM (sd|done|vd|now_stock)\b", r"FROM (SELECT *, 1 AS one FROM \1)", _ALL)
 _NOTHING = "SELECT '{}', " + ", ".join(["NULL"] * 13) + ", {}, NULL, NULL"
