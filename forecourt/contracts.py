@@ -46,6 +46,9 @@ class Dataset:
     def field(self, name: str) -> Field:
         return next(f for f in self.fields if f.name == name)
 
+    def knows(self, name: str) -> bool:
+        return name in self.columns
+
     def where(self, test) -> list[Field]:
         return [f for f in self.fields if test(f)]
 
