@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
+from forecourt.contracts import DATASETS
 from forecourt.operators import warehouse as load
 from forecourt.sources.store import LAYOUTS, TableStore
 
@@ -54,8 +55,12 @@ class Warehouse:
                 self._ready[name] = frame
             return self._ready[name]
 
+    def sources(self) -> dict[str, DataFrame]:
+        """The source datasets."""
+        return {name: self.table(name) for name in DATASETS}
+
     def replace(self, **tables: DataFrame) -> Warehouse:
-        """A lazy warehouse with some tables replaced; everything derived is rebuilt."""
+        """A lazy warehouse with some tables replaced; detail views are rebuilt, ready dimensions and facts kept."""
         base = {n: f for n, f in self._given.items()}
         base.update({n: f for n, f in self._ready.items() if n in DIMENSIONS + FACTS})
         return Warehouse({**base, **tables})

@@ -12,10 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forecourt.operators import measures, quality, reconcile, scenarios
+from forecourt.contracts import DATASETS
+from forecourt.operators import constraints, measures, profile, quality, reconcile, scenarios
+from forecourt.operators.clean import clean_datasets, written_stages
+from forecourt.operators.warehouse import repair_unit_signs
 from forecourt.plans import customer, inventory, model, pages, reporting, sales, service
 from forecourt.plans.model import SemanticModel
-from forecourt.plans.warehouse import Warehouse
+from forecourt.plans.warehouse import DIMENSIONS, FACTS, Warehouse
+from forecourt.sources.faulty import faulty
 from forecourt.sources.order_tables import read_order_tables
 from forecourt.sources.store import TableStore, shared_folder
 
@@ -165,8 +169,103 @@ PAGES: dict[str, Plan] = {
 }
 
 
+LOADED = (*DIMENSIONS, *FACTS)
+
+LOAD: dict[str, Plan] = {
+    **{f"ld_{n:02d}_{name}": (lambda w, name=name: w.table(name).drop("loaded_at"))
+       for n, name in enumerate(LOADED, start=1)},
+    "ld_10_constraints": constraints.violations,
+    "ld_11_row_reconciliation": constraints.row_reconciliation,
+    "ld_12_repaired_unit_signs": lambda w: repair_unit_signs(
+        w.table("fact_sales").withColumn("unit_quantity", F.lit(1).cast("smallint"))
+    ).select("sale_id", "sale_status", "unit_quantity"),
+}
+
+
+class Faulty:
+    """The faulty datasets of a folder, written once, and the cleaning run over them."""
+
+    def __init__(self, w: Warehouse):
+        spark = w.table("customers").sparkSession
+        self._stage = written_stages(spark)
+        broken = faulty(w.sources())
+        self.datasets = {name: self._stage(f"faulty_{name}", frame) for name, frame in broken.items()}
+        self._cleaned: tuple[dict[str, DataFrame], DataFrame] | None = None
+
+    @property
+    def cleaned(self) -> tuple[dict[str, DataFrame], DataFrame]:
+        if self._cleaned is None:
+            tables, audit = clean_datasets(self.datasets, stage=self._stage)
+            self._cleaned = tables, self._stage("audit", audit)
+        return self._cleaned
+
+    @property
+    def validation(self) -> DataFrame:
+        return profile.validation_report(self.datasets)
+
+    @property
+    def relations(self) -> DataFrame:
+        return profile.foreign_key_report(self.datasets)
+
+
+_faulty: dict[int, Faulty] = {}
+
+
+def _broken(w: Warehouse) -> Faulty:
+    with _lock:
+        if id(w) not in _faulty:
+            _faulty[id(w)] = Faulty(w)
+        return _faulty[id(w)]
+
+
+# The audited action of each cleaning step.
+CLEANING_STEPS = {
+    "cln_02_standardized_strings": "standardized string values",
+    "cln_03_invalid_dates": "invalid date coerced to null",
+    "cln_04_invalid_numbers": "invalid number coerced to null",
+    "cln_05_invalid_booleans": "invalid boolean coerced to null",
+    "cln_06_standardized_categories": "standardized category",
+    "cln_07_duplicate_rows": "removed duplicate rows",
+    "cln_08_duplicate_keys": "removed duplicate primary keys",
+    "cln_09_negative_values": "invalid negative value set to null",
+    "cln_10_missing_critical": "removed rows missing critical values",
+    "cln_11_filled_descriptions": "filled missing descriptive values",
+    "cln_12_sale_price": "recalculated sale_price",
+    "cln_13_gross_profit": "recalculated gross_profit",
+    "cln_14_acquired_after_snapshot": "removed rows with acquisition after snapshot",
+    "cln_15_days_in_inventory": "recalculated days_in_inventory",
+    "cln_16_slow_moving_flag": "recalculated slow_moving_flag",
+    "cln_17_timestamp_order": "removed rows with invalid timestamp order",
+    "cln_18_service_revenue": "recalculated service_revenue",
+    "cln_19_orphans": "removed broken foreign-key rows",
+    "cln_20_employee_roles": "removed rows with invalid employee role",
+    "cln_21_follow_appointment": "reconciled value to appointment",
+    "cln_22_sold_inventory": "removed vehicles also present in sales",
+    "cln_23_relational_dates": "removed rows with invalid relational dates",
+}
+
+SOURCES: dict[str, Plan] = {
+    "prf_1_dataset_profile": lambda w: profile.dataset_profile(_broken(w).datasets),
+    "prf_2_column_profile": lambda w: profile.column_profile(_broken(w).datasets),
+    "prf_3_foreign_keys": lambda w: _broken(w).relations,
+    "prf_4_validation": lambda w: _broken(w).validation,
+    "prf_5_outcome": lambda w: profile.outcome(_broken(w).validation, _broken(w).relations),
+    "prf_6_summary": lambda w: profile.summary(_broken(w).datasets, _broken(w).validation, _broken(w).relations),
+    **{name: (lambda w, action=action: _broken(w).cleaned[1].where(F.col("action") == action))
+       for name, action in CLEANING_STEPS.items()},
+    "cln_24_audit": lambda w: _broken(w).cleaned[1],
+    **{f"cln_24_cleaned_{name}": (lambda w, name=name: _whole_as_double(name, _broken(w).cleaned[0][name]))
+       for name in DATASETS},
+}
+
+
+def _whole_as_double(name: str, frame: DataFrame) -> DataFrame:
+    """Every numeric column as DOUBLE, whatever its width."""
+    return frame.withColumns({f.name: F.col(f.name).cast("double") for f in DATASETS[name].numbers})
+
+
 def plans() -> dict[str, Plan]:
-    return {**VIEWS, **CHECKS, **MODEL, **PAGES}
+    return {**LOAD, **VIEWS, **CHECKS, **MODEL, **PAGES, **SOURCES}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -177,7 +276,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from forecourt.oracle import checks, views
+    from forecourt.oracle import checks, load, views
     from forecourt.oracle import model as model_sql
 
-    return {**views.SQL, **checks.SQL, **model_sql.SQL}
+    return {**load.SQL, **views.SQL, **checks.SQL, **model_sql.SQL}
