@@ -154,10 +154,6 @@ ROWS_SQL = _q("\n  UNION ALL ".join([
     "SELECT 'dim_service', NULL, (SELECT count(*) FROM kinds), 'PASS'"]))
 
 # -- the faulty text datasets ------------------------------------------------------------
-TWO = "(({})::DECIMAL(18,2) / 100)::DECIMAL(18,2)::VARCHAR".format
-ID = {"dealership": "(SELECT dealership_id FROM dealers d WHERE d.dealership_key = x.dealership_key)"}
-
-
 def _decimal(column: str) -> str:
     return f"printf('%d.%02d', {column} // 100, {column} % 100)"
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
-from functools import partial
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,12 @@ from pyspark.sql import types as T
 from forecourt.contracts import DATASETS
 from forecourt.operators import constraints, measures, profile, quality, reconcile, scenarios
 from forecourt.operators.clean import clean_datasets, written_stages
+from forecourt.operators.scoring import union_all
 from forecourt.operators.warehouse import repair_unit_signs
 from forecourt.plans import customer, inventory, model, pages, reporting, sales, service
 from forecourt.plans.model import SemanticModel
 from forecourt.plans.warehouse import DIMENSIONS, FACTS, Warehouse
+from forecourt.sources import files
 from forecourt.sources.faulty import faulty
 from forecourt.sources.order_tables import read_order_tables
 from forecourt.sources.store import TableStore, shared_folder
@@ -259,13 +262,117 @@ SOURCES: dict[str, Plan] = {
 }
 
 
+class Files:
+    """Text files written from the datasets of a folder, once, and what is read back from them."""
+
+    def __init__(self, w: Warehouse):
+        self.w, self.spark = w, w.table("customers").sparkSession
+        self.root = f"{shared_folder(self.spark)}/forecourt/files-{uuid.uuid4().hex[:12]}"
+
+    @cached_property
+    def plain(self) -> str:
+        files.write_datasets(self.w.sources(), f"{self.root}/plain")
+        return f"{self.root}/plain"
+
+    @cached_property
+    def cleaned(self) -> str:
+        tables, audit = _broken(self.w).cleaned
+        files.write_datasets(tables, f"{self.root}/cleaned")
+        files.write_audit(audit, f"{self.root}/cleaned")
+        return f"{self.root}/cleaned"
+
+    @cached_property
+    def reports(self) -> dict[str, object]:
+        return files.profile_folder(self.spark, self.plain, f"{self.root}/reports")
+
+    @cached_property
+    def published(self) -> Warehouse:
+        for name in (*DIMENSIONS, *FACTS):
+            self.w.table(name)
+        self.w.store.publish([*DIMENSIONS, *FACTS])
+        return Warehouse.current(self.spark, self.w.store.root)
+
+    @cached_property
+    def model(self) -> dict[str, str]:
+        return files.export_model({n: model.model_table(self.w, n) for n in model.TABLES}, f"{self.root}/model")
+
+    @cached_property
+    def staged(self) -> dict[str, DataFrame]:
+        return files.stage_datasets(self.spark, self.plain, f"{self.root}/staging")
+
+    def read_csv(self, path: str) -> DataFrame:
+        return self.spark.read.option("header", True).csv(path)
+
+
+_files: dict[int, Files] = {}
+
+
+def _written(w: Warehouse) -> Files:
+    with _lock:
+        return _files.setdefault(id(w), Files(w))
+
+
+def _sizes(tables: dict[str, DataFrame], label: str = "dataset") -> DataFrame:
+    return union_all([
+        frame.agg(F.lit(name).alias(label), F.count("*").alias("rows"), F.lit(len(frame.columns)).alias("columns"))
+        for name, frame in tables.items()])
+
+
+def _staged_blanks(w: Warehouse) -> DataFrame:
+    """Rows, NULL cells and load times per staged dataset."""
+    parts = []
+    for name, frame in _written(w).staged.items():
+        nulls = [F.col(c).isNull().cast("bigint") for c in DATASETS[name].columns]
+        parts.append(frame.agg(F.lit(name).alias("dataset"), F.count("*").alias("rows"),
+                               F.sum(sum(nulls, F.lit(0))).alias("null_cells"), F.count("loaded_at").alias("loaded")))
+    return union_all(parts)
+
+
+def _hashed(w: Warehouse) -> DataFrame:
+    work = _written(w)
+    manifest = files.input_manifest(work.spark, work.plain)
+    complete = F.count_if((F.length("sha256") == 64) & (F.col("size_bytes") > 0)) == F.count("*")
+    return manifest.groupBy("dataset").agg(complete.alias("hashed"))
+
+
+def _model_sizes(w: Warehouse) -> DataFrame:
+    work = _written(w)
+    return _sizes({n: work.spark.read.parquet(path) for n, path in work.model.items()}, "table")
+
+
+FILES: dict[str, Plan] = {
+    "src_1_load_datasets": lambda w: _sizes(files.load_datasets(_written(w).spark, _written(w).plain)),
+    "src_2_preflight_rows": lambda w: files.row_counts(files.load_datasets(_written(w).spark, _written(w).plain)),
+    "src_3_whole_numbers": lambda w: files.whole_number_errors(_broken(w).datasets),
+    "src_4_staging": _staged_blanks,
+    "src_5_manifest": _hashed,
+    "snk_1_cleaned_files": lambda w: _sizes({
+        name: frame for name, frame in files.load_datasets(_written(w).spark, _written(w).cleaned).items()
+        if name in DATASETS}),
+    "snk_2_cleaning_audit": lambda w: _written(w).read_csv(f"{_written(w).cleaned}/cleaning_summary.csv").select(
+        "dataset", "action", F.col("affected_rows").cast("bigint"), F.coalesce("details", F.lit("")).alias("details")),
+    "snk_3_profile_reports": lambda w: _written(w).read_csv(_written(w).reports["reports"]["validation_report"]).select(
+        "dataset", "check", F.col("invalid_count").cast("bigint"), "status"),
+    "snk_4_published_warehouse": lambda w: _sizes(
+        {name: _written(w).published.table(name) for name in (*DIMENSIONS, *FACTS)}, "table"),
+    "snk_5_model_export": _model_sizes,
+}
+
+RECONCILED: dict[str, Plan] = {
+    "rc_rel_relationships": lambda w: model.relationship_errors(SemanticModel.of(w)),
+    "rc_grn_grains": lambda w: model.grain_errors(SemanticModel.of(w)),
+    "rc_cmp_scenarios": lambda w: _rounded(scenarios.scenario_comparison(w)),
+    "rc_all_suites": reconcile.suite_summary,
+}
+
+
 def _whole_as_double(name: str, frame: DataFrame) -> DataFrame:
     """Every numeric column as DOUBLE, whatever its width."""
     return frame.withColumns({f.name: F.col(f.name).cast("double") for f in DATASETS[name].numbers})
 
 
 def plans() -> dict[str, Plan]:
-    return {**LOAD, **VIEWS, **CHECKS, **MODEL, **PAGES, **SOURCES}
+    return {**LOAD, **VIEWS, **CHECKS, **MODEL, **PAGES, **SOURCES, **FILES, **RECONCILED}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -276,7 +383,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from forecourt.oracle import checks, load, views
+    from forecourt.oracle import checks, files, load, views
     from forecourt.oracle import model as model_sql
 
-    return {**load.SQL, **views.SQL, **checks.SQL, **model_sql.SQL}
+    return {**load.SQL, **views.SQL, **checks.SQL, **model_sql.SQL, **files.SQL}
