@@ -206,6 +206,9 @@ def _rule_checks(name: str, frame: DataFrame, has: set[str]) -> list[RowCheck]:
     def later(first: str, second: str) -> Column:
         return F.coalesce(_parsed_day(frame, first) > _parsed_day(frame, second), F.lit(False))
 
+    def shown(column: str) -> Column:
+        return c(column) if column in has else F.lit(None).cast("string")
+
     def money(column: str) -> Column:
         return amount(c(column), "decimal(20,6)")
 
@@ -221,27 +224,27 @@ def _rule_checks(name: str, frame: DataFrame, has: set[str]) -> list[RowCheck]:
         return [
             RowCheck("acquired_date is on or before snapshot_date", later("acquired_date", "snapshot_date")),
             RowCheck("days_in_inventory matches dates",
-                     F.coalesce(number(c("days_in_inventory")) != age, F.lit(True)), c("inventory_id")),
+                     F.coalesce(number(c("days_in_inventory")) != age, F.lit(True)), shown("inventory_id")),
             RowCheck("slow_moving_flag matches 90-day rule",
-                     F.coalesce(flag != slow, F.lit(True)), c("inventory_id")),
+                     F.coalesce(flag != slow, F.lit(True)), shown("inventory_id")),
         ]
     if name == "sales" and {"list_price", "discount_amount", "sale_price", "vehicle_cost", "gross_profit"} <= has:
         return [
             RowCheck("sale_price equals list_price minus discount",
-                     _off(money("list_price") - money("discount_amount"), money("sale_price")), c("sale_id")),
+                     _off(money("list_price") - money("discount_amount"), money("sale_price")), shown("sale_id")),
             RowCheck("gross_profit equals sale_price minus vehicle_cost",
-                     _off(money("sale_price") - money("vehicle_cost"), money("gross_profit")), c("sale_id")),
+                     _off(money("sale_price") - money("vehicle_cost"), money("gross_profit")), shown("sale_id")),
         ]
     checks = []
     if name == "service_orders" and {"opened_at", "promised_at", "completed_at"} <= has:
         checks += [
-            RowCheck("opened_at is on or before promised_at", later("opened_at", "promised_at"), c("service_order_id")),
-            RowCheck("opened_at is on or before completed_at", later("opened_at", "completed_at"), c("service_order_id")),
+            RowCheck("opened_at is on or before promised_at", later("opened_at", "promised_at"), shown("service_order_id")),
+            RowCheck("opened_at is on or before completed_at", later("opened_at", "completed_at"), shown("service_order_id")),
         ]
     if name == "service_orders" and {"labor_revenue", "parts_revenue", "discount_amount", "service_revenue"} <= has:
         parts = money("labor_revenue") + money("parts_revenue") - money("discount_amount")
         checks.append(RowCheck("service_revenue matches components", _off(parts, money("service_revenue")),
-                               c("service_order_id")))
+                               shown("service_order_id")))
     return checks
 
 

@@ -58,11 +58,10 @@ def load_folder(spark: SparkSession, processed: str, root: str, contracts: dict[
     w = Warehouse({name: frame.drop("loaded_at") for name, frame in staged.items()}, store)
     require_unchanged(spark, processed, recorded)
 
-    loaded = require_row_counts(w)
+    loaded = require_row_counts(w.load([*DIMENSIONS, *FACTS]))
     require_constraints(w)
     passed = require_all_pass(checks(w, as_of), "data_quality")
     tables = [*[n for n in DATASETS if n in LAYOUTS], *DIMENSIONS, *FACTS, *DETAILS]
-    for name in tables:
-        w.table(name)
+    w.load(tables)
     store.publish(tables)
     return LoadResult(rows, loaded, passed, store.version)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Mapping
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -13,6 +15,7 @@ from forecourt.sources.store import LAYOUTS, TableStore
 
 DIMENSIONS = ("dim_date", "dim_dealership", "dim_customer", "dim_vehicle", "dim_employee", "dim_service")
 FACTS = ("fact_sales", "fact_inventory", "fact_service")
+CONCURRENT_JOBS = 4
 DETAILS = ("sales_detail", "inventory_detail", "service_detail", "customer_detail")
 
 
@@ -40,14 +43,14 @@ class Warehouse:
         self._given = dict(tables)
         self._ready: dict[str, DataFrame] = {}
         self._store = store
-        self._lock = threading.RLock()
+        self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
 
     @property
     def store(self) -> TableStore | None:
         return self._store
 
     def table(self, name: str) -> DataFrame:
-        with self._lock:
+        with self._locks[name]:
             if name not in self._ready:
                 frame = self._given[name] if name in self._given else _builders()[name](self)
                 if self._store is not None and name in LAYOUTS:
@@ -55,6 +58,12 @@ class Warehouse:
                 self._ready[name] = frame
             return self._ready[name]
 
+    def load(self, names: Iterable[str] = (*DIMENSIONS, *FACTS, *DETAILS)) -> Warehouse:
+        """Build several tables, independent ones as concurrent jobs."""
+        with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
+            list(pool.map(self.table, names))
+        return self
+
     def sources(self) -> dict[str, DataFrame]:
         """The source datasets."""
         return {name: self.table(name) for name in DATASETS}

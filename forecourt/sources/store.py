@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import json
 import tempfile
-import threading
 import uuid
 from dataclasses import dataclass
 
@@ -71,7 +70,6 @@ class TableStore:
         self.database = "forecourt_" + hashlib.md5(self.path.encode()).hexdigest()[:12]
         self.row_counts = dict(row_counts or {})
         self.buckets: dict[str, int] = {}
-        self._lock = threading.RLock()
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.path}/_schema'")
 
     @classmethod
@@ -87,16 +85,14 @@ class TableStore:
     def save(self, name: str, frame: DataFrame) -> DataFrame:
         """Write the frame once and return the table that reads it back."""
         layout = LAYOUTS[name]
-        with self._lock:
-            if layout.buckets:
-                count = self.bucket_count(layout)
-                writer = frame.repartition(count, *layout.buckets).write.bucketBy(count, *layout.buckets)
-                writer = writer.sortBy(*(layout.sort or layout.buckets))
-                self.buckets[name] = count
-            else:
-                writer = frame.write
-            (writer.format("parquet").mode("overwrite")
-             .option("path", f"{self.path}/{name}").saveAsTable(f"{self.database}.{name}"))
+        writer = frame.write
+        if layout.buckets:
+            count = self.bucket_count(layout)
+            writer = frame.repartition(count, *layout.buckets).write.bucketBy(count, *layout.buckets) \
+                .sortBy(*(layout.sort or layout.buckets))
+            self.buckets[name] = count
+        writer.format("parquet").mode("overwrite").option("path", f"{self.path}/{name}") \
+            .saveAsTable(f"{self.database}.{name}")
         return self.spark.table(f"{self.database}.{name}")
 
     def attach(self, name: str) -> DataFrame:
