@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +37,7 @@ from forecourt.operators.scoring import CheckFailure, union_all
 from forecourt.sources.store import shared_folder
 
 ORDER = "_row_order"
+CONCURRENT_JOBS = 4
 Stage = Callable[[str, DataFrame], DataFrame]
 AUDIT_SCHEMA = ("dataset", "action", "affected_rows", "details")
 
@@ -321,9 +323,14 @@ def clean_datasets(
     """Clean all datasets in order; returns (datasets, audit of non-zero actions)."""
     spark = next(iter(datasets.values())).sparkSession
     job = Cleaning(contracts or DATASETS, stage or written_stages(spark))
-    for name, raw in datasets.items():
+
+    def first_phase(name: str) -> None:
         contract = job.contracts.get(name) or Dataset(name, "", ())
-        job.tables[name] = _drop_bad_rows(job, contract, _standardize(job, contract, raw))
+        job.tables[name] = _drop_bad_rows(job, contract, _standardize(job, contract, datasets[name]))
+
+    # Datasets are independent up to here, so their writes run as concurrent jobs.
+    with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
+        list(pool.map(first_phase, datasets))
     for name, repair in REPAIRS.items():
         if name in job.tables:
             job.tables[name] = repair(job, job.tables[name])
