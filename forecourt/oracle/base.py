@@ -61,7 +61,6 @@ def ymd(expression: str) -> str:
 
 N_PART = "(SELECT count(*) FROM part)"
 N_SUPP = "(SELECT count(*) FROM supplier)"
-EARLY = "(DATE '1990-01-01' + ({}) % 1500)::DATE"
 
 CTES: dict[str, str] = {}
 

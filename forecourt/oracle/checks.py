@@ -28,10 +28,6 @@ def _absent(table: str, links: list[tuple[str, str, str]]) -> str:
     return f"(SELECT count(*) FROM {table} f WHERE {tests})"
 
 
-def _off_calendar(table: str, day: str) -> tuple[str, str, str]:
-    return (day, "days", "full_date")
-
-
 PEOPLE = ("people", "employee_key")
 DQ: dict[str, str] = {
     "dq_01": _dups("buyers", "customer_id"),

@@ -85,7 +85,6 @@ TABLES = {
 }
 
 # -- measures: each as one scalar expression over the unfiltered model ------------------
-S, D, V, I = "FROM sd", "FROM done", "FROM vd", "FROM now_stock"
 SALE_EXPR = {
     "revenue": money("coalesce(sum(rev_c), 0)"), "units_sold": big("coalesce(sum(units), 0)"),
     "asp": per_unit("sum(rev_c)", "sum(units)"), "gross_profit": money("coalesce(sum(gp_c), 0)"),
@@ -133,7 +132,7 @@ def _cards(names) -> str:
     return _q("SELECT " + ",\n  ".join(f"{scalar(n)} AS {n}" for n in names))
 
 
-def _month_report(sales_cols: str, order_cols: str, out: str) -> str:
+def _month_report(out: str) -> str:
     return _q(f"""SELECT m AS year_month, {out} FROM (SELECT DISTINCT strftime(d, '%Y-%m') AS m FROM cal)
 LEFT JOIN (SELECT strftime(sale_date, '%Y-%m') AS m, sum(rev_c) AS r, sum(units) AS u, sum(gp_c) AS g FROM sd GROUP BY 1)
   USING (m)
@@ -141,12 +140,6 @@ LEFT JOIN (SELECT strftime(done_d, '%Y-%m') AS m, sum(revenue_c) AS sr, count(DI
   FROM done GROUP BY 1) USING (m)""")
 
 
-def _attribute_report(member_sql: str, keys: str, fact: str, columns: str) -> str:
-    """Members left-joined to one fact aggregated on the same label columns."""
-    return _q(f"""SELECT * FROM (SELECT DISTINCT {keys} FROM {member_sql})
-LEFT JOIN (SELECT {keys}, {columns} FROM {fact} GROUP BY ALL) USING ({keys})""")
-
-
 def _customer_report(keys: str, columns: str) -> str:
     """Per-customer numbers grouped by customer labels (alias p)."""
     return _q(f"""SELECT {keys}, {columns} FROM (
@@ -161,11 +154,11 @@ Z = "coalesce({}, 0)".format
 REVENUE, UNITS, PROFIT = (f"{money(Z('r'))} AS revenue", f"{big(Z('u'))} AS units_sold", f"{money(Z('g'))} AS gross_profit")
 
 GROUPED = {
-    "gq_01_monthly_sales": _month_report("", "", f"{REVENUE}, {PROFIT}"),
-    "gq_02_monthly_service": _month_report("", "", f"{money(Z('sr'))} AS service_revenue"),
-    "gq_06_monthly_sales_units": _month_report("", "", f"{UNITS}, {REVENUE}, {PROFIT}"),
+    "gq_01_monthly_sales": _month_report(f"{REVENUE}, {PROFIT}"),
+    "gq_02_monthly_service": _month_report(f"{money(Z('sr'))} AS service_revenue"),
+    "gq_06_monthly_sales_units": _month_report(f"{UNITS}, {REVENUE}, {PROFIT}"),
     "gq_12_monthly_service_orders": _month_report(
-        "", "", f"{money(Z('sr'))} AS service_revenue, {big(Z('so'))} AS service_orders"),
+        f"{money(Z('sr'))} AS service_revenue, {big(Z('so'))} AS service_orders"),
     "gq_03_brand_sales": _q(f"""SELECT brand, {REVENUE} FROM (SELECT DISTINCT brand FROM cars)
 LEFT JOIN (SELECT brand, sum(rev_c) AS r FROM sd GROUP BY 1) USING (brand)"""),
     "gq_04_dealership_sales": _q(f"""SELECT dealership_name, {REVENUE} FROM (SELECT DISTINCT dealership_name FROM dealers)
@@ -323,7 +316,6 @@ def _dealer_page(limit: int, offset: int = 0, where: str = "true") -> str:
 
 
 SALES_WHERE = "sale_date BETWEEN DATE '1996-01-01' AND DATE '1999-06-30' AND payment_type = 'Cash' AND sale_status = 'Completed'"
-STOCK_WHERE = "snapshot_date >= DATE '1997-01-01' AND aging_bucket_ok"
 VISIT_WHERE = "appointment_date >= DATE '2024-01-05' AND service_type = 'Repair' AND appointment_status = 'Completed'"
 PAGES = {
     "pg_01_sales": _top(SALE_PAGE, "sd", "sale_date DESC, sale_id", 100),

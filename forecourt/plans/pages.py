@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import date
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -196,7 +195,3 @@ def service_revenue(w, **filters: Any) -> DataFrame:
         .alias("completion_rate_percent"),
         ratio(F.sum("service_revenue"), orders).alias("average_repair_order"),
     )
-
-
-def parse_day(text: str | None) -> date | None:
-    return None if text is None else date.fromisoformat(text)
