@@ -10,7 +10,9 @@ import pytest
 from compare import compare, duck
 from conftest import SF
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+from forecourt import registry
+
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
 # The single checks, measures and cleaning steps are also part of the suites below; ALL_QUERIES=1 runs them too.
 SINGLES = re.compile(r"dq_\d|md_\d|k_\d|cln_[01]|cln_2[0-3]|prf_[256]|snk_3|mdl_")
 CHOSEN = sorted(n for n in QUERIES if os.environ.get("ALL_QUERIES") or not SINGLES.match(n))
@@ -30,5 +32,9 @@ def test_matches_twin(name, spark, loaded, con):
     assert compare(spark, con, SF, name, QUERIES[name], SQL[name]) is None
 
 
+def test_entry_offers_them_all():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert entry_points.entry(spark).count() > 0
