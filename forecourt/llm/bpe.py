@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_VOCABULARY_BYTES = 256 << 20
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 18
 _MASK, _STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
 NO_TOKEN = np.iinfo(np.int32).min
 
@@ -78,8 +79,26 @@ class PerfectHash:
         return -1 - d if d < 0 else (((digest & _MASK) + d * _STEP & _MASK) >> 17) % self.n
 
 
+class _Remembered(dict):
+    """Packed ids of the pre-tokens seen last, in two generations; kept by a worker from task to task."""
+
+    vocabulary: Vocabulary
+    old: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        packed = self.old.get(piece)
+        if packed is None:
+            packed = array("i", self.vocabulary.encode(piece.encode())).tobytes()
+        if len(piece) <= 64:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = packed
+        return packed
+
+
 class Vocabulary:
-    """Tokens by perfect hash (bytes -> rank) and by rank (rank -> bytes)."""
+    """Tokens by perfect hash (bytes -> rank), by rank (rank -> bytes), and the pairs of tokens that form one."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.hash = PerfectHash(list(ranks))
@@ -88,68 +107,50 @@ class Vocabulary:
             self.tokens[slot], self.ranks[slot] = token, rank
         self.hash.slots = []
         self.by_rank = {rank: token for token, rank in ranks.items()}
+        if any(bytes([b]) not in ranks for b in range(256)):
+            raise ValueError("the vocabulary lacks single bytes")
+        self.bytes = [ranks[bytes([b])] for b in range(256)]
+        self.pairs: list[dict[int, int]] = [{} for _ in range(max(ranks.values()) + 1)]
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                if token[:i] in ranks and token[i:] in ranks:
+                    self.pairs[ranks[token[:i]]][ranks[token[i:]]] = rank
+        self.remembered = _Remembered()
 
     def rank(self, token: bytes) -> int | None:
         slot = self.hash.slot(token)
         return self.ranks[slot] if self.tokens[slot] == token else None
 
+    def _pair(self, a: int, b: int) -> int | None:
+        return self.pairs[a].get(b)
+
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token that is no token: merge the pair of lowest rank, leftmost first."""
-        n = len(piece)
-        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple[int, int, int]] = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and end[i] < n:
-                stop = end[end[i]]
-                if (rank := self.rank(piece[i:stop])) is not None:
-                    heapq.heappush(heap, (rank, i, stop))
-
-        for i in range(n - 1):
-            offer(i)
+        pairs, ids, n = self.pairs, list(map(self.bytes.__getitem__, piece)), len(piece)
+        after, before, shift = list(range(1, n + 1)), list(range(-1, n - 1)), n.bit_length()
+        heap = [rank << shift | i for i, rank in enumerate(map(self._pair, ids, ids[1:])) if rank is not None]
+        heapq.heapify(heap)
         while heap:
-            _, i, stop = heapq.heappop(heap)
-            j = end[i]
-            if j < 0 or j >= n or end[j] != stop:  # a symbol of the pair has been merged since
+            best = heapq.heappop(heap)
+            rank = best >> shift
+            i = best - (rank << shift)
+            if (j := after[i]) >= n or ids[i] < 0 or pairs[ids[i]].get(ids[j]) != rank:  # a symbol is gone since
                 continue
-            end[i], end[j] = stop, -1
-            if stop < n:
-                before[stop] = i
-            offer(i)
-            offer(before[i])
-        ids, i = [], 0
-        while i < n:
-            ids.append(self._known(piece[i:end[i]]))
-            i = end[i]
-        return ids
-
-    def _known(self, token: bytes) -> int:
-        rank = self.rank(token)
-        if rank is None:
-            raise ValueError(f"the vocabulary lacks the byte {token!r}")
-        return rank
+            ids[i], ids[j] = rank, -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (more := pairs[rank].get(ids[k])) is not None:
+                    heapq.heappush(heap, more << shift | i)
+            if (h := before[i]) >= 0 and (more := pairs[ids[h]].get(rank)) is not None:
+                heapq.heappush(heap, more << shift | h)
+        return [x for x in ids if x >= 0]
 
     def encode(self, piece: bytes) -> list[int]:
         rank = self.rank(piece)
         return [rank] if rank is not None else self.merge(piece)
 
 
-class _Remembered(dict):
-    """Packed ids of the pre-tokens seen last."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.vocabulary.encode(piece.encode()), dtype="<i4").tobytes()
-        if len(piece) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = packed
-        return packed
-
-
 def pre_tokens(pattern: str):
     """The function that lists the matches of a pre-token pattern."""
     import regex
@@ -177,11 +178,12 @@ class BytePairCodec:
 
         @F.arrow_udf("array<int>")
         def encoded(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            split, remembered = pre_tokens(pattern), _Remembered(shared.value)
+            split, remembered = pre_tokens(pattern), shared.value.remembered
+            remembered.vocabulary = shared.value
             for batch in texts:
                 packed = [b"".join(map(remembered.__getitem__, split(t or ""))) for t in batch.to_pylist()]
                 ends = np.cumsum([0] + [len(p) // 4 for p in packed])
-                values = pa.array(np.frombuffer(b"".join(packed), dtype="<i4"))
+                values = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
                 yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
         return encoded(text)

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bpe, oracle
+from forecourt.llm import bpe, oracle, simhash, substring
+from forecourt.llm.stages import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +25,21 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(documents, written(spark, "simhash"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": byte_bpe,
+    "op3_substring_dedup": substring_dedup,
+    "op10_simhash_near_dedup": simhash_near_dedup,
 }
 
 
