@@ -1,3 +1,71 @@
 """DuckDB twins of the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+# The same rules as the operator: 16-section search of the exponent in 5 rounds, entropy 0.998 of the
+# largest, at most 4 repetitions, budget = all tokens, blocks of 2^20 tokens, seed 7.
+_WORDS = r"length(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
+
+
+def _hash(*parts: str) -> str:
+    joined = " || '|' || ".join(f"coalesce(({p})::VARCHAR, '')" for p in parts)
+    return f"('0x' || substr(md5({joined}), 1, 15))::BIGINT"
+
+
+OP4 = f"""
+WITH RECURSIVE counted AS (
+  SELECT doc_id, source, coalesce({_WORDS}, 0)::BIGINT AS n_tokens FROM documents),
+sources AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM counted WHERE n_tokens > 0 GROUP BY source),
+shares AS (SELECT source, tokens, tokens / (SELECT sum(tokens) FROM sources)::DOUBLE AS p FROM sources),
+curve AS (
+  SELECT i, ln(sum(pow(p, i / 1048576.0::DOUBLE)))
+            - sum(pow(p, i / 1048576.0::DOUBLE) * ln(pow(p, i / 1048576.0::DOUBLE))) / sum(pow(p, i / 1048576.0::DOUBLE)) AS h,
+         max(pow(p, i / 1048576.0::DOUBLE) / p) / sum(pow(p, i / 1048576.0::DOUBLE)) AS r
+  FROM shares, (SELECT unnest(range(0, 1048577, 65536)) AS i) GROUP BY i),
+flat(round, low) AS (
+  SELECT 0, 0
+  UNION ALL
+  SELECT round + 1, low + (1048576 >> (4 * (round + 1))) * (
+    SELECT count(*) FROM (SELECT unnest(range(1, 16)) AS k) WHERE (
+      SELECT ln(sum(x)) - sum(x * ln(x)) / sum(x) >= 0.998 * ln(count(*)) - 1e-12
+      FROM (SELECT pow(p, (low + k * (1048576 >> (4 * (round + 1)))) / 1048576.0::DOUBLE) AS x FROM shares)))
+  FROM flat WHERE round < 5),
+tight(round, low) AS (
+  SELECT 0, 0
+  UNION ALL
+  SELECT round + 1, low + (1048576 >> (4 * (round + 1))) * (
+    SELECT count(*) FROM (SELECT unnest(range(1, 16)) AS k) WHERE (
+      SELECT max(x / p) / sum(x) > 4.0 + 1e-12
+      FROM (SELECT p, pow(p, (low + k * (1048576 >> (4 * (round + 1)))) / 1048576.0::DOUBLE) AS x FROM shares)))
+  FROM tight WHERE round < 5),
+chosen AS (
+  SELECT greatest(
+    CASE WHEN (SELECT h FROM curve WHERE i = 1048576) >= 0.998 * ln((SELECT count(*) FROM shares)) - 1e-12 THEN 1048576
+         WHEN (SELECT h FROM curve WHERE i = 0) < 0.998 * ln((SELECT count(*) FROM shares)) - 1e-12 THEN 0
+         ELSE (SELECT low FROM flat WHERE round = 5) END,
+    CASE WHEN (SELECT r FROM curve WHERE i = 0) <= 4.0 + 1e-12 THEN 0
+         WHEN (SELECT r FROM curve WHERE i = 1048576) > 4.0 + 1e-12 THEN 1048576
+         ELSE (SELECT low + 1 FROM tight WHERE round = 5) END) / 1048576.0::DOUBLE AS a),
+plan AS (
+  SELECT source, tokens, floor(round(pow(p, a) / (SELECT sum(pow(p, a)) FROM shares, chosen)
+         * (SELECT sum(tokens) FROM sources)::DOUBLE, 3))::BIGINT AS quota
+  FROM shares, chosen),
+sized AS (SELECT source, quota // tokens AS epochs, quota % tokens AS rest, (tokens + 1048575) // 1048576 AS blocks FROM plan),
+dealt AS (
+  SELECT c.doc_id, c.source, c.n_tokens, s.epochs, s.rest, {_hash("7", "'block'", "c.doc_id")} % s.blocks AS block
+  FROM counted c JOIN sized s ON c.source IS NOT DISTINCT FROM s.source WHERE c.n_tokens > 0),
+held AS (
+  SELECT source, block, rest, epochs, sum(n_tokens) AS held FROM dealt GROUP BY ALL),
+cut AS (
+  SELECT source, block, held, rest + held - sum(held) OVER (
+    PARTITION BY source ORDER BY {_hash("7", "epochs", "source", "block")}, block) AS left_over FROM held),
+placed AS (
+  SELECT d.*, c.held, c.left_over FROM dealt d JOIN cut c ON d.source IS NOT DISTINCT FROM c.source AND d.block = c.block),
+edge AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY source, block ORDER BY {_hash("7", "epochs", "doc_id")}, doc_id, n_tokens
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sofar
+  FROM placed WHERE left_over > 0 AND left_over < held)
+SELECT doc_id, source, n_tokens, unnest(range(0, epochs + (left_over >= held)::BIGINT)) AS epoch, block FROM placed
+UNION ALL
+SELECT doc_id, source, n_tokens, epochs AS epoch, block FROM edge WHERE sofar <= left_over
+"""
+
+SQL: dict[str, str] = {"op4_source_mixing": OP4}

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bpe, oracle, simhash, substring
+from forecourt.llm import bpe, mixing, oracle, quality, simhash, substring
 from forecourt.llm.stages import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,17 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    stage = written(spark, "mixing")
+    counted = stage("counted", table(spark, folder, "documents").select("doc_id", "source", mixing.word_count().alias("n_tokens")))
+    return mixing.mixed(counted, stage)
+
+
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", "content_score", "page_score", "score", "keep")
+
+
 def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(documents, written(spark, "simhash"))
@@ -39,7 +51,10 @@ def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": byte_bpe,
     "op3_substring_dedup": substring_dedup,
+    "op4_source_mixing": source_mixing,
+    "op7_quality_classifier": quality_classifier,
     "op10_simhash_near_dedup": simhash_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 
@@ -48,4 +63,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle.SQL)
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**oracle.SQL, **whole}
