@@ -68,4 +68,49 @@ UNION ALL
 SELECT doc_id, source, n_tokens, epochs AS epoch, block FROM edge WHERE sofar <= left_over
 """
 
-SQL: dict[str, str] = {"op4_source_mixing": OP4}
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BITS = "array_to_string([right(('0x' || hex[i])::INTEGER::BIT::VARCHAR, 4) for i in range(1, 41)], '')"
+_VALUE = " + ".join(f"CASE WHEN bits[5 * i + {j + 1}] = '1' THEN {16 >> j} ELSE 0 END" for j in range(5))
+
+OP1 = f"""
+WITH paid AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (SELECT *, {_BITS} AS bits FROM paid),
+named AS (
+  SELECT page_id, payload_bytes, min(page_id) OVER (PARTITION BY hex) AS first,
+         array_to_string([substr('{_ALPHABET}', 1 + {_VALUE}, 1) for i in range(0, 32)], '') AS payload_digest
+  FROM bits)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM named
+"""
+
+OP6 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least AS (SELECT a, least(a, min(b)) AS component FROM reached GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component, vec_id) AS component_id,
+       vec_id = coalesce(component, vec_id) AS kept
+FROM embeddings LEFT JOIN counted c ON c.a = vec_id LEFT JOIN least l ON l.a = vec_id
+"""
+
+OP8 = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+SQL: dict[str, str] = {"op6_embedding_near_dedup": OP6, "op8_exact_top_k": OP8, "op1_warc_archives": OP1, "op4_source_mixing": OP4}

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bpe, mixing, oracle, quality, simhash, substring
-from forecourt.llm.stages import written
+from forecourt.llm import bpe, caps, mixing, oracle, quality, simhash, substring, vafile, warc
+from forecourt.llm.stages import new_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    archives = new_folder(spark, "archives")
+    manifest = warc.write_archives(table(spark, folder, "pages"), archives, written(spark, "warc"))
+    return warc.read_archives(spark, archives, manifest) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     codec = bpe.BytePairCodec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     coded = bpe.round_trip(table(spark, folder, "documents").select("doc_id", "text"), codec)
@@ -42,6 +49,16 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "content_score", "page_score", "score", "keep")
 
 
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return caps.near_duplicates(table(spark, folder, "embeddings"), written(spark, "caps"))
+
+
+def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = vafile.integer_vectors(table(spark, folder, "embeddings"))
+    file = vafile.approximate(vectors, written(spark, "vectors"))
+    return vafile.top_k(file, file.where("vec_id % 100 = 0").select("vec_id", "v"), 10)
+
+
 def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(documents, written(spark, "simhash"))
@@ -49,10 +66,13 @@ def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc_archives": warc_archives,
     "op2_byte_bpe": byte_bpe,
     "op3_substring_dedup": substring_dedup,
     "op4_source_mixing": source_mixing,
+    "op6_embedding_near_dedup": embedding_near_dedup,
     "op7_quality_classifier": quality_classifier,
+    "op8_exact_top_k": exact_top_k,
     "op10_simhash_near_dedup": simhash_near_dedup,
     "pipeline": corpus_pipeline.run,
 }

@@ -104,11 +104,14 @@ def _forest(groups: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def links(marks: DataFrame, stage: Stage) -> DataFrame:
     """Edges (a, b) that connect the distinct fingerprints (id, fp) exactly as all links within the radius do."""
     spark = marks.sparkSession
-    whole, masks, found = marks.withColumn("mask", F.lit(0).cast("bigint")), [0], []
+    whole, masks, found = marks, [0], []
     while masks:
-        finer = _finer(spark, masks)
-        keyed = whole.join(F.broadcast(finer), "mask").select("id", "fp", F.col("finer").alias("mask")) \
-            .withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
+        if masks == [0]:
+            first = F.array(*[F.lit(_signed(m)) for m in covering_masks(list(range(BITS)))])
+            keyed = whole.select("id", "fp", F.explode(first).alias("mask"))
+        else:
+            keyed = whole.join(F.broadcast(_finer(spark, masks)), "mask").select("id", "fp", F.col("finer").alias("mask"))
+        keyed = keyed.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
         members = stage("buckets", keyed.join(sizes, ["mask", "key"]))
         found.append(stage("links", members.where(F.col("n") <= BUCKET).groupBy("mask", "key")
