@@ -13,6 +13,7 @@ the driver and sent once to each executor (its size is checked).
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from array import array
 from collections.abc import Iterator
@@ -25,9 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_VOCABULARY_BYTES = 256 << 20
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 _MASK, _STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
-NO_TOKEN = np.iinfo(np.int32).min
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,11 +42,11 @@ class PerfectHash:
     def __init__(self, keys: list[bytes]):
         n = len(keys)
         self.n, self.m = n, max(1, n // 4)
-        digests = [xxhash.xxh3_128_intdigest(k) for k in keys]
-        low = np.array([d & _MASK for d in digests], dtype=np.uint64)
+        digests = [xxhash.xxh3_64_intdigest(k) for k in keys]
+        whole = np.array(digests, dtype=np.uint64)
         buckets: dict[int, list[int]] = {}
         for i, d in enumerate(digests):
-            buckets.setdefault((d >> 64) % self.m, []).append(i)
+            buckets.setdefault(d % self.m, []).append(i)
         shift, slots, free = [0] * self.m, [0] * n, np.ones(n, dtype=bool)
         tries = np.arange(1024, dtype=np.uint64)[:, None]
         for b, members in sorted(buckets.items(), key=lambda x: (-len(x[1]), x[0])):
@@ -54,7 +54,7 @@ class PerfectHash:
                 break
             start = 0
             while True:
-                at = (low[members][None, :] + (tries + np.uint64(start)) * np.uint64(_STEP) >> np.uint64(17)) % np.uint64(n)
+                at = (whole[members] + (tries + np.uint64(start)) * np.uint64(_STEP) >> np.uint64(17)) % np.uint64(n)
                 fits = free[at].all(axis=1)
                 for row in np.flatnonzero(fits):
                     if len(set(at[row].tolist())) == len(members):
@@ -74,9 +74,9 @@ class PerfectHash:
         self.shift, self.slots = shift, slots
 
     def slot(self, key: bytes) -> int:
-        digest = xxhash.xxh3_128_intdigest(key)
-        d = self.shift[(digest >> 64) % self.m]
-        return -1 - d if d < 0 else (((digest & _MASK) + d * _STEP & _MASK) >> 17) % self.n
+        digest = xxhash.xxh3_64_intdigest(key)
+        d = self.shift[digest % self.m]
+        return -1 - d if d < 0 else ((digest + d * _STEP & _MASK) >> 17) % self.n
 
 
 class _Remembered(dict):
@@ -98,7 +98,7 @@ class _Remembered(dict):
 
 
 class Vocabulary:
-    """Tokens by perfect hash (bytes -> rank), by rank (rank -> bytes), and the pairs of tokens that form one."""
+    """Tokens by perfect hash (bytes -> rank), and the pairs of tokens that form one."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.hash = PerfectHash(list(ranks))
@@ -106,7 +106,6 @@ class Vocabulary:
         for slot, (token, rank) in zip(self.hash.slots, ranks.items()):
             self.tokens[slot], self.ranks[slot] = token, rank
         self.hash.slots = []
-        self.by_rank = {rank: token for token, rank in ranks.items()}
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("the vocabulary lacks single bytes")
         self.bytes = [ranks[bytes([b])] for b in range(256)]
@@ -121,14 +120,11 @@ class Vocabulary:
         slot = self.hash.slot(token)
         return self.ranks[slot] if self.tokens[slot] == token else None
 
-    def _pair(self, a: int, b: int) -> int | None:
-        return self.pairs[a].get(b)
-
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token that is no token: merge the pair of lowest rank, leftmost first."""
         pairs, ids, n = self.pairs, list(map(self.bytes.__getitem__, piece)), len(piece)
         after, before, shift = list(range(1, n + 1)), list(range(-1, n - 1)), n.bit_length()
-        heap = [rank << shift | i for i, rank in enumerate(map(self._pair, ids, ids[1:])) if rank is not None]
+        heap = [rank << shift | i for i, (a, b) in enumerate(zip(ids, ids[1:])) if (rank := pairs[a].get(b)) is not None]
         heapq.heapify(heap)
         while heap:
             best = heapq.heappop(heap)
@@ -171,6 +167,7 @@ class BytePairCodec:
             raise ValueError(f"a vocabulary of {size} bytes is too large to send to every executor")
         self.pattern = pattern
         self.shared = spark.sparkContext.broadcast(Vocabulary(ranks))
+        self.tokens = spark.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
 
     def encode(self, text: Column) -> Column:
         """Ids as ``array<int>``."""
@@ -181,24 +178,28 @@ class BytePairCodec:
             split, remembered = pre_tokens(pattern), shared.value.remembered
             remembered.vocabulary = shared.value
             for batch in texts:
-                packed = [b"".join(map(remembered.__getitem__, split(t or ""))) for t in batch.to_pylist()]
-                ends = np.cumsum([0] + [len(p) // 4 for p in packed])
-                values = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
+                ids, ends = bytearray(), [0]
+                for text in batch:
+                    ids += b"".join(map(remembered.__getitem__, split(text.as_py() or "")))
+                    ends.append(len(ids) // 4)
+                values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(ids)])
                 yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
         return encoded(text)
 
     def decode(self, ids: Column) -> Column:
         """The bytes of an id array as ``binary``."""
-        shared = self.shared
+        tokens = self.tokens
 
         @F.arrow_udf("binary")
-        def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            token = shared.value.by_rank.__getitem__
-            for batch in batches:
-                values = batch.values
-                yield pa.array([b"".join(map(token, values.slice(a, b - a).to_numpy().tolist())) for a, b in _bounds(batch)],
-                               pa.binary())
+        def decoded(batch: pa.Array) -> pa.Array:
+            token, values = tokens.value.__getitem__, batch.values
+            text, ends = bytearray(), [0]
+            for a, b in _bounds(batch):
+                text += b"".join(map(token, values.slice(a, b - a).to_numpy().tolist()))
+                ends.append(len(text))
+            offsets = np.array(ends, np.int32)
+            return pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
 
         return decoded(F.coalesce(ids, F.array().cast("array<int>")))
 
@@ -209,14 +210,11 @@ def _bounds(lists: pa.ListArray) -> list[tuple[int, int]]:
 
 
 @F.arrow_udf(T.StringType())
-def ids_sha256(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def ids_sha256(batch: pa.Array) -> pa.Array:
     """Lower-case hex SHA-256 of ids as little-endian unsigned 32-bit integers."""
-    import hashlib
-
-    for batch in batches:
-        values = batch.values
-        yield pa.array([hashlib.sha256(values.slice(a, b - a).to_numpy().astype("<u4").tobytes()).hexdigest()
-                        for a, b in _bounds(batch)])
+    values = batch.values
+    return pa.array([hashlib.sha256(values.slice(a, b - a).to_numpy().astype("<u4").tobytes()).hexdigest()
+                     for a, b in _bounds(batch)])
 
 
 def encode_documents(documents: DataFrame, codec: BytePairCodec) -> DataFrame:
