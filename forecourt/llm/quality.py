@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LABELLED, POOL, ROUNDS, SURE, PER_ROUND = 8_000, 8_000, 3, 0.95, 500
+LABELLED, POOL, ROUNDS, SURE, PER_ROUND = 6_000, 4_000, 3, 0.95, 300
 GRAMS, PLACES = 256, 32
 GOOD_LOST = 0.005  # the threshold may reject at most this share of the good calibration rows
 
