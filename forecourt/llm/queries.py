@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bpe, caps, mixing, oracle, quality, simhash, substring, vafile, warc
+from forecourt.llm import bpe, bwt, caps, layout, mixing, oracle, quality, simhash, substring, vafile, warc
 from forecourt.llm.stages import new_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "content_score", "page_score", "score", "keep")
 
 
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = bwt.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return caps.near_duplicates(table(spark, folder, "embeddings"), written(spark, "caps"))
 
@@ -59,6 +64,10 @@ def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return vafile.top_k(file, file.where("vec_id % 100 = 0").select("vec_id", "v"), 10)
 
 
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return layout.extract(table(spark, folder, "pages")).select("page_id", "url", "text")
+
+
 def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(documents, written(spark, "simhash"))
@@ -70,9 +79,11 @@ QUERIES: dict[str, Query] = {
     "op2_byte_bpe": byte_bpe,
     "op3_substring_dedup": substring_dedup,
     "op4_source_mixing": source_mixing,
+    "op5_suffix_dedup": suffix_dedup,
     "op6_embedding_near_dedup": embedding_near_dedup,
     "op7_quality_classifier": quality_classifier,
     "op8_exact_top_k": exact_top_k,
+    "op9_html_extraction": html_extraction,
     "op10_simhash_near_dedup": simhash_near_dedup,
     "pipeline": corpus_pipeline.run,
 }
