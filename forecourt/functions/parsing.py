@@ -45,11 +45,23 @@ def number(column: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def amount(column: Column, kind: str = "decimal(38,6)") -> Column:
+def amount(column: Column, kind: str = "decimal(38,10)") -> Column:
     """Exact decimal; also accepts exponent notation through DOUBLE."""
     return F.coalesce(column.try_cast(kind), column.try_cast("double").try_cast(kind))
 
 
+def exact_amount(column: Column, kind: str, label: str) -> Column:
+    """Like ``amount``, but a number that the kind can't hold fails the job instead of becoming NULL.
+
+    Text that is no finite number is NULL. Fractions beyond the kind's scale are rounded.
+    """
+    seen = column.try_cast("double")
+    real = seen.isNotNull() & ~F.isnan(seen) & (F.abs(seen) != float("inf"))
+    narrow = amount(column, "decimal(38,10)").try_cast(kind)
+    problem = F.concat(F.lit(f"{label} holds a number outside {kind}: "), column.cast("string"))
+    return F.when(real & narrow.isNull(), F.raise_error(problem).cast(kind)).otherwise(narrow)
+
+
 def truth(column: Column) -> Column:
     word = F.lower(F.trim(column.cast("string")))
     return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)

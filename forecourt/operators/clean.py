@@ -31,7 +31,7 @@ from forecourt.contracts import (
     foreign_keys,
 )
 from forecourt.functions.numeric import differs
-from forecourt.functions.parsing import amount, canonical, instant, truth
+from forecourt.functions.parsing import canonical, exact_amount, instant, truth
 from forecourt.operators.profile import foreign_key_report, validation_report
 from forecourt.operators.scoring import CheckFailure, union_all
 from forecourt.sources.store import shared_folder
@@ -111,9 +111,9 @@ def _standardize(job: Cleaning, contract: Dataset, raw: DataFrame) -> DataFrame:
             parsed = instant(before, text[f.name])
             after, action = (parsed if f.type == INSTANT else parsed.cast(f.type)), "invalid date coerced to null"
         elif f in contract.numbers:
-            value = amount(before, "decimal(20,6)")
             # Money is rounded to cents; whole-number columns keep a fraction for the preflight to reject.
-            after, action = (value.try_cast(MONEY) if f.type == MONEY else value), "invalid number coerced to null"
+            kind = MONEY if f.type == MONEY else "decimal(38,10)"
+            after, action = exact_amount(before, kind, f"{contract.name}.{f.name}"), "invalid number coerced to null"
         elif f in contract.flags:
             after, action = truth(before), "invalid boolean coerced to null"
         else:

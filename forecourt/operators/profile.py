@@ -210,7 +210,7 @@ def _rule_checks(name: str, frame: DataFrame, has: set[str]) -> list[RowCheck]:
         return c(column) if column in has else F.lit(None).cast("string")
 
     def money(column: str) -> Column:
-        return amount(c(column), "decimal(20,6)")
+        return amount(c(column))
 
     if name == "customers" and "email" in has:
         return [RowCheck("email has a valid basic format",

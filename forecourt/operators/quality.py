@@ -7,7 +7,6 @@ rules left-join key-only dimensions. Every check yields one number.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,14 +24,6 @@ from forecourt.operators.scoring import duplicates, failures, pass_fail, summed,
 from forecourt.operators.warehouse import sale_units
 
 
-@dataclass(frozen=True)
-class Check:
-    category: str
-    name: str
-    details: str
-    count: Callable[..., DataFrame]
-
-
 # Category, name and advice of every check.
 TEXTS: dict[str, tuple[str, str, str]] = {
     "dq_01": ("duplicates", "dim_customer duplicate current customer_id",

@@ -79,7 +79,7 @@ def dim_date(w) -> DataFrame:
 
 def dim_dealership(w) -> DataFrame:
     return w.table("dealerships").select(
-        surrogate_key("dealership_id", 3).alias("dealership_key"),
+        surrogate_key("dealership_id", "DLR", 3).alias("dealership_key"),
         "dealership_id", "dealership_name", "city", "state", "postal_code", "region",
         F.col("opened_date").cast("date"),
         *_version_columns(),
@@ -88,7 +88,7 @@ def dim_dealership(w) -> DataFrame:
 
 def dim_customer(w) -> DataFrame:
     return w.table("customers").select(
-        surrogate_key("customer_id").alias("customer_key"),
+        surrogate_key("customer_id", "CUS").alias("customer_key"),
         "customer_id", "first_name", "last_name",
         *[_blank_to_null(c) for c in ("email", "phone", "city", "state", "postal_code")],
         F.col("customer_since_date").cast("date"),
@@ -99,7 +99,7 @@ def dim_customer(w) -> DataFrame:
 
 def dim_vehicle(w) -> DataFrame:
     return w.table("vehicles").select(
-        surrogate_key("vehicle_id").alias("vehicle_key"),
+        surrogate_key("vehicle_id", "VEH").alias("vehicle_key"),
         "vehicle_id", "vin", "make", "model",
         _whole("model_year", "smallint"),
         "body_type", "fuel_type",
@@ -113,7 +113,7 @@ def dim_vehicle(w) -> DataFrame:
 def dim_employee(w) -> DataFrame:
     dealers = w.table("dim_dealership").select("dealership_id", "dealership_key")
     return w.table("employees").join(dealers, "dealership_id").select(
-        surrogate_key("employee_id").alias("employee_key"),
+        surrogate_key("employee_id", "EMP").alias("employee_key"),
         "employee_id", "dealership_key", "first_name", "last_name", "role",
         F.col("hire_date").cast("date"),
         "employment_status",
@@ -161,7 +161,7 @@ def fact_sales(w) -> DataFrame:
     sellers = _employees_in_role(w, SALES_ROLE, "salesperson")
     keyed = _with_dimension_keys(w, w.table("sales")).join(sellers, ["salesperson_id", "dealership_key"])
     return keyed.select(
-        surrogate_key("sale_id").alias("sales_key"),
+        surrogate_key("sale_id", "SAL").alias("sales_key"),
         "sale_id",
         date_key(F.col("sale_date").cast("date")).alias("sale_date_key"),
         "customer_key", "vehicle_key", "dealership_key", "salesperson_key", "sales_channel",
@@ -176,7 +176,7 @@ def fact_sales(w) -> DataFrame:
 def fact_inventory(w) -> DataFrame:
     day = date_key(F.col("snapshot_date").cast("date"))
     return _with_dimension_keys(w, w.table("inventory"), customer=False).select(
-        snapshot_key("inventory_id", day).alias("inventory_key"),
+        snapshot_key("inventory_id", day, "INV").alias("inventory_key"),
         "inventory_id",
         day.alias("snapshot_date_key"),
         "vehicle_key", "dealership_key",
@@ -210,7 +210,7 @@ def fact_service(w) -> DataFrame:
         .join(services, "service_type")
     )
     return keyed.select(
-        surrogate_key("service_order_id").alias("service_fact_key"),
+        surrogate_key("service_order_id", "SRO").alias("service_fact_key"),
         "service_order_id", "appointment_id",
         date_key(completed.cast("date")).alias("completed_date_key"),
         "customer_key", "vehicle_key", "dealership_key", "service_advisor_key", "technician_key", "service_key",

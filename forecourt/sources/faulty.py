@@ -53,7 +53,7 @@ FAULTS: dict[str, dict[str, str]] = {
         "slow_moving_flag": "CASE WHEN k % 6 = 0 THEN 'YES' WHEN k % 47 = 0 THEN 'maybe' ELSE slow_moving_flag END",
     },
     "service_appointments": {
-        "service_advisor_id": "CASE WHEN k % 43 = 0 THEN 'EMP000000' ELSE service_advisor_id END",
+        "service_advisor_id": "CASE WHEN k % 43 = 0 THEN 'EMP000003' ELSE service_advisor_id END",
         "appointment_date": "CASE WHEN k % 61 = 0 THEN 'tomorrow' ELSE appointment_date END",
         "service_type": "CASE WHEN k % 45 = 7 THEN '' ELSE service_type END",
         "appointment_status": "CASE WHEN k % 9 = 0 THEN upper(appointment_status) ELSE appointment_status END",

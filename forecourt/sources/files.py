@@ -130,8 +130,31 @@ def stage_datasets(spark: SparkSession, folder: str, target: str) -> dict[str, D
 
 
 # -- fingerprints ------------------------------------------------------------------------------
-def input_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """Size, modification time and SHA-256 of every input file.
+MANIFEST = "dataset string, file string, size_bytes bigint, modified_at timestamp, sha256 string"
+WHOLE_FILE_BYTES = 256 << 20  # a larger file is read by its task in pieces
+
+
+def _digest_in_pieces(batches):
+    """SHA-256 of files too large for one row, read 4 MiB at a time."""
+    import hashlib
+
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for batch in batches:
+        digests = []
+        for path in batch.column("path").to_pylist():
+            files, inner = fs.FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with files.open_input_stream(inner) as stream:
+                while piece := stream.read(4 << 20):
+                    digest.update(piece)
+            digests.append(digest.hexdigest())
+        yield batch.drop_columns(["path"]).append_column("sha256", pa.array(digests, pa.string()))
+
+
+def input_manifest(spark: SparkSession, folder: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Size, modification time and SHA-256 of every input file, of any size.
 
     A dataset may be a directory of part files; each part is hashed by one task.
     """
@@ -142,18 +165,19 @@ def input_manifest(spark: SparkSession, folder: str) -> DataFrame:
     parts = []
     for name, path in paths.items():
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
-        parts.append(files.select(
-            F.lit(name).alias("dataset"), F.substring_index("path", "/", -1).alias("file"),
-            F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"),
-            F.sha2("content", 256).alias("sha256")))
+        about = [F.lit(name).alias("dataset"), F.substring_index("path", "/", -1).alias("file"),
+                 F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at")]
+        parts.append(files.where(F.col("length") <= whole_file_bytes).select(*about, F.sha2("content", 256).alias("sha256")))
+        large = files.where(F.col("length") > whole_file_bytes)
+        parts.append(large.select(*about, "path").mapInArrow(_digest_in_pieces, MANIFEST))
     return union_all(parts)
 
 
 def require_unchanged(spark: SparkSession, folder: str, manifest: DataFrame) -> None:
-    """Raise when a file of the manifest disappeared, changed or was added."""
-    now = input_manifest(spark, folder)
-    gone, new = manifest.exceptAll(now), now.exceptAll(manifest)
-    changed = sorted({r["dataset"] for r in gone.unionByName(new).select("dataset").distinct().collect()})
+    """Raise when a file of the manifest disappeared, changed or was added; reads each file once."""
+    both = manifest.unionByName(input_manifest(spark, folder))
+    odd = both.groupBy(*both.columns).agg(F.count("*").alias("times")).where("times <> 2")
+    changed = sorted({r["dataset"] for r in odd.select("dataset").distinct().collect()})
     if changed:
         raise SourceError(f"input changed after extraction: {', '.join(changed)}")
 
