@@ -81,8 +81,9 @@ def _sent(gram: int, window: int, buckets: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts: list[tuple[np.ndarray, ...]] = []
+            texts = pa.compute.struct_field(batch.column("row"), "text")
             for doc, twin, text, anchors in zip(batch.column("doc").to_pylist(), batch.column("twin").to_pylist(),
-                                                batch.column("text"), batch.column("anchors")):
+                                                texts, batch.column("anchors")):
                 words = words_of(text.as_py())
                 symbols = _first.of(words)
                 own = window_anchors(symbols, gram, window)
@@ -164,11 +165,12 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc")
     doc = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc")
     replies = repeated_anchors(documents.select(doc, "text"), word_symbols, gram, window, buckets)
-    sent = dealt.join(replies, "doc").select("doc", "twin", F.col("row.text").alias("text"), "anchors") \
-        .mapInArrow(_sent(gram, window, buckets), "bucket int, settled boolean, h1 array<bigint>, h2 array<bigint>, "
-                                            "doc array<bigint>, twin array<bigint>, start array<int>")
+    # Whole rows go in here too: with fewer columns the exchange would be another one.
+    sent = dealt.join(replies, "doc").select("doc", "twin", "row", "anchors").mapInArrow(
+        _sent(gram, window, buckets), "bucket int, settled boolean, h1 array<bigint>, h2 array<bigint>, "
+                                      "doc array<bigint>, twin array<bigint>, start array<int>")
     found = sent.groupBy("bucket").applyInArrow(_counted, "doc bigint, twin bigint, first bigint, last bigint") \
-        .groupBy("doc", "twin").agg(F.collect_list(F.struct("first", "last")).alias("repeats"))
-    out = dealt.join(found, ["doc", "twin"], "left") \
-        .select("row", _cut(window)(F.col("row.text"), F.col("repeats")).alias("cut"))
+        .groupBy("doc").agg(F.collect_list(F.struct("first", "last", "twin")).alias("repeats"))
+    own = F.filter("repeats", lambda r: r["twin"] == F.col("twin"))
+    out = dealt.join(found, "doc", "left").select("row", _cut(window)(F.col("row.text"), own).alias("cut"))
     return out.select("row.*", "cut.*")
