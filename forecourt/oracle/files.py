@@ -103,7 +103,17 @@ def _suites() -> str:
         for n, q in suites.items())
 
 
+_FAILED = "(SELECT count(*) FROM (\n{}\n) WHERE status <> 'PASS')".format
+GATES = {
+    "src_2_preflight_gate": "SELECT string_agg(\"column\", ', ' ORDER BY \"column\") || ' must contain valid whole numbers' "
+                            f"AS outcome FROM (\n{WHOLE_SQL}\n) WHERE invalid_count > 0",
+    "cln_25_clean_gate": f"SELECT 'cleaned datasets failed ' || {_FAILED(load.SQL['prf_4_validation'])} || ' checks and ' || "
+                         f"{_FAILED(load.SQL['prf_3_foreign_keys'])} || ' foreign keys' AS outcome",
+    "dq_g_quality_gate": f"SELECT 'passed: ' || count(*) AS outcome FROM (\n{checks.SQL['dq_all_checks']}\n)",
+}
+
 SQL: dict[str, str] = {
+    **GATES,
     "src_1_load_datasets": _sizes(PLAIN, "dataset", load.CLEAN),
     "src_2_preflight_rows": build("\n  UNION ALL ".join(
         f"SELECT '{n}' AS dataset, count(*) AS rows FROM plain_{n}" for n in DATASETS), load.CLEAN),

@@ -285,6 +285,12 @@ SWEEP_SQL = _q(f"""SELECT scenario, {REVENUE}, {UNITS}, {per_unit('r', 'u')} AS
   (SELECT count(*) FROM buyers) AS customers, {big(Z('rp'))} AS repeat_customers, {fraction('rp', 'q')} AS repeat_rate,
   {money('coalesce(hr, 0) + coalesce(hs, 0)')} AS customer_lifetime_value FROM ({_SWEEP})""")
 
+# One selection at a time: the scenario of the same name.
+CONTEXTS = {
+    "ctx_1_dealership": "dealer_3", "ctx_2_brand": "brand_Brand#2", "ctx_3_month": "month_202401",
+    "ctx_4_unknown_brand": "empty", "ctx_5_before_first_snapshot": "before_inventory",
+}
+
 # -- pages ----------------------------------------------------------------------------------
 SALE_PAGE = f"""sale_id, {day('sale_date')} AS sale_date, brand, model, dealership_id, dealership_name, salesperson_name,
   payment_type, sale_status, {big('units')} AS units_sold, {money('rev_c')} AS revenue, {money('gp_c')} AS gross_profit,
@@ -352,5 +358,6 @@ SQL: dict[str, str] = {
     **GROUPED,
     **{name: _cards(names) for name, (by, names) in REPORTS.items() if not by},
     "rc_scn_scenarios": SWEEP_SQL,
+    **{name: f"SELECT * EXCLUDE (scenario) FROM (\n{SWEEP_SQL}\n) WHERE scenario = '{scenario}'" for name, scenario in CONTEXTS.items()},
     **PAGES,
 }

@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from forecourt.contracts import DATASETS
 from forecourt.operators import constraints, measures, profile, quality, reconcile, scenarios
-from forecourt.operators.clean import clean_datasets, written_stages
-from forecourt.operators.scoring import union_all
+from forecourt.operators.clean import clean_datasets, require_clean, written_stages
+from forecourt.operators.scoring import CheckFailure, require_all_pass, union_all
 from forecourt.operators.warehouse import repair_unit_signs
 from forecourt.plans import customer, inventory, model, pages, reporting, sales, service
 from forecourt.plans.model import SemanticModel
@@ -150,6 +150,16 @@ MODEL: dict[str, Plan] = {
     "rc_scn_scenarios": _over_model(scenarios.scenario_kpis),
 }
 
+# The KPI vector under one selection at a time.
+CONTEXTS = {
+    "ctx_1_dealership": measures.FilterContext(dealership=3),
+    "ctx_2_brand": measures.FilterContext(brand="Brand#2"),
+    "ctx_3_month": measures.FilterContext(start=date(2024, 1, 1), end=date(2024, 1, 31)),
+    "ctx_4_unknown_brand": measures.FilterContext(brand="no such brand"),
+    "ctx_5_before_first_snapshot": measures.FilterContext(end=date(1900, 1, 1)),
+}
+MODEL |= {name: _over_model(partial(measures.kpis, ctx=ctx)) for name, ctx in CONTEXTS.items()}
+
 SALES_FILTER = {"date_from": date(1996, 1, 1), "date_to": date(1999, 6, 30),
                 "payment_type": "Cash", "sale_status": "Completed"}
 VISIT_FILTER = {"date_from": date(2024, 1, 5), "service_type": "Repair"}
@@ -358,6 +368,21 @@ FILES: dict[str, Plan] = {
     "snk_5_model_export": _model_sizes,
 }
 
+def _outcome(w: Warehouse, gate: Callable[[], object]) -> DataFrame:
+    """What a gate says: its result, or the reason for which it stops."""
+    try:
+        said = f"passed: {gate()}"
+    except (files.SourceError, CheckFailure) as stop:
+        said = str(stop)
+    return w.table("customers").sparkSession.createDataFrame([(said,)], "outcome string")
+
+
+GATES: dict[str, Plan] = {
+    "src_2_preflight_gate": lambda w: _outcome(w, lambda: files.check_datasets(_broken(w).datasets)),
+    "cln_25_clean_gate": lambda w: _outcome(w, lambda: require_clean(_broken(w).datasets)),
+    "dq_g_quality_gate": lambda w: _outcome(w, lambda: require_all_pass(quality.checks(w), "data_quality")),
+}
+
 RECONCILED: dict[str, Plan] = {
     "rc_rel_relationships": lambda w: model.relationship_errors(SemanticModel.of(w)),
     "rc_grn_grains": lambda w: model.grain_errors(SemanticModel.of(w)),
@@ -372,7 +397,7 @@ def _whole_as_double(name: str, frame: DataFrame) -> DataFrame:
 
 
 def plans() -> dict[str, Plan]:
-    return {**LOAD, **VIEWS, **CHECKS, **MODEL, **PAGES, **SOURCES, **FILES, **RECONCILED}
+    return {**LOAD, **VIEWS, **CHECKS, **MODEL, **PAGES, **SOURCES, **FILES, **GATES, **RECONCILED}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
