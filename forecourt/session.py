@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Joins on more keys than the bucket column still meet bucket by bucket.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
