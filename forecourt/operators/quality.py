@@ -124,7 +124,8 @@ def _orphans(w, fact: str, links) -> DataFrame:
     """Rows of a fact with at least one key that no dimension row carries (each row counted once)."""
     frame = w.table(fact).select(*[column for column, _, _ in links])
     for column, dimension, key in links:
-        found = w.table(dimension).select(F.col(key).alias(column), F.lit(True).alias(f"has_{column}"))
+        # Keys once: a dimension that repeats a key must not repeat the fact row.
+        found = w.table(dimension).select(F.col(key).alias(column)).distinct().withColumn(f"has_{column}", F.lit(True))
         frame = frame.join(found, column, "left")
     return failures(frame, _any([F.col(f"has_{column}").isNull() for column, _, _ in links]))
 

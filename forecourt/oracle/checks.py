@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from forecourt.operators import quality, reconcile
 from forecourt.oracle.base import big, build
 from forecourt.plans import inventory, sales, service
@@ -78,6 +80,56 @@ DQ: dict[str, str] = {
 }
 
 
+# The faults of the star schema, written for the tables of the twins.
+STAR_FAULTS: dict[str, str] = {
+    "bad_fsales": """
+  SELECT * REPLACE (
+    CASE WHEN sale_no % 19 = 0 THEN NULL WHEN sale_no % 23 = 0 THEN -7 ELSE customer_key END AS customer_key,
+    CASE WHEN sale_no % 29 = 1 THEN 'SAL-TWICE' ELSE sale_id END AS sale_id,
+    CASE WHEN sale_no % 31 = 0 THEN -5 ELSE units END AS units,
+    CASE WHEN sale_no % 37 = 0 THEN -500 ELSE price_c END AS price_c,
+    CASE WHEN sale_no % 41 = 0 THEN dealership_key + 1 ELSE dealership_key END AS dealership_key,
+    CASE WHEN sale_no % 43 = 0 THEN DATE '2999-01-01' ELSE sale_date END AS sale_date) FROM fsales""",
+    "bad_fstock": """
+  SELECT * REPLACE (
+    CASE WHEN vehicle_key % 13 = 0 THEN NULL WHEN vehicle_key % 17 = 0 THEN -7 ELSE dealership_key END AS dealership_key,
+    CASE WHEN vehicle_key % 19 = 0 THEN 1 ELSE vehicle_key END AS vehicle_key,
+    CASE WHEN vehicle_key % 23 = 0 THEN days + 1 ELSE days END AS days,
+    CASE WHEN vehicle_key % 29 = 0 THEN -100 ELSE value_c END AS value_c) FROM fstock""",
+    "bad_fservice": """
+  SELECT * REPLACE (
+    CASE WHEN visit_no % 19 = 0 THEN NULL WHEN visit_no % 23 = 0 THEN -7 ELSE customer_key END AS customer_key,
+    CASE WHEN visit_no % 29 = 0 THEN service_advisor_key ELSE technician_key END AS technician_key,
+    CASE WHEN visit_no % 31 = 1 THEN 'APT-TWICE' ELSE appointment_id END AS appointment_id,
+    CASE WHEN visit_no % 37 = 0 THEN opened_at + INTERVAL 4000 DAY ELSE opened_at END AS opened_at,
+    CASE WHEN visit_no % 41 = 0 THEN -100 ELSE revenue_c END AS revenue_c) FROM fservice""",
+    "bad_buyers": """
+  SELECT * REPLACE (
+    CASE WHEN customer_key % 31 = 1 THEN 'CUS-TWICE' ELSE customer_id END AS customer_id,
+    CASE WHEN customer_key % 37 = 0 THEN DATE '2999-01-01' ELSE customer_since_date END AS customer_since_date) FROM buyers""",
+    "bad_cars": "\n  SELECT * REPLACE (CASE WHEN vehicle_key % 31 = 0 THEN 'SAME' ELSE vin END AS vin) FROM cars",
+    "bad_people": """
+  SELECT * REPLACE (
+    CASE WHEN employee_key % 7 = 0 THEN 'EMP-TWICE' ELSE employee_id END AS employee_id,
+    CASE WHEN employee_key % 11 = 0 THEN 9999999 ELSE dealership_key END AS dealership_key) FROM people""",
+    "bad_dealers": "\n  SELECT * REPLACE (CASE WHEN dealership_key % 3 = 0 THEN 'DLR-TWICE' ELSE dealership_id END AS dealership_id) FROM dealers",
+    "bad_kinds": "\n  SELECT * FROM kinds UNION ALL SELECT * FROM kinds",
+    "bad_days": "\n  SELECT full_date FROM days UNION ALL SELECT DATE '2999-01-01'",
+    "bad_jobs": "\n  SELECT * REPLACE (CASE WHEN visit_no % 47 = 0 THEN -1 ELSE vehicle_key END AS vehicle_key) FROM jobs",
+}
+
+
+def _dq_faulty() -> str:
+    rows = []
+    for check_id, count in DQ.items():
+        category, name, details = quality.TEXTS[check_id]
+        broken = re.sub(r"\b(FROM|JOIN) (fsales|fstock|fservice|buyers|cars|people|dealers|kinds|days|jobs)\b", r"\1 bad_\2", count)
+        rows.append(f"SELECT {_quoted(category)} AS check_category, {_quoted(name)} AS check_name, "
+                    f"{big(broken)} AS failed_count, {_quoted(details)} AS details")
+    joined = "\n  UNION ALL ".join(rows)
+    return build(f"SELECT *, CASE failed_count WHEN 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (\n  {joined})", STAR_FAULTS)
+
+
 def _dq_row(check_id: str) -> str:
     category, name, details = quality.TEXTS[check_id]
     return (f"SELECT {_quoted(category)} AS check_category, {_quoted(name)} AS check_name, "
@@ -322,6 +374,7 @@ SERVICE_SUITE = reconcile.SERVICE_RULES + _view_rules(
 SQL: dict[str, str] = {
     **{f"{i}_check": _dq([i]) for i in DQ},
     "dq_all_checks": _dq(list(DQ)),
+    "dq_faulty_checks": _dq_faulty(),
     "rc_sal_sales": _suite(SALES_SUITE, SALES),
     "rc_inv_inventory": _stock_suite(),
     "rc_svc_service": _suite(SERVICE_SUITE, SERVICE),

@@ -22,7 +22,7 @@ from forecourt.plans import customer, inventory, model, pages, reporting, sales,
 from forecourt.plans.model import SemanticModel
 from forecourt.plans.warehouse import DIMENSIONS, FACTS, Warehouse
 from forecourt.sources import files
-from forecourt.sources.faulty import faulty
+from forecourt.sources.faulty import faulty, faulty_star
 from forecourt.sources.order_tables import read_order_tables
 from forecourt.sources.store import TableStore, shared_folder
 
@@ -114,6 +114,7 @@ MODEL_CHECKS = (
 CHECKS: dict[str, Plan] = {
     **{f"{i}_check": partial(quality.check, check_id=i) for i in quality.TEXTS},
     "dq_all_checks": quality.checks,
+    "dq_faulty_checks": lambda w: quality.checks(faulty_star(w)),
     "rc_sal_sales": reconcile.sales_checks,
     "rc_inv_inventory": reconcile.inventory_checks,
     "rc_svc_service": reconcile.service_checks,

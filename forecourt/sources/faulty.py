@@ -94,3 +94,51 @@ def faulty(datasets: dict[str, DataFrame]) -> dict[str, DataFrame]:
             whole = whole.unionByName(frame)
         result[name] = whole.select(*contract.columns)
     return result
+
+# Faults of the loaded star schema: table -> column -> expression over its unchanged columns.
+STAR_FAULTS: dict[str, dict[str, str]] = {
+    "fact_sales": {
+        "customer_key": "CASE WHEN sales_key % 19 = 0 THEN NULL WHEN sales_key % 23 = 0 THEN -7 ELSE customer_key END",
+        "sale_id": "CASE WHEN sales_key % 29 = 1 THEN 'SAL-TWICE' ELSE sale_id END",
+        "unit_quantity": "CAST(CASE WHEN sales_key % 31 = 0 THEN -5 ELSE unit_quantity END AS SMALLINT)",
+        "sale_price": "CASE WHEN sales_key % 37 = 0 THEN CAST(-5 AS DECIMAL(14,2)) ELSE sale_price END",
+        "dealership_key": "CASE WHEN sales_key % 41 = 0 THEN dealership_key + 1 ELSE dealership_key END",
+        "sale_date_key": "CASE WHEN sales_key % 43 = 0 THEN 29990101 ELSE sale_date_key END",
+    },
+    "fact_inventory": {
+        "dealership_key": "CASE WHEN vehicle_key % 13 = 0 THEN NULL WHEN vehicle_key % 17 = 0 THEN -7 ELSE dealership_key END",
+        "vehicle_key": "CASE WHEN vehicle_key % 19 = 0 THEN 1 ELSE vehicle_key END",
+        "days_in_inventory": "CASE WHEN vehicle_key % 23 = 0 THEN days_in_inventory + 1 ELSE days_in_inventory END",
+        "carrying_cost": "CASE WHEN vehicle_key % 29 = 0 THEN CAST(-1 AS DECIMAL(14,2)) ELSE carrying_cost END",
+    },
+    "fact_service": {
+        "customer_key": "CASE WHEN service_fact_key % 19 = 0 THEN NULL WHEN service_fact_key % 23 = 0 THEN -7 ELSE customer_key END",
+        "technician_key": "CASE WHEN service_fact_key % 29 = 0 THEN service_advisor_key ELSE technician_key END",
+        "appointment_id": "CASE WHEN service_fact_key % 31 = 1 THEN 'APT-TWICE' ELSE appointment_id END",
+        "opened_at": "CASE WHEN service_fact_key % 37 = 0 THEN opened_at + INTERVAL '4000' DAY ELSE opened_at END",
+        "service_revenue": "CASE WHEN service_fact_key % 41 = 0 THEN CAST(-1 AS DECIMAL(14,2)) ELSE service_revenue END",
+    },
+    "dim_customer": {
+        "customer_id": "CASE WHEN customer_key % 31 = 1 THEN 'CUS-TWICE' ELSE customer_id END",
+        "customer_since_date": "CASE WHEN customer_key % 37 = 0 THEN DATE '2999-01-01' ELSE customer_since_date END",
+    },
+    "dim_vehicle": {"vin": "CASE WHEN vehicle_key % 31 = 0 THEN 'SAME' ELSE vin END"},
+    "dim_employee": {
+        "employee_id": "CASE WHEN employee_key % 7 = 0 THEN 'EMP-TWICE' ELSE employee_id END",
+        "dealership_key": "CASE WHEN employee_key % 11 = 0 THEN 9999999 ELSE dealership_key END",
+    },
+    "dim_dealership": {"dealership_id": "CASE WHEN dealership_key % 3 = 0 THEN 'DLR-TWICE' ELSE dealership_id END"},
+    "service_orders": {"vehicle_id": "CASE WHEN CAST(substr(appointment_id, 4) AS BIGINT) % 47 = 0 THEN 'VEH000000001' ELSE vehicle_id END"},
+}
+
+
+def faulty_star(w):
+    """The warehouse with faults in its dimensions and facts, a service type twice and a day far ahead."""
+    broken = {}
+    for name, changes in STAR_FAULTS.items():
+        broken[name] = w.table(name).withColumns({c: F.expr(e) for c, e in changes.items()})
+    kinds, days = w.table("dim_service"), w.table("dim_date")
+    broken["dim_service"] = kinds.unionByName(kinds)
+    ahead = days.orderBy("date_key").limit(1).withColumns({"date_key": F.lit(29990101), "full_date": F.lit("2999-01-01").cast("date")})
+    broken["dim_date"] = days.unionByName(ahead)
+    return w.replace(**broken)
