@@ -119,13 +119,17 @@ STAR_FAULTS: dict[str, str] = {
 }
 
 
+def broken(sql: str) -> str:
+    """The same text over the faulty tables."""
+    return re.sub(r"\b(FROM|JOIN) (fsales|fstock|fservice|buyers|cars|people|dealers|kinds|days|jobs)\b", r"\1 bad_\2", sql)
+
+
 def _dq_faulty() -> str:
     rows = []
     for check_id, count in DQ.items():
         category, name, details = quality.TEXTS[check_id]
-        broken = re.sub(r"\b(FROM|JOIN) (fsales|fstock|fservice|buyers|cars|people|dealers|kinds|days|jobs)\b", r"\1 bad_\2", count)
         rows.append(f"SELECT {_quoted(category)} AS check_category, {_quoted(name)} AS check_name, "
-                    f"{big(broken)} AS failed_count, {_quoted(details)} AS details")
+                    f"{big(broken(count))} AS failed_count, {_quoted(details)} AS details")
     joined = "\n  UNION ALL ".join(rows)
     return build(f"SELECT *, CASE failed_count WHEN 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (\n  {joined})", STAR_FAULTS)
 

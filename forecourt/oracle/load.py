@@ -117,7 +117,7 @@ CONSTRAINTS: list[tuple[str, str, str]] = [
     ("fact_sales", "payment_type", _bad("fsales", "payment_type IN ('Finance', 'Cash', 'Lease')")),
     ("fact_sales", "sale_status", _bad("fsales", "sale_status IN ('Completed', 'Returned', 'Cancelled')")),
     ("fact_sales", "amounts", _bad("fsales", "least(list_c, discount_c, price_c, cost_c) >= 0 AND abs(list_c - discount_c - price_c) <= 2 AND abs(price_c - cost_c - profit_c) <= 2")),
-    ("fact_sales", "units", _bad("fsales", "(units = -1) = (sale_status = 'Returned')")),
+    ("fact_sales", "units", _bad("fsales", "units = CASE sale_status WHEN 'Returned' THEN -1 ELSE 1 END")),
     ("fact_sales", "not_null", _null("fsales", "sale_id, sale_date, customer_key, vehicle_key, dealership_key, salesperson_key, price_c, payment_type, sale_status")),
     ("fact_sales", "lengths", _long("fsales", sale_id=20, sales_channel=20, payment_type=20, sale_status=20)),
     ("fact_sales", "unique(sales_key)", _dups("fsales", "sale_no")),
@@ -143,6 +143,14 @@ CONSTRAINTS: list[tuple[str, str, str]] = [
 CONSTRAINT_SQL = _q("\n  UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", '{c}' AS \"constraint\", {big(sql)} AS violations" for t, c, sql in CONSTRAINTS))
 
+def faulty_constraints() -> str:
+    """The same constraints over the faulty star schema."""
+    from forecourt.oracle.checks import STAR_FAULTS, broken
+
+    return build("\n  UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", '{c}' AS \"constraint\", {big(broken(sql))} AS violations" for t, c, sql in CONSTRAINTS), STAR_FAULTS)
+
+
 COUNTED = (("dim_customer", "customer", "buyers"), ("dim_vehicle", "part", "cars"), ("dim_dealership", "supplier", "dealers"),
            ("fact_sales", "orders", "fsales"), ("fact_inventory", "stock", "fstock"), ("fact_service", "jobs", "fservice"))
 ROWS_SQL = _q("\n  UNION ALL ".join([
@@ -538,6 +546,7 @@ CLEANING_STEPS = {
 SQL: dict[str, str] = {
     **TABLES,
     "ld_10_constraints": CONSTRAINT_SQL,
+    "ld_10_faulty_constraints": faulty_constraints(),
     "ld_11_row_reconciliation": ROWS_SQL,
     "prf_1_dataset_profile": _dataset_profile(),
     "prf_2_column_profile": _column_profile(),

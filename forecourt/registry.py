@@ -189,6 +189,7 @@ LOAD: dict[str, Plan] = {
     **{f"ld_{n:02d}_{name}": (lambda w, name=name: w.table(name).drop("loaded_at"))
        for n, name in enumerate(LOADED, start=1)},
     "ld_10_constraints": constraints.violations,
+    "ld_10_faulty_constraints": lambda w: constraints.violations(faulty_star(w)),
     "ld_11_row_reconciliation": constraints.row_reconciliation,
     "ld_12_repaired_unit_signs": lambda w: repair_unit_signs(
         w.table("fact_sales").withColumn("unit_quantity", F.lit(1).cast("smallint"))
