@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from forecourt.llm.windows import CHUNK, bucket_count, flat, lists, packed, rabin_karp, repeated_anchors, runs, window_anchors
 
-LENGTH, GRAM, BYTES_PER_BUCKET = 400, 64, 8 << 20
+LENGTH, GRAM, BYTES_PER_BUCKET, SLICE = 400, 64, 8 << 20, 2048
 
 
 def byte_symbols(text: str | None) -> np.ndarray:
@@ -143,7 +143,7 @@ def _sent(gram: int, length: int, buckets: int):
     names = [f.split()[0] for f in SENT.split(", ")]
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             held: dict[tuple[int, bytes], set[tuple[int, int, int]]] = {}
             texts = pa.compute.struct_field(batch.column("row"), "text")
             for doc, twin, text, anchors in zip(batch.column("doc").to_pylist(), batch.column("twin").to_pylist(), texts, batch.column("anchors")):

@@ -113,4 +113,23 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 10
 """
 
-SQL: dict[str, str] = {"op6_embedding_near_dedup": OP6, "op8_exact_top_k": OP8, "op1_warc_archives": OP1, "op4_source_mixing": OP4}
+OP3 = r"""
+WITH texts AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM texts),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM texts WHERE len(w) >= 20),
+windows AS (SELECT doc_id, p, array_to_string(w[p:p + 19], ' ') AS s FROM starts),
+ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1 AS again FROM windows),
+covered AS (
+  SELECT doc_id, p, word, coalesce(max(coalesce(again, false)::INTEGER) OVER (
+    PARTITION BY doc_id ORDER BY p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) = 1 AS gone
+  FROM words LEFT JOIN ranked USING (doc_id, p)),
+cut AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept
+  FROM covered GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op3_substring_dedup": OP3, "op6_embedding_near_dedup": OP6, "op8_exact_top_k": OP8, "op1_warc_archives": OP1, "op4_source_mixing": OP4}

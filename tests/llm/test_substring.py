@@ -5,9 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 
-from forecourt.llm import queries, substring, windows
+from forecourt.llm import oracle, queries, substring, windows
 from conftest import SF
 
 
@@ -80,3 +81,7 @@ def test_whole_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     want = {i: (n, r, hashlib.sha256(k.encode()).hexdigest()) for i, (n, r, k) in plain(rows, 20).items()}
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.substring_dedup(spark, SF).collect()} == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    twin = con.execute(f"SELECT doc_id, n_words, n_removed, kept_sha256 FROM ({oracle.SQL['op3_substring_dedup']})").fetchall()
+    assert {r[0]: r[1:] for r in twin} == want
