@@ -168,6 +168,51 @@ def test_quality_checks_notice(w, table, changes, expected):
         assert row["status"] == "FAIL" and row["failed_count"] > 0, check_id
 
 
+def more_dq(w):
+    """Breaks that change rows rather than values."""
+    return {
+        "dq_03": {"dim_employee": w.table("dim_employee").withColumn("employee_id", F.lit("EMP000001"))},
+        "dq_04": {"dim_dealership": w.table("dim_dealership").withColumn("dealership_id", F.lit("DLR001"))},
+        "dq_05": {"dim_service": w.table("dim_service").unionByName(w.table("dim_service"))},
+        "dq_10": {"fact_inventory": w.table("fact_inventory").withColumn("vehicle_key", F.lit(None).cast("bigint"))},
+        "dq_11": {"fact_service": w.table("fact_service").withColumn("technician_key", F.lit(None).cast("bigint"))},
+        "dq_14": {"dim_vehicle": w.table("dim_vehicle").limit(1)},
+        "dq_15": {"dim_customer": w.table("dim_customer").limit(1)},
+    }
+
+
+@pytest.mark.parametrize("check_id", ["dq_03", "dq_04", "dq_05", "dq_10", "dq_11", "dq_14", "dq_15"])
+def test_quality_checks_notice_rows(w, check_id):
+    assert quality.check(w.replace(**more_dq(w)[check_id]), check_id).first()["status"] == "FAIL"
+
+
+def model_breaks(w):
+    sold, stock, visits, days = (w.table(n) for n in ("sales_detail", "inventory_detail", "service_detail", "dim_date"))
+    return {
+        "dimension_key_uniqueness": {"dim_vehicle": w.table("dim_vehicle").unionByName(w.table("dim_vehicle").limit(1))},
+        "fact_grain_uniqueness": {"sales_detail": sold.unionByName(sold.limit(2))},
+        "required_foreign_keys_and_role_alignment": {"sales_detail": sold.withColumn("salesperson_key", F.lit(999999).cast("bigint"))},
+        "inventory_composite_grain": {"inventory_detail": stock.unionByName(stock.limit(2))},
+        "repair_order_unique_within_appointments": {"service_detail": visits.withColumn(
+            "service_order_id", F.when(F.col("service_order_id").isNotNull(), F.lit("SRO000001")))},
+        "service_status_enrichment_preserves_grain": {"fact_service": w.table("fact_service").unionByName(w.table("fact_service"))},
+        "appointments_not_lost": {"service_detail": visits.where("appointment_id <> 'APT000001'")},
+        "sales_eligible_rows_preserved": {"sales_detail": sold.where("sale_id <> 'SAL000001'")},
+        "inventory_rows_preserved": {"inventory_detail": stock.where("inventory_id <> 'INV000001'")},
+        "calendar_source_unique_contiguous": {"dim_date": days.where("full_date <> (DATE '2024-03-05')")},
+        "calendar_bounds_available": {n: w.table(n).limit(0) for n in ("dim_date", "fact_service", "dim_customer")},
+        "date_key_matches_date": {"dim_date": days.withColumn("date_key", F.col("date_key") + 1)},
+        "signed_return_values": {"sales_detail": sold.withColumn("units_sold", F.lit(-1).cast(sold.schema["units_sold"].dataType))},
+        "slow_moving_and_bucket_boundaries": {"inventory_detail": stock.withColumn("is_slow_moving", ~F.col("is_slow_moving"))},
+    }
+
+
+def test_model_checks_notice(w):
+    for name, changes in model_breaks(w).items():
+        row = reconcile.model_checks(w.replace(**changes), only=name).first()
+        assert (row["status"], row["failed_count"] > 0) == ("FAIL", True), name
+
+
 def test_future_dates_depend_on_the_reporting_day(w):
     assert quality.check(w, "dq_21", as_of="2000-01-01").first()["status"] == "FAIL"
     assert quality.check(w, "dq_21", as_of="2100-01-01").first()["status"] == "PASS"
