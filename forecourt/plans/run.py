@@ -16,6 +16,7 @@ from forecourt.sources.files import (
     input_manifest,
     load_datasets,
     preflight,
+    require_staged_rows,
     require_unchanged,
     stage_datasets,
     write_audit,
@@ -55,6 +56,7 @@ def load_folder(spark: SparkSession, processed: str, root: str, contracts: dict[
 
     require_unchanged(spark, processed, recorded)
     staged = stage_datasets(spark, processed, f"{store.path}/_staging")
+    require_staged_rows(rows, staged)
     w = Warehouse({name: frame.drop("loaded_at") for name, frame in staged.items()}, store)
     require_unchanged(spark, processed, recorded)
 

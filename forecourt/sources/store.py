@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_BUCKET = 4_000_000
 MAX_BUCKETS = 65_536
+POINTER = "current.json"
 
 
 @dataclass(frozen=True)
@@ -111,16 +112,32 @@ class TableStore:
 
     # -- publication -------------------------------------------------------
     def publish(self, tables: list[str]) -> None:
-        """Point the root at this version. The one-row pointer is the only thing overwritten."""
+        """Point the root at this version: the new pointer is written beside the old one and renamed over it.
+
+        A reader finds the old pointer or the new one, and a crash leaves the old one in place.
+        """
         manifest = {"version": self.version, "tables": tables, "buckets": self.buckets, "rows": self.row_counts}
-        text = json.dumps(manifest)
-        self.spark.createDataFrame([(text,)], "manifest string").coalesce(1) \
-            .write.mode("overwrite").text(f"{self.root}/_current")
+        _replace_file(self.spark, f"{self.root}/{POINTER}", json.dumps(manifest))
 
     @classmethod
     def current(cls, spark: SparkSession, root: str) -> tuple[TableStore, list[str]]:
         """The published version and its table names."""
-        manifest = json.loads(spark.read.text(f"{root.rstrip('/')}/_current").first()[0])
+        manifest = json.loads(spark.read.text(f"{root.rstrip('/')}/{POINTER}").first()[0])
         store = cls(spark, root, manifest["version"], manifest["rows"])
         store.buckets = manifest["buckets"]
         return store, manifest["tables"]
+
+
+def _replace_file(spark: SparkSession, target: str, text: str) -> None:
+    """Replace a small file at once, on any file system that Hadoop knows."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    final = jvm.org.apache.hadoop.fs.Path(target)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{target}.{uuid.uuid4().hex}.new")
+    files = final.getFileSystem(conf)
+    stream = files.create(beside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    overwrite = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    options[0] = overwrite
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), conf).rename(beside, final, options)

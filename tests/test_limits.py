@@ -52,3 +52,21 @@ def test_files_in_pieces_have_the_same_digest(spark, sample, tmp_path):
     files.write_datasets({n: sample[n] for n in DATASETS}, str(tmp_path))
     whole, pieces = files.input_manifest(spark, str(tmp_path)), files.input_manifest(spark, str(tmp_path), 10)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, pieces.collect())) and whole.count() > 0
+
+
+def test_pointer_is_replaced_at_once(spark, tmp_path):
+    from forecourt.sources.store import TableStore
+
+    for _ in range(2):
+        store = TableStore.create(spark, str(tmp_path), {"sales": 3})
+        store.publish(["dim_date"])
+        found, tables = TableStore.current(spark, str(tmp_path))
+        assert (found.version, tables, found.row_counts) == (store.version, ["dim_date"], {"sales": 3})
+    assert [p.name for p in tmp_path.iterdir() if p.name.endswith(".json")] == ["current.json"]
+
+
+def test_lost_rows_between_source_and_staging_stop_the_load(sample):
+    counts = {name: frame.count() for name, frame in sample.items()}
+    files.require_staged_rows(counts, sample)
+    with pytest.raises(files.SourceError, match="sales 50 / 49"):
+        files.require_staged_rows(counts, {**sample, "sales": sample["sales"].limit(49)})
