@@ -41,20 +41,21 @@ def _canonical(identifier: Column, prefix: str, width: int, longest: int) -> tup
     return F.when(identifier.startswith(prefix), F.lit(0).cast("bigint")).otherwise(code), digits
 
 
-def surrogate_key(identifier: str | Column, prefix: str = "", width: int = 6) -> Column:
+def surrogate_key(identifier: str | Column, prefix: str | None = None, width: int = 6) -> Column:
     """BIGINT key of a business identifier.
 
     Identifiers with the declared prefix keep their own number, so keys stay dense, comparable
     between runs and free of collisions. Another prefix of three letters is coded above the
     14 digits of the number. Any other text gets a negative 62-bit digest; the load gate checks
-    uniqueness, so a collision stops the load instead of merging two entities.
+    uniqueness, so a collision stops the load instead of merging two entities. Without a declared
+    prefix the column must hold one prefix only, and other text gets a 60-bit digest.
     """
     identifier = F.col(identifier) if isinstance(identifier, str) else identifier
     digest = F.md5(identifier)
     half = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
-    if not prefix:
-        return F.when(identifier.isNotNull(), -half - 1)
-    code, digits = _canonical(identifier, prefix, width, 14)
+    code, digits = _canonical(identifier, prefix or "", width, 14)
+    if prefix is None:
+        return F.when(identifier.isNotNull(), F.coalesce(digits.try_cast("bigint"), -half - 1))
     number = code * F.lit(10**14) + digits.try_cast("bigint")
     hashed = -(half * 4 + F.conv(F.substring(digest, 16, 1), 16, 10).cast("bigint") % 4) - 1
     return F.when(identifier.isNotNull(), F.coalesce(number, hashed))
