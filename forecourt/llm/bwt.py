@@ -57,13 +57,22 @@ class Transform:
         self.at, self.symbol, self.before, self.ends = join(at), join(symbol), join(before), join(ends)
 
 
+def stable_order(ids: np.ndarray) -> np.ndarray:
+    """Stable order of small non-negative ids: counting sorts over 16 bits at a time."""
+    order = np.argsort((ids & 0xFFFF).astype(np.uint16), kind="stable")
+    top = int(ids.max()) if len(ids) else 0
+    for shift in range(16, top.bit_length(), 16):
+        order = order[np.argsort((ids[order] >> shift & 0xFFFF).astype(np.uint16), kind="stable")]
+    return order
+
+
 def refine(order: np.ndarray, symbol: np.ndarray, before: np.ndarray, ends: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """The interleave after some rounds, and the block of each of its members."""
     block = np.zeros(len(order), np.int64)
     for _ in range(rounds):
         lead = symbol[order]
         some = np.flatnonzero(lead >= 0)
-        dealt = some[np.argsort(lead[some], kind="stable")]
+        dealt = some[stable_order(lead[some])]
         opened = runs(lead[dealt], block[dealt])
         order = np.concatenate((ends, before[order[dealt]]))
         block = np.concatenate((np.zeros(len(ends), np.int64), np.cumsum(opened)))
