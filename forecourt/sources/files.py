@@ -132,7 +132,7 @@ def stage_datasets(spark: SparkSession, folder: str, target: str) -> dict[str, D
 def require_staged_rows(expected: dict[str, int], staged: dict[str, DataFrame]) -> None:
     """Gate: every staged dataset has as many rows as its source file had at the preflight."""
     found = {r["dataset"]: r["rows"] for r in row_counts(staged).collect()}
-    wrong = [f"{n} {expected[n]} / {found.get(n)}" for n in sorted(expected) if expected[n] != found.get(n)]
+    wrong = [f"{n} {expected[n]} / {found.get(n)}" for n in DATASETS if n in expected and expected[n] != found.get(n)]
     if wrong:
         raise SourceError(f"rows of source and staging differ: {', '.join(wrong)}")
 
