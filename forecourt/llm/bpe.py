@@ -13,9 +13,7 @@ the driver and sent once to each executor (its size is checked).
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +23,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forecourt.llm.stages import released
+
 MAX_VOCABULARY_BYTES = 256 << 20
-REMEMBERED = 1 << 17
+REMEMBERED, OUTPUT_ROWS = 1 << 16, 256
 _MASK, _STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
 
 
@@ -88,7 +88,7 @@ class _Remembered(dict):
     def __missing__(self, piece: str) -> bytes:
         packed = self.old.get(piece)
         if packed is None:
-            packed = array("i", self.vocabulary.encode(piece.encode())).tobytes()
+            packed = np.array(self.vocabulary.encode(piece.encode()), dtype="<u4").tobytes()
         if len(piece) <= 64:
             if len(self) >= REMEMBERED:
                 self.old = dict(self)
@@ -177,7 +177,7 @@ class BytePairCodec:
         def encoded(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             split, remembered = pre_tokens(pattern), shared.value.remembered
             remembered.vocabulary = shared.value
-            for batch in texts:
+            for batch in released(texts):
                 ids, ends = bytearray(), [0]
                 for text in batch:
                     ids += b"".join(map(remembered.__getitem__, split(text.as_py() or "")))
@@ -209,20 +209,34 @@ def _bounds(lists: pa.ListArray) -> list[tuple[int, int]]:
     return list(zip(ends, ends[1:]))
 
 
-@F.arrow_udf(T.StringType())
-def ids_sha256(batch: pa.Array) -> pa.Array:
-    """Lower-case hex SHA-256 of ids as little-endian unsigned 32-bit integers."""
-    values = batch.values
-    return pa.array([hashlib.sha256(values.slice(a, b - a).to_numpy().astype("<u4").tobytes()).hexdigest()
-                     for a, b in _bounds(batch)])
-
-
 def encode_documents(documents: DataFrame, codec: BytePairCodec) -> DataFrame:
-    """The rows with ``ids`` and ``n_tokens``; columns of these names are replaced."""
+    """The rows with ``ids`` (``array<int>``) and ``n_tokens``; columns of these names are replaced."""
     return documents.withColumn("ids", codec.encode("text")) \
         .withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 
 def round_trip(documents: DataFrame, codec: BytePairCodec) -> DataFrame:
-    """The rows with ``ids``, ``n_tokens`` and the ``decoded`` bytes."""
-    return encode_documents(documents, codec).withColumn("decoded", codec.decode("ids"))
+    """The rows with ``packed``, ``n_tokens`` and ``decoded``: texts encoded, and their ids decoded again, in one pass.
+
+    ``packed`` holds the ids as little-endian unsigned 32-bit integers, ``decoded`` the bytes
+    that they stand for. Columns of these names are replaced. Output goes out in small batches,
+    so a task holds the texts of one input batch and little else.
+    """
+    names = [c for c in documents.columns if c.lower() not in ("packed", "n_tokens", "decoded")]
+    rows = documents.select(*[F.col(f"`{c}`") for c in names])
+    kinds = T.StructType([*rows.schema.fields, T.StructField("packed", T.BinaryType()),
+                          T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.BinaryType())])
+    shared, tokens, pattern, at = codec.shared, codec.tokens, codec.pattern, [c.lower() for c in names].index("text")
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, remembered, token = pre_tokens(pattern), shared.value.remembered, tokens.value.__getitem__
+        remembered.vocabulary = shared.value
+        for batch in released(batches):
+            for start in range(0, batch.num_rows, OUTPUT_ROWS):
+                part = batch.slice(start, OUTPUT_ROWS)
+                packed = [b"".join(map(remembered.__getitem__, split(t.as_py() or ""))) for t in part.column(at)]
+                decoded = [b"".join(map(token, np.frombuffer(p, "<u4").tolist())) for p in packed]
+                more = [pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(decoded, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, "packed", "n_tokens", "decoded"])
+
+    return rows.mapInArrow(coded, kinds)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.llm.stages import released
+
 LABELLED, POOL, ROUNDS, SURE, PER_ROUND = 6_000, 4_000, 3, 0.95, 300
 GRAMS, PLACES = 256, 32
 GOOD_LOST = 0.005  # the threshold may reject at most this share of the good calibration rows
@@ -178,7 +180,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
                 F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4)).cast("int").alias("part"))
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             content, page = _features(batch)
             both = pa.array(list(np.hstack((content, page)).astype(np.float32)), pa.list_(pa.float32()))
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "label": batch.column("label"),
@@ -215,12 +217,13 @@ def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
         scored = F.from_json(F.lit('{"keep":true}'), kind)
     else:
         @F.arrow_udf(kind)
-        def judged(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
-            content, page = _features(pa.record_batch(
-                {"text": text, "lang": lang, "source": source, "n_chars": n_chars}))
-            a, b, c = model.scores(content, page)
-            return pa.StructArray.from_arrays([pa.array(a), pa.array(b), pa.array(c), pa.array(c >= model.threshold)],
-                                              ["content_score", "page_score", "score", "keep"])
+        def judged(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for text, lang, source, n_chars in released(batches):
+                content, page = _features(pa.record_batch(
+                    {"text": text, "lang": lang, "source": source, "n_chars": n_chars}))
+                a, b, c = model.scores(content, page)
+                yield pa.StructArray.from_arrays([pa.array(a), pa.array(b), pa.array(c), pa.array(c >= model.threshold)],
+                                                 ["content_score", "page_score", "score", "keep"])
 
         scored = judged("text", "lang", "source", F.col("n_chars").cast("bigint"))
     names = ("content_score", "page_score", "score", "keep")

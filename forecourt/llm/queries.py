@@ -29,7 +29,7 @@ def warc_archives(spark: SparkSession, folder: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     codec = bpe.BytePairCodec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     coded = bpe.round_trip(table(spark, folder, "documents").select("doc_id", "text"), codec)
-    return coded.select("doc_id", "n_tokens", bpe.ids_sha256("ids").alias("ids_sha256"),
+    return coded.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

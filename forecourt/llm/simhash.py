@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecourt.llm.components import connected_components
-from forecourt.llm.stages import Stage
+from forecourt.llm.stages import Stage, released
 
 BITS, RADIUS, BUCKET, SEED = 64, 3, 2048, 42
 FORWARD = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
@@ -58,7 +58,7 @@ def fingerprint(text: Column, shingle: int = 3) -> Column:
 
     @F.arrow_udf(T.LongType())
     def fingerprints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in texts:
+        for batch in released(texts):
             out = np.fromiter((fingerprint_of(t.as_py(), shingle) for t in batch), dtype=np.uint64, count=len(batch))
             yield pa.array(out.view(np.int64))
 
@@ -85,7 +85,7 @@ def _finer(spark: SparkSession, masks: list[int]) -> DataFrame:
 @F.arrow_udf(FORWARD)
 def _forest(groups: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """A spanning forest of the links among the members of each bucket."""
-    for batch in groups:
+    for batch in released(groups):
         found = []
         for group in batch.to_pylist():
             marks = np.array([m["fp"] for m in group], dtype=np.int64)

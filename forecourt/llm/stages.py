@@ -3,13 +3,29 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.sources.store import shared_folder
 
 Stage = Callable[[str, DataFrame], DataFrame]
+Batch = TypeVar("Batch")
+
+
+def released(batches: Iterator[Batch]) -> Iterator[Batch]:
+    """The batches of a task; what Arrow holds unused goes back to the system after each."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task builds for one of them stays small."""
+    return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -36,15 +36,18 @@ def test_texts_as_the_library(spark, library):
     codec = bpe.BytePairCodec(spark, PATH, public_tokenizers.PATTERN)
     rows = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string").repartition(3)
     out = {r.doc_id: r for r in bpe.round_trip(rows, codec).collect()}
+    ids = {r.doc_id: r for r in bpe.encode_documents(rows, codec).withColumn("back", codec.decode("ids")).collect()}
     for i, text in enumerate(TEXTS):
-        assert out[i].ids == library.encode_ordinary(text or "") and out[i].n_tokens == len(out[i].ids)
-        assert bytes(out[i].decoded) == (text or "").encode() and out[i].text == text
+        want = library.encode_ordinary(text or "")
+        assert ids[i].ids == want and ids[i].n_tokens == out[i].n_tokens == len(want)
+        assert bytes(out[i].packed) == np.array(want, dtype="<u4").tobytes()
+        assert bytes(out[i].decoded) == bytes(ids[i].back) == (text or "").encode() and out[i].text == text
 
 
 def test_empty_table_and_extra_columns(spark):
     codec = bpe.BytePairCodec(spark, PATH, public_tokenizers.PATTERN)
     rows = spark.createDataFrame([(1, "x y", "old", [7])], "doc_id bigint, text string, decoded string, ids array<int>")
-    assert bpe.round_trip(rows, codec).first().n_tokens == 2
+    assert bpe.round_trip(rows, codec).first().n_tokens == 2 and bpe.encode_documents(rows, codec).first().ids != [7]
     assert bpe.round_trip(rows.limit(0), codec).count() == 0
     assert spark.sql("select cast(null as array<int>) as ids").select(codec.decode("ids").alias("b")).first().b == b""
 
