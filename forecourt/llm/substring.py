@@ -18,12 +18,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.llm.stages import released, sliced
 from forecourt.llm.windows import (bucket_count, flat, lists, packed, rabin_karp, repeated_anchors, runs,
                                    window_anchors)
 
 WINDOW, GRAM = 20, 8
 BYTES_PER_BUCKET = 8 << 20
-WORDS_KEPT = 1 << 18
+WORDS_KEPT = 1 << 16
 
 
 class _WordHashes(dict):
@@ -79,7 +80,7 @@ def _later(h1, h2, doc, twin, start) -> tuple[np.ndarray, np.ndarray]:
 
 def _sent(gram: int, window: int, buckets: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(sliced(batches)):
             parts: list[tuple[np.ndarray, ...]] = []
             texts = pa.compute.struct_field(batch.column("row"), "text")
             for doc, twin, text, anchors in zip(batch.column("doc").to_pylist(), batch.column("twin").to_pylist(),

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.llm.stages import released, sliced
+
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 CHUNK = 1 << 20
@@ -142,7 +144,7 @@ def repeated_anchors(texts: DataFrame, symbols: Symbols, gram: int, window: int,
     """
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(sliced(batches)):
             docs, found = [], []
             for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
                 hashes = anchor_places(symbols(text.as_py()), gram, window)[1]
