@@ -1,10 +1,11 @@
 """Substring de-duplication by Rabin-Karp hashes of every window of ``WINDOW`` words.
 
 Every window of a text is hashed. Windows whose anchor (see ``windows``) repeats are counted in
-Spark by a 128-bit hash, bucketed by anchor: within a bucket the earliest start of each hash
+Spark by a 128-bit hash, bucketed by that hash: within a bucket the earliest start of each hash
 stays and all later starts are repeats. Runs of repeated starts merge into maximal intervals of
 words, and the words inside them are removed. A task settles what repeats inside its own batch
-and sends each distinct window once, so a passage that very many documents share is no hot key.
+and sends each distinct window once, so a passage that very many documents share is no hot key;
+nor is a line inside ever different words, whose windows share an anchor but no hash.
 """
 
 from __future__ import annotations
@@ -89,14 +90,14 @@ def _sent(gram: int, window: int, buckets: int):
                 symbols = _first.of(words)
                 own = window_anchors(symbols, gram, window)
                 at = np.flatnonzero(np.isin(own, anchors.values.to_numpy().view(np.uint64)))
-                parts.append((own[at], rabin_karp(symbols, window)[at], rabin_karp(_second.of(words), window)[at],
+                parts.append((rabin_karp(symbols, window)[at], rabin_karp(_second.of(words), window)[at],
                               np.full(len(at), doc, np.int64), np.full(len(at), twin, np.int64), at))
             if not parts:
                 continue
-            own, h1, h2, doc, twin, start = (np.concatenate(p) for p in zip(*parts))
+            h1, h2, doc, twin, start = (np.concatenate(p) for p in zip(*parts))
             order, later = _later(h1, h2, doc, twin, start)
             keep, over = order[~later], order[later]
-            rows = pa.record_batch(packed((own[keep] % np.uint64(buckets)).astype(np.int64), {
+            rows = pa.record_batch(packed((h1[keep] % np.uint64(buckets)).astype(np.int64), {
                 "h1": h1[keep].view(np.int64), "h2": h2[keep].view(np.int64), "doc": doc[keep], "twin": twin[keep],
                 "start": start[keep].astype(np.int32)}))
             yield rows.append_column("settled", pa.array(np.zeros(rows.num_rows, bool))).select(SENT)

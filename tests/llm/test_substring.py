@@ -7,6 +7,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 
 from forecourt.llm import oracle, queries, substring, windows
 from conftest import SF
@@ -67,6 +68,19 @@ def test_random_passages(spark):
     assert result(substring.remove_repeats(frame, 5)) == plain(rows, 5)
 
 
+def test_a_line_in_other_words_everywhere_is_no_hot_bucket():
+    rng, line = random.Random(7), [f"line{i}" for i in range(12)]
+    texts = [" ".join([f"w{rng.getrandbits(60)}" for _ in range(30)] + line + [f"w{rng.getrandbits(60)}" for _ in range(30)]) for _ in range(400)]
+    shared = windows.rabin_karp(substring.word_symbols(" ".join(line)), 8).view(np.int64).tolist()
+    batch = pa.record_batch({"doc": pa.array(range(400), pa.int64()), "twin": pa.array(range(400), pa.int64()),
+                             "row": pa.array([{"text": t} for t in texts]), "anchors": pa.array([shared] * 400, pa.list_(pa.int64()))})
+    held = np.zeros(64, np.int64)
+    for rows in substring._sent(8, 20, 64)(iter([batch])):
+        for bucket, starts in zip(rows.column("bucket").to_pylist(), rows.column("start").to_pylist()):
+            held[bucket] += len(starts)
+    assert held.sum() >= 400 and held.max() < 3 * held.mean()
+
+
 def test_repeated_rows_clashing_columns_and_no_rows(spark):
     text = " ".join(f"t{i}" for i in range(30))
     rows = [(4, text, "x"), (4, text, "y"), (2, "z " + text, "x"), (None, text, "n")]
