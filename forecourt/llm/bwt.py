@@ -3,7 +3,9 @@
 A byte goes when a string of ``LENGTH`` bytes over it also starts somewhere else. Only strings
 whose anchor (see ``windows``) repeats can do so; their starts are cut into strips, runs of starts
 with one anchor and the bytes behind them, and strips meet by anchor. Equal strips are reduced to
-one with a count first: a passage copied as a whole needs no sorting.
+one with a count first: a passage copied as a whole needs no sorting. An anchor with ``CROWD``
+places or more, such as a line inside ever different texts, makes no group of strips: its starts
+meet by the 128-bit hash of their string instead, so they spread over all buckets.
 
 The strips that remain come in shards, one per input batch. The alphabet is ``SYMBOL`` bytes
 wide, so a string of ``LENGTH`` bytes is a few symbols, and a strip is read as SYMBOL chains of
@@ -26,9 +28,12 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.windows import CHUNK, bucket_count, flat, lists, packed, rabin_karp, repeated_anchors, runs, window_anchors
+from forecourt.llm.stages import written
+from forecourt.llm.substring import _starts
+from forecourt.llm.windows import CHUNK, answers, bucket_count, by_document, flat, lists, packed, rabin_karp, runs, window_anchors
 
 LENGTH, GRAM, BYTES_PER_BUCKET, SLICE = 400, 64, 8 << 20, 2048
+CROWD, HELD = 4096, 1 << 20
 
 
 def byte_symbols(text: str | None) -> np.ndarray:
@@ -139,7 +144,16 @@ def strips_of(raw: bytes, anchors: np.ndarray, length: int, gram: int) -> Iterat
             yield int(own[a]), at + a, part[a:b + length - 1]
 
 
-SENT = "bucket int, anchor array<bigint>, strip array<binary>, doc array<bigint>, twin array<bigint>, start array<bigint>, copies array<int>"
+def starts_of(raw: bytes, anchors: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(h1, h2, start) of the starts whose anchor is among the given ones."""
+    for at in range(0, max(0, len(raw) - length + 1), CHUNK):
+        s = np.frombuffer(raw[at:at + CHUNK + length - 1], np.uint8).astype(np.uint64) + np.uint64(1)
+        own = np.flatnonzero(np.isin(window_anchors(s, gram, length), anchors))
+        if len(own):
+            yield rabin_karp(s, length)[own], rabin_karp(s * s + np.uint64(0x51ED27) * s, length)[own], own + at
+
+
+SENT = "hashed boolean, bucket int, anchor array<bigint>, other array<bigint>, strip array<binary>, doc array<bigint>, twin array<bigint>, start array<bigint>, copies array<int>"
 STARTS = "doc bigint, twin bigint, first bigint, last bigint"
 
 
@@ -148,17 +162,58 @@ def _spans(doc, twin, first, last) -> pa.Table:
                      "first": pa.array(first, pa.int64()), "last": pa.array(last, pa.int64())})
 
 
-def _sent(gram: int, length: int, buckets: int):
+def _places(h1, h2, copies, doc, twin, start) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct places in order of their hash, the number of the hash of each, and how many places each hash has."""
+    order = np.lexsort((start, twin, doc, copies, h2, h1))
+    order = order[runs(*(c[order] for c in (h1, h2, copies, doc, twin, start)))]
+    group = np.cumsum(runs(h1[order], h2[order])) - 1
+    return order, group, np.bincount(group, weights=copies[order])
+
+
+def _hashed(parts: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[dict[str, pa.Array]]:
+    """Each distinct string once, without a place where it has several here; those places are settled and go as spans."""
+    h1, h2, doc, twin, start = (np.concatenate(p) for p in zip(*parts))
+    order, group, count = _places(h1, h2, np.ones(len(h1), np.int32), doc, twin, start)
+    h1, h2, doc, twin, start = (c[order] for c in (h1, h2, doc, twin, start))
+    head, several = runs(group), count[group] > 1
+    place = lambda c: np.where(several, 0, c)[head]
+    yield packed((h1[head] % np.uint64(buckets)).astype(np.int64), {
+        "anchor": h1[head].view(np.int64), "other": h2[head].view(np.int64), "doc": place(doc), "twin": place(twin),
+        "start": place(start), "copies": np.where(several, 2, 1)[head].astype(np.int32)})
+    if several.any():
+        span = _starts(doc[several], twin[several], start[several])
+        yield packed((span["doc"] ^ span["twin"]) % buckets, {
+            "anchor": span["first"], "other": span["last"], "doc": span["doc"], "twin": span["twin"], "start": span["first"],
+            "copies": np.zeros(len(span["doc"]), np.int32)})
+
+
+def _sent(gram: int, length: int, buckets: int, crowded: np.ndarray):
     names = [f.split()[0] for f in SENT.split(", ")]
 
+    def whole(made: dict[str, pa.Array]) -> pa.RecordBatch:
+        n = len(made["bucket"])
+        none = {"other": pa.array([[]] * n, pa.list_(pa.int64())), "strip": pa.array([[]] * n, pa.list_(pa.binary()))}
+        return pa.record_batch({c: ({"hashed": pa.array([("other" in made)] * n, pa.bool_())} | none | made)[c] for c in names})
+
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             held: dict[tuple[int, bytes], set[tuple[int, int, int]]] = {}
+            parts: list[tuple[np.ndarray, ...]] = []
             texts = pa.compute.struct_field(batch.column("row"), "text")
             for doc, twin, text, anchors in zip(batch.column("doc").to_pylist(), batch.column("twin").to_pylist(), texts, batch.column("anchors")):
                 wanted = anchors.values.to_numpy().view(np.uint64)
-                for anchor, start, strip in strips_of((text.as_py() or "").encode(), wanted, length, gram):
-                    held.setdefault((anchor, strip), set()).add((doc, twin, start))
+                full, raw = np.isin(wanted, crowded), (text.as_py() or "").encode()
+                if not full.all():
+                    for anchor, start, strip in strips_of(raw, wanted[~full], length, gram):
+                        held.setdefault((anchor, strip), set()).add((doc, twin, start))
+                if full.any():
+                    for h1, h2, start in starts_of(raw, wanted[full], length, gram):
+                        parts.append((h1, h2, np.full(len(start), doc, np.int64), np.full(len(start), twin, np.int64), start))
+                        if sum(len(p[0]) for p in parts) >= HELD:
+                            yield from map(whole, _hashed(parts, buckets))
+                            parts = []
+            if parts:
+                yield from map(whole, _hashed(parts, buckets))
             # A strip with several places is settled here; one row of it goes on as evidence, without a place.
             rows = [(a % buckets, a, s, *(next(iter(p)) if len(p) == 1 else (0, 0, 0)), len(p)) for (a, s), p in held.items()]
             over = [(hash(place) % buckets, 0, s, *place, 0) for (_, s), p in held.items() if len(p) > 1 for place in p]
@@ -175,13 +230,26 @@ def _sent(gram: int, length: int, buckets: int):
                         made["anchor"] = lists(place.offsets.to_numpy()[1:], size[place.values.to_numpy()])
                     else:
                         made["strip"] = pa.ListArray.from_arrays(place.offsets, pa.array([strip[j] for j in place.values.to_numpy().tolist()], pa.binary()))
-                    yield pa.record_batch({n: made[n] for n in names})
+                    yield whole(made)
 
     return sent
 
 
+def _met_by_hash(table: pa.Table) -> pa.Table:
+    h1, h2, doc, twin, start, copies = (flat(table, n) for n in ("anchor", "other", "doc", "twin", "start", "copies"))
+    done, open_ = copies == 0, np.flatnonzero(copies)
+    order, group, count = _places(*(c[open_] for c in (h1, h2, copies, doc, twin, start)))
+    again = open_[order[(count[group] > 1) & (copies[open_][order] == 1)]]
+    found = _starts(doc[again], twin[again], start[again])
+    return pa.concat_tables([_spans(*found.values()), _spans(doc[done], twin[done], start[done], h2[done])])
+
+
 def _met(length: int):
     def met(table: pa.Table) -> pa.Table:
+        hashed = table.column("hashed")
+        return pa.concat_tables([_met_by_hash(table.filter(hashed)), by_strip(table.filter(pa.compute.invert(hashed)))])
+
+    def by_strip(table: pa.Table) -> pa.Table:
         shard = np.repeat(np.arange(table.num_rows), [len(x) for chunk in table.column("doc").chunks for x in chunk])
         anchor, doc, twin, start, copies = (flat(table, n) for n in ("anchor", "doc", "twin", "start", "copies"))
         strips = [s for chunk in table.column("strip").chunks for s in chunk.flatten().to_pylist()]
@@ -262,8 +330,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     keyed = documents.select(doc, F.xxhash64("text").alias("twin"), F.struct(*[F.col(f"`{c}`") for c in passed]).alias("row"))
     # The texts are dealt by document once; both joins below read this one exchange.
     dealt = keyed.repartition(parts, "doc")
-    replies = repeated_anchors(documents.select(doc, "text"), byte_symbols, gram, length, buckets)
-    sent = dealt.join(replies, "doc").select("doc", "twin", "row", "anchors").mapInArrow(_sent(gram, length, buckets), SENT)
+    found = written(documents.sparkSession, "suffix-dedup")(
+        "anchors", answers(documents.select(doc, "text"), byte_symbols, gram, length, buckets, CROWD))
+    replies = by_document(found.where("not crowded"))
+    # At most one per CROWD anchor places of the table.
+    crowded = np.array([a for r in found.where("crowded").select("anchors").collect() for a in r.anchors], np.int64).view(np.uint64)
+    sent = dealt.join(replies, "doc").select("doc", "twin", "row", "anchors").mapInArrow(_sent(gram, length, buckets, crowded), SENT)
     found = sent.groupBy("bucket").applyInArrow(_met(length), STARTS) \
         .groupBy("doc").agg(F.collect_list(F.struct("first", "last", "twin")).alias("repeats"))
     own = F.filter("repeats", lambda r: r["twin"] == F.col("twin"))

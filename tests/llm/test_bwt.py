@@ -6,7 +6,11 @@ import hashlib
 import random
 from collections import Counter
 
-from forecourt.llm import bwt, queries
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from forecourt.llm import bwt, queries, windows
 from conftest import SF
 
 
@@ -52,6 +56,39 @@ def test_random_passages(spark):
         assert result(bwt.remove_repeats(frame, length)) == plain(rows, length)
 
 
+@pytest.mark.parametrize("held", [1 << 20, 50])
+def test_crowded_anchors(spark, monkeypatch, held):
+    monkeypatch.setattr(bwt, "CROWD", 4)
+    monkeypatch.setattr(bwt, "HELD", held)
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    long, line = word(90), word(25)
+    rows = [(i, word(rng.randrange(40)) + rng.choice([long, line, long + line, line + long[:50]]) + word(rng.randrange(40))) for i in range(150)]
+    rows += [(200, "x" * 300), (201, None), (202, rows[0][1]), (203, long * 3)]
+    frame = spark.createDataFrame(rows + rows[:20], "doc_id bigint, text string").repartition(7)
+    assert result(bwt.remove_repeats(frame, 40)) == plain(rows, 40)
+
+
+def test_a_line_in_other_texts_everywhere_is_no_hot_bucket(spark):
+    rng = random.Random(10)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    line = min((word(150) for _ in range(50)), key=lambda t: windows.rabin_karp(bwt.byte_symbols(t), 64).min())
+    texts = [word(400) + line + word(400) for _ in range(300)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc bigint, text string")
+    found = windows.answers(frame, bwt.byte_symbols, 64, 400, 64, 100).collect()
+    crowded = np.array([a for r in found if r.crowded for a in r.anchors], np.int64).view(np.uint64)
+    grams = windows.rabin_karp(bwt.byte_symbols(line), 64)
+    assert 0 < len(crowded) and np.isin(crowded, grams).all()
+    batch = pa.record_batch({"doc": pa.array(range(300), pa.int64()), "twin": pa.array(range(300), pa.int64()),
+                             "row": pa.array([{"text": t} for t in texts]), "anchors": pa.array([crowded.view(np.int64).tolist()] * 300, pa.list_(pa.int64()))})
+    size = np.zeros(64, np.int64)
+    for rows in bwt._sent(64, 400, 64, crowded)(iter([batch])):
+        for bucket, starts, strips in zip(*(rows.column(n).to_pylist() for n in ("bucket", "start", "strip"))):
+            size[bucket] += len(starts)
+            assert not strips
+    assert size.sum() >= 300 and size.max() < 2 * size.mean()
+
+
 def test_repeated_rows_clashing_columns_and_no_rows(spark):
     rng = random.Random(8)
     text = "".join(rng.choice("abcdefgh") for _ in range(500))
