@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from forecourt.llm.stages import released
 
 MAX_VOCABULARY_BYTES = 256 << 20
-REMEMBERED, OUTPUT_ROWS = 1 << 16, 256
+REMEMBERED, OUTPUT_ROWS = 1 << 18, 256
 _MASK, _STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
 
 
@@ -167,7 +167,10 @@ class BytePairCodec:
             raise ValueError(f"a vocabulary of {size} bytes is too large to send to every executor")
         self.pattern = pattern
         self.shared = spark.sparkContext.broadcast(Vocabulary(ranks))
-        self.tokens = spark.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
+        by_rank: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            by_rank[rank] = token
+        self.tokens = spark.sparkContext.broadcast(pa.array(by_rank, pa.binary()))
 
     def encode(self, text: Column) -> Column:
         """Ids as ``array<int>``."""
@@ -193,20 +196,19 @@ class BytePairCodec:
 
         @F.arrow_udf("binary")
         def decoded(batch: pa.Array) -> pa.Array:
-            token, values = tokens.value.__getitem__, batch.values
-            text, ends = bytearray(), [0]
-            for a, b in _bounds(batch):
-                text += b"".join(map(token, values.slice(a, b - a).to_numpy().tolist()))
-                ends.append(len(text))
-            offsets = np.array(ends, np.int32)
-            return pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+            return _joined(tokens.value, batch.flatten(), batch.offsets.to_numpy() - batch.offsets[0].as_py())
 
         return decoded(F.coalesce(ids, F.array().cast("array<int>")))
 
 
-def _bounds(lists: pa.ListArray) -> list[tuple[int, int]]:
-    ends = lists.offsets.to_numpy().tolist()
-    return list(zip(ends, ends[1:]))
+def _joined(tokens: pa.Array, ids: pa.Array, ends: np.ndarray) -> pa.Array:
+    """The bytes of consecutive runs of ids, cut at the given ends: one take over the token table."""
+    taken = tokens.take(ids)
+    if taken.null_count:
+        raise ValueError("an id is null or not in the vocabulary")
+    places = np.frombuffer(taken.buffers()[1], np.int32)[taken.offset:] if len(ids) else np.zeros(1, np.int32)
+    offsets = places[ends]
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), taken.buffers()[2] or pa.py_buffer(b"")])
 
 
 def encode_documents(documents: DataFrame, codec: BytePairCodec) -> DataFrame:
@@ -229,14 +231,16 @@ def round_trip(documents: DataFrame, codec: BytePairCodec) -> DataFrame:
     shared, tokens, pattern, at = codec.shared, codec.tokens, codec.pattern, [c.lower() for c in names].index("text")
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, remembered, token = pre_tokens(pattern), shared.value.remembered, tokens.value.__getitem__
+        split, remembered = pre_tokens(pattern), shared.value.remembered
         remembered.vocabulary = shared.value
         for batch in released(batches):
             for start in range(0, batch.num_rows, OUTPUT_ROWS):
                 part = batch.slice(start, OUTPUT_ROWS)
                 packed = [b"".join(map(remembered.__getitem__, split(t.as_py() or ""))) for t in part.column(at)]
-                decoded = [b"".join(map(token, np.frombuffer(p, "<u4").tolist())) for p in packed]
-                more = [pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(decoded, pa.binary())]
+                sizes = np.array([len(p) // 4 for p in packed], np.int64)
+                ids = pa.array(np.frombuffer(b"".join(packed), "<u4"))
+                decoded = _joined(tokens.value, ids, np.concatenate(([0], np.cumsum(sizes))))
+                more = [pa.array(packed, pa.binary()), pa.array(sizes), decoded]
                 yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, "packed", "n_tokens", "decoded"])
 
     return rows.mapInArrow(coded, kinds)
