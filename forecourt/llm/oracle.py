@@ -132,4 +132,79 @@ SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::
 FROM texts LEFT JOIN cut USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op3_substring_dedup": OP3, "op6_embedding_near_dedup": OP6, "op8_exact_top_k": OP8, "op1_warc_archives": OP1, "op4_source_mixing": OP4}
+# Damage by crc32 of conversation and turn, then the least (cost, audit) per state row by row: 0 nothing yet, 1 after
+# system, 2 after user, 3 after assistant. More than two insertions at one place never pay.
+_CRC = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(name) + 1), lambda i: ascii(substr(name, i, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)"""
+
+OP12 = rf"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+diced AS (SELECT *, ({_CRC}) % 20 AS dice FROM named),
+spoilt AS (
+  SELECT conv_id, turn, CASE WHEN dice = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN dice = 1 THEN '' WHEN dice = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE dice WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM diced),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS p FROM spoilt),
+faults AS (
+  SELECT *, substr(role, 1, 1) AS initial,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY p) AS earlier
+  FROM placed),
+steps(a, letter, b) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+inserts(a, b, cost, audit) AS (
+  SELECT DISTINCT a, a, 0, '' FROM (VALUES (0), (1), (2), (3)) t(a)
+  UNION ALL SELECT a, b, 2, 'I' FROM steps WHERE letter <> 's'
+  UNION ALL SELECT x.a, y.b, 4, 'II' FROM steps x JOIN steps y ON x.b = y.a WHERE x.letter <> 's' AND y.letter <> 's'),
+edits AS (
+  SELECT p, conv_id, s.a, s.a AS b, 3 AS cost, 'D' AS audit FROM faults, (VALUES (0), (1), (2), (3)) s(a)
+  UNION ALL
+  SELECT p, conv_id, a, b, (fault = 'truncated')::INTEGER, 'K' FROM faults JOIN steps ON initial = letter WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT p, conv_id, a, b, 2 + (fault = 'truncated')::INTEGER, 'R' FROM faults, steps WHERE letter <> 's' AND fault NOT IN ('blank', 'duplicate')),
+moves AS (
+  SELECT e.conv_id, e.p, e.a, i.b, min({{'cost': e.cost + i.cost, 'audit': e.audit || i.audit}}) AS best
+  FROM edits e JOIN inserts i ON e.b = i.a GROUP BY ALL),
+reached(conv_id, p, b, cost, audit) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, i.b, i.cost::BIGINT, i.audit FROM faults, inserts i WHERE i.a = 0
+  UNION ALL
+  SELECT conv_id, p, b, best.cost, best.audit FROM (
+    SELECT r.conv_id, m.p, m.b, min({{'cost': r.cost + m.best.cost, 'audit': r.audit || m.best.audit}}) AS best
+    FROM reached r JOIN moves m ON m.conv_id IS NOT DISTINCT FROM r.conv_id AND m.p = r.p + 1 AND m.a = r.b
+    GROUP BY r.conv_id, m.p, m.b)),
+counted AS (
+  SELECT conv_id, max(p) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (p > 1 AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id),
+cheapest AS (
+  SELECT c.*, min({{'cost': r.cost, 'audit': r.audit}}) AS best
+  FROM counted c JOIN reached r ON c.conv_id IS NOT DISTINCT FROM r.conv_id AND c.n = r.p WHERE r.b IN (0, 3) GROUP BY ALL),
+letters AS (
+  SELECT conv_id, unnest(string_split(best.audit, '')) AS edit, unnest(range(1, length(best.audit) + 1)) AS i FROM cheapest WHERE best.audit <> ''),
+counts AS (
+  SELECT *, sum((edit <> 'I')::INTEGER) OVER w AS p, sum((edit <> 'D')::INTEGER) OVER w AS place FROM letters
+  WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+turned AS (
+  SELECT l.conv_id, l.place, l.edit, f.role, f.text, max((l.place = 1 AND l.edit = 'K' AND f.initial = 's')::INTEGER) OVER (PARTITION BY l.conv_id) AS systems
+  FROM counts l LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.p = l.p AND l.edit <> 'I' WHERE l.edit <> 'D'),
+lines AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - systems) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                             || ':' || coalesce(text, ''), chr(10) ORDER BY place) AS said
+  FROM turned GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN cheapest c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+SQL: dict[str, str] = {"op3_substring_dedup": OP3, "op6_embedding_near_dedup": OP6, "op8_exact_top_k": OP8, "op1_warc_archives": OP1, "op4_source_mixing": OP4,
+                       "op12_conversation_repair": OP12}

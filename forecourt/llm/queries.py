@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bpe, bwt, caps, layout, mixing, oracle, quality, simhash, substring, vafile, warc
+from forecourt.llm import bpe, bwt, caps, dialogue, langid, layout, mixing, oracle, quality, simhash, substring, vafile, warc, whitening
 from forecourt.llm.stages import new_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,21 @@ def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whiten(table(spark, folder, "embeddings"), written(spark, "whitening"))
+    return white.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    repaired = dialogue.repair(dialogue.damage(table(spark, folder, "conversations")))
+    return dialogue.digests(repaired).select("conv_id", "report.*", "repaired_sha256")
+
+
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    named = langid.identify(table(spark, folder, "documents"), written(spark, "languages"))
+    return named.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_archives": warc_archives,
     "op2_byte_bpe": byte_bpe,
@@ -85,6 +100,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_top_k": exact_top_k,
     "op9_html_extraction": html_extraction,
     "op10_simhash_near_dedup": simhash_near_dedup,
+    "op11_embedding_whitening": embedding_whitening,
+    "op12_conversation_repair": conversation_repair,
+    "op13_language_id": language_id,
     "pipeline": corpus_pipeline.run,
 }
 
