@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forecourt.llm.stages import raw_bytes
+
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp noscript".split())
@@ -38,7 +40,8 @@ FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".
 WALL = frozenset("table td th caption template button object html".split())
 
 OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
-ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+ATTRIBUTE = re.compile(r"""([^\s>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+BETWEEN, NAME, EQUALS, BARE = (re.compile(p) for p in (r"[\s/]*+", r"=?[^\s/>=]*+\s*+", r"=\s*+", r"[^\s>]*+"))
 NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 HINT = re.compile(r"hidden|style|type", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -65,18 +68,21 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
     at, size, unpaired = 0, len(html), set()
 
     def tag_end(at: int) -> int:
-        while True:
-            if (stop := html.find(">", at)) < 0:
-                return -1
-            quotes = [(p, q) for q in "\"'" if q not in unpaired and (p := html.find(q, at, stop)) >= 0]
-            if not quotes:
-                return stop
-            start, quote = min(quotes)
-            close = html.find(quote, start + 1)
-            if close < 0:
-                unpaired.add(quote)
-                continue
-            at = close + 1
+        """The end of a tag, attribute by attribute: a quote delimits a value only directly after the equals sign."""
+        while (at := BETWEEN.match(html, at).end()) < size:
+            if html[at] == ">":
+                return at
+            at = NAME.match(html, at).end()
+            if html.startswith("=", at):
+                at = EQUALS.match(html, at).end()
+                quote = html[at:at + 1]
+                if quote in ('"', "'") and quote not in unpaired:
+                    if (close := html.find(quote, at + 1)) >= 0:
+                        at = close + 1
+                        continue
+                    unpaired.add(quote)
+                at = BARE.match(html, at).end()
+        return -1
 
     while at < size:
         less = html.find("<", at)
@@ -430,7 +436,7 @@ class Layout:
 
 @F.arrow_udf(T.StringType())
 def _rendered(pages: pa.Array) -> pa.Array:
-    return pa.array([Layout().page(p.as_py()) if p.is_valid else None for p in pages], pa.string())
+    return pa.array([Layout().page(raw_bytes(p).decode(errors="replace")) if p.is_valid else None for p in pages], pa.string())
 
 
 def rendered(html: Column) -> Column:
@@ -442,7 +448,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """The rows of ``pages`` (html and others) with ``text``; a column of that name is replaced.
 
     Not displayed are: head, scripts, styles, templates, embedded documents and media, elements
-    with a hidden attribute or an inline style that hides them, and closed dialogs. Broken markup
+    with a hidden attribute or an inline style that hides them, and closed dialogs. Style sheets
+    are not applied: what only a class hides is shown. Broken markup
     never fails: unknown tags are inline, unmatched end tags are ignored, an unfinished tag or
     comment at the end is dropped. Repeated rows give equal texts; an empty table no rows.
     """
