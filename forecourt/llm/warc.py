@@ -1,8 +1,9 @@
 """Deterministic sharded WARC archives of pages, and their reader.
 
-Shards are ranges of page_id. The ranges come from a histogram of bytes over equal cells of the
-id range, so they depend on the rows alone: the same pages give the same files, byte by byte,
-whatever the partitions. A task sorts its shards by id, writes one gzip member per record and
+Shards are ranges of page_id and payload digest that hold equally many bytes. They are cut at
+fixed shares of the running sum of bytes in that order, so they depend on the rows alone: the
+same pages give the same files, byte by byte, whatever the partitions, and no id, however far
+from the others, and no crowd of pages without one makes a shard fuller. A task sorts its shards, writes one gzip member per record and
 starts the next file once the compressed size is reached. Record headers and the payload and
 block digests are made anew from the payload.
 
@@ -15,6 +16,7 @@ temporary files that no manifest names. Readers open what that list names and no
 from __future__ import annotations
 
 import base64
+import bisect
 import gzip
 import hashlib
 import re
@@ -23,13 +25,16 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forecourt.llm.stages import Stage
 
-SHARD_BYTES, ROLL_BYTES, MAX_CELLS, BATCH_BYTES = 32 << 20, 8 << 20, 1 << 20, 8 << 20
+SHARD_BYTES, ROLL_BYTES, BATCH_BYTES, RECORD_BYTES = 32 << 20, 8 << 20, 8 << 20, 512
+MAX_SHARDS, MAX_TASKS = 1 << 17, 20_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "shard bigint, part int, name string, temporary string, records bigint, bytes bigint, sha256 string"
 PAGE = "page_id bigint, url string, record_type string, payload binary, payload_bytes bigint, payload_digest string, refers_to bigint"
@@ -119,23 +124,55 @@ class _Files:
             self.out = None
 
 
-def _sharded(pages: DataFrame, layout: Layout, stage: Stage) -> DataFrame:
-    """(shard, page_id, url, payload, sha1, first) of every page; ``first`` only for repeated payloads."""
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted keys with the bytes held before each of them in this task."""
+    task, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        held = np.cumsum(batch.column("held").to_numpy())
+        yield pa.record_batch({**{c: batch.column(c) for c in ("none", "page_id", "sha1", "held")},
+                               "task": pa.array(np.full(len(held), task, np.int32)),
+                               "before": pa.array(before + held - batch.column("held").to_numpy())})
+        before += int(held[-1]) if len(held) else 0
+
+
+def shard_starts(marks: DataFrame, shard_bytes: int, stage: Stage) -> list[tuple[bool, int, str]]:
+    """The first (no id, page_id, sha1) of each shard, in order, from (page_id, sha1, bytes).
+
+    Keys are put in order over all tasks, null ids last, and a shard begins with the first key at
+    which its share of bytes is reached: whatever the ids, shards are equally full, up to the
+    bytes of one key. At most ``MAX_SHARDS`` of them.
+    """
+    keys = marks.groupBy(F.col("page_id").isNull().alias("none"), F.coalesce("page_id", F.lit(0)).alias("page_id"), "sha1") \
+        .agg(F.sum(F.col("bytes") + RECORD_BYTES).alias("held"))
+    order = ("none", "page_id", "sha1")
+    rows = stage("keys", keys.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        _running, "none boolean, page_id bigint, sha1 string, held bigint, task int, before bigint"))
+    tasks = rows.groupBy("task").agg(F.max(F.col("before") + F.col("held")).alias("all"))  # one row per task
+    upto = tasks.select("task", F.coalesce(F.sum("all").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
+    total = tasks.agg(F.sum("all")).first()[0] or 0
+    size = max(shard_bytes, -(-total // MAX_SHARDS))
+    shard = F.floor((F.col("earlier") + F.col("before")) / size)
+    first = rows.join(upto, "task").groupBy(shard.alias("shard")).agg(F.min(F.struct(*order)).alias("first"))
+    return sorted((r.first.none, r.first.page_id, r.first.sha1) for r in first.select("first").collect())
+
+
+def _sharded(pages: DataFrame, layout: Layout, stage: Stage) -> tuple[DataFrame, int]:
+    """(shard, page_id, url, payload, sha1, first) of every page, and the number of shards; ``first`` only for repeated payloads."""
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
     marks = stage("digests", rows.select("page_id", "sha1", F.octet_length("payload").cast("bigint").alias("bytes")))
-    low, high, total = marks.agg(F.min("page_id"), F.max("page_id"), F.sum("bytes")).first()
-    low, high, total = low or 0, high or 0, total or 0
-    cells = min(MAX_CELLS, max(256, 8 * total // layout.shard_bytes))
-    width = (high - low) // cells + 1
-    cell = F.expr(f"cast(floor((cast(page_id as decimal(20,0)) - {low}) / {width}) as bigint)")
-    sizes = marks.where("page_id is not null").groupBy(cell.alias("cell")).agg(F.sum(F.col("bytes") + 512).alias("held"))
-    upto = F.sum("held").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))  # at most MAX_CELLS rows
-    shards = stage("shards", sizes.select("cell", F.floor(F.coalesce(upto, F.lit(0)) / layout.shard_bytes).cast("bigint").alias("shard")))
+    starts = shard_starts(marks, layout.shard_bytes, stage)
+    shared = pages.sparkSession.sparkContext.broadcast(starts)
+
+    @F.arrow_udf("bigint")
+    def shard(page_id: pa.Array, sha1: pa.Array) -> pa.Array:
+        keys = ((p is None, p or 0, s) for p, s in zip(page_id.to_pylist(), sha1.to_pylist()))
+        return pa.array([bisect.bisect_right(shared.value, key) - 1 for key in keys], pa.int64())
+
     repeats = stage("repeats", marks.where(F.col("bytes") >= layout.revisit_bytes).groupBy("sha1")
                     .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").drop("n"))
-    return rows.withColumn("cell", cell).join(shards, "cell", "left").join(repeats, "sha1", "left") \
-        .select(F.coalesce("shard", F.lit(9_999_999)).alias("shard"), "page_id", "url", "payload", "sha1", "first")
+    return rows.join(repeats, "sha1", "left").select(
+        shard("page_id", "sha1").alias("shard"), "page_id", "url", "payload", "sha1", "first"), len(starts)
 
 
 def write_archives(pages: DataFrame, folder: str, stage: Stage, layout: Layout = Layout()) -> DataFrame:
@@ -144,12 +181,11 @@ def write_archives(pages: DataFrame, folder: str, stage: Stage, layout: Layout =
     A null html is an empty payload. Of records with equal payloads of at least
     ``layout.revisit_bytes`` bytes the one with the smallest page_id is the response and the
     others revisit it; rows that repeat page_id and payload are one response and revisits of the
-    same page. A page without page_id is a response of its own, in a shard of its own at the
-    end; a null url is left out. Other columns are ignored. An empty table gives an empty
+    same page. A page without page_id is a response of its own; such pages fill the last shards
+    by payload digest; a null url is left out. Other columns are ignored. An empty table gives an empty
     manifest. ``folder`` is a path or URI that every executor can write to.
     """
-    rows = _sharded(pages, layout, stage)
-    spark = pages.sparkSession
+    rows, shards = _sharded(pages, layout, stage)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, before, ordinal = _Files(folder, layout), None, 0
@@ -167,7 +203,9 @@ def write_archives(pages: DataFrame, folder: str, stage: Stage, layout: Layout =
 
     _schema = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("name", pa.string()), ("temporary", pa.string()),
                          ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
-    dealt = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard") \
+    # A task for every shard, or for some neighbouring ones.
+    tasks = max(1, min(shards, MAX_TASKS))
+    dealt = rows.repartitionById(tasks, F.expr(f"cast(shard * {tasks} div {max(1, shards)} as int)")) \
         .sortWithinPartitions("shard", "page_id", "sha1", "url")
     manifest = stage("manifest", dealt.mapInArrow(write, MANIFEST))
 

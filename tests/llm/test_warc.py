@@ -56,6 +56,19 @@ def test_revisits_and_odd_rows(spark):
     assert warc.read_archives(spark, "unused", nothing).count() == 0
 
 
+@pytest.mark.parametrize("far", [[], [1 << 60], [-(1 << 62), None, None] + [None] * 400])
+def test_shards_are_equally_full_whatever_the_ids(spark, far):
+    rows = [(i, "u", f"{i}" + "x" * 900) for i in range(1500)] + [(p, "u", f"far {i}" + "x" * 900) for i, p in enumerate(far)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(6)
+    layout = warc.Layout(shard_bytes=100_000)
+    found, shards = warc._sharded(pages, layout, written(spark, "t"))
+    held = {r.shard: r.n for r in found.groupBy("shard").agg({"*": "count"}).toDF("shard", "n").collect()}
+    assert sorted(held) == list(range(shards)) and max(held.values()) <= 72 and min(list(held.values())[:-1]) > 0
+    assert shards == -(-sum(len(h) + 512 for *_, h in rows) // 100_000)
+    manifest = warc.write_archives(pages, new_folder(spark, "w"), written(spark, "t"), layout)
+    assert manifest.agg({"records": "sum"}).first()[0] == len(rows) and manifest.select("shard").distinct().count() == shards
+
+
 def test_damage_is_seen():
     data = bytearray(warc.page_record(1, "u", b"payload", None, 0, "2024-01-01T00:00:00Z"))
     assert [b for _, b in warc.records_of(bytes(data))][0].endswith(b"payload")
