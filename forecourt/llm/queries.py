@@ -61,7 +61,7 @@ def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = vafile.integer_vectors(table(spark, folder, "embeddings"))
     file = vafile.approximate(vectors, written(spark, "vectors"))
-    return vafile.top_k(file, file.where("vec_id % 100 = 0").select("vec_id", "v"), 10)
+    return vafile.top_k(file, file.exact.where("vec_id % 100 = 0").select("vec_id", "v"), 10)
 
 
 def html_extraction(spark: SparkSession, folder: str) -> DataFrame:

@@ -74,7 +74,7 @@ def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch):
                                                          (905, [3e5, -7e5, 1.0, 2.0, 3.0]), (None, [1.0] * 5), (17, x[3].tolist())]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     file = vafile.approximate(vafile.integer_vectors(frame), written(spark, "t"))
-    asked = file.where("vec_id % 50 = 0 or vec_id in (903, 904, 905)").select("vec_id", "v")
+    asked = file.exact.where("vec_id % 50 = 0 or vec_id in (903, 904, 905)").select("vec_id", "v")
     got = sorted(map(tuple, vafile.top_k(file, asked, 10).collect()))
     exact = [(i, np.floor(np.array(v) * 1024).astype(np.int64)) for i, v in rows if i is not None and v is not None and None not in v and not np.isnan(v).any()]
     want = []
@@ -83,4 +83,54 @@ def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch):
             scored = sorted((-int(v @ w), i) for i, w in exact if i != q and len(w) == len(v))[:10]
             want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     assert got == sorted(want)
-    assert vafile.top_k(file.limit(0), asked.limit(0)).count() == 0
+    assert vafile.top_k(file, asked.limit(0)).count() == 0
+    nothing = vafile.approximate(vafile.integer_vectors(frame.limit(0)), written(spark, "t"))
+    assert vafile.top_k(nothing, asked).count() == 0
+
+
+def test_scan_moves_cells_and_reads_few_exact_vectors(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(3000, 32)).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    made = {}
+
+    def stage(step, frame, real=written(spark, "t")):
+        made[step] = frame
+        return real(step, frame)
+
+    file = vafile.approximate(vafile.integer_vectors(frame), stage)
+    assert file.cells.columns == ["dims", "shard", "row", "vec_id", "cells"]
+    assert {len(r.cells) for r in file.cells.limit(5).collect()} == {32}
+    vafile.top_k(file, file.exact.where("vec_id % 100 = 0").select("vec_id", "v"), 10).collect()
+    assert made["possible"].count() < 30 * 40  # of 30 * 2999
+    for line in made["bounds"]._jdf.queryExecution().executedPlan().toString().splitlines():
+        assert "FileScan" not in line or "cells" in line or "asked" in line
+
+
+@pytest.mark.parametrize("large", [1e16, 1e300, -5e12])
+def test_components_too_large_fail(spark, large):
+    frame = spark.createDataFrame([(0, [large]), (1, [1.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="too large to search"):
+        vafile.approximate(vafile.integer_vectors(frame), written(spark, "t"))
+
+
+def test_scores_too_large_fail(spark):
+    frame = spark.createDataFrame([(0, [4e12]), (1, [4e12])], "vec_id bigint, embedding array<double>")
+    file = vafile.approximate(vafile.integer_vectors(frame), written(spark, "t"))
+    with pytest.raises(Exception, match="may not fit"):
+        vafile.top_k(file, file.exact.select("vec_id", "v"), 1).collect()
+
+
+def test_caps_find_pairs_at_the_threshold():
+    """Random pairs of cosine 0.98 share a cap, for tables of any size."""
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=(300, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.normal(size=(300, 64))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.98 * a + np.sqrt(1 - 0.98 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    for vectors in (50_000, 10 ** 7):
+        held = caps.Caps(64, caps.side_of(vectors))
+        (row, code), (other, same) = held.decode(a), held.decode(b)
+        one, two = set(zip(row.tolist(), code.tolist())), set(zip(other.tolist(), same.tolist()))
+        assert len({r for r, _ in one & two}) >= 297
