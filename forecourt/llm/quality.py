@@ -1,31 +1,35 @@
 """Quality classifier by co-training a text-content view and a page-metadata view.
 
 The content view sees hashed character trigrams; the metadata view sees language, source, length
-and page statistics (lines, words, repetition, character classes). Both are logistic regressions
-fitted on a bounded sample of labelled rows. Over some rounds each view labels the rows of a
-bounded unlabelled pool that it is sure of, and hands them to the other view. At the end each
-view is calibrated on labelled rows that neither has seen, the calibrated views are combined,
-and every document is scored with whole text.
-
-The fit runs in one task over at most ``LABELLED + POOL`` rows, whatever the size of the corpus;
-its few hundred numbers are the only thing that reaches the driver. Scoring is one scan.
+and page statistics (lines, words, repetition, character classes). Both are linear classifiers by
+ridge regression, fitted first on a bounded sample of labelled rows. In each of some rounds every
+unlabelled row of the corpus that a view is sure of becomes a training row of the other view,
+with the label that the view gives it, and the other view is fitted to all of them and its
+labelled rows.
+At the end each view is calibrated on labelled rows that neither has seen, the calibrated views
+are combined, and every document is scored with whole text.
+
+Features are computed once and written. A round is one scan of them: tasks add up products of
+features by class, which is all that the fit needs, and these are added over tasks while they
+stream by. Only the sums, a few squares of the feature count, and the bounded labelled sample
+reach the driver.
 """
 
 from __future__ import annotations
 
-import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.stages import released
+from forecourt.llm.stages import Stage, added_up, raw_bytes, released, sliced, written
 
-LABELLED, POOL, ROUNDS, SURE, PER_ROUND = 6_000, 4_000, 3, 0.95, 300
+LABELLED, ROUNDS, SURE, RIDGE = 8_000, 3, 0.95, 0.1
 GRAMS, PLACES = 256, 32
 GOOD_LOST = 0.005  # the threshold may reject at most this share of the good calibration rows
 
@@ -67,8 +71,8 @@ def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     content, page = [], []
     for text, lang, source, n_chars in zip(batch.column("text"), batch.column("lang").to_pylist(),
                                            batch.column("source").to_pylist(), batch.column("n_chars").to_pylist()):
-        value = text.as_py() or ""
-        raw = np.frombuffer(value.encode(), np.uint8)
+        given = raw_bytes(text)
+        value, raw = given.decode(errors="replace"), np.frombuffer(given, np.uint8)
         content.append(content_features(raw))
         page.append(page_features(value, raw, lang, source, n_chars))
     if not content:
@@ -76,7 +80,7 @@ def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.array(content), np.array(page)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     """Class-balanced logistic regression by Newton steps; the last weight is the bias."""
     x = np.column_stack((x, np.ones(len(x))))
     share = y.mean()
@@ -111,51 +115,79 @@ class Model:
     """Scale, weights and calibration of each view, the weights that combine them, and the threshold."""
 
     views: tuple[dict, dict]
-    combine: tuple[float, ...]
-    threshold: float
+    combine: tuple[float, ...] = ()
+    threshold: float = 0.5
+    prior: float = 0.0  # log-odds of good among the labelled rows; calibration weighs the classes the same
 
-    def scores(self, content: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        logits = []
+    def logits(self, content: np.ndarray, page: np.ndarray) -> list[np.ndarray]:
+        """The calibrated log-odds that each view gives."""
+        out = []
         for x, view in zip((content, page), self.views):
-            margin = _margin((x - np.array(view["mean"])) / np.array(view["scale"]), np.array(view["weights"]))
-            logits.append(np.clip(view["platt"][0] * margin + view["platt"][1], -30, 30))
+            margin = _margin((x - view["mean"]) / view["scale"], view["weights"])
+            out.append(np.clip(view["platt"][0] * margin + view["platt"][1], -30, 30))
+        return out
+
+    def scores(self, content: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        logits = self.logits(content, page)
         both = self.combine[0] * logits[0] + self.combine[1] * logits[1] + self.combine[2]
         return _sigmoid(logits[0]), _sigmoid(logits[1]), _sigmoid(both)
 
 
-def co_train(content: np.ndarray, page: np.ndarray, label: np.ndarray, held: np.ndarray) -> Model | None:
-    """Fit on rows with label 0 or 1 (-1: pool). ``held`` labelled rows calibrate. None without both classes in each part."""
-    fit, held = (label >= 0) & ~held, (label >= 0) & held
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Products, sums and number of the rows of one class, as one matrix; the last column is the bias."""
+    z = np.column_stack((x, np.ones(len(x))))
+    return np.vstack((z.T @ z, z.sum(axis=0)))
+
+
+def _separated(bad: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """Weights of the ridge regression to -1 and 1 in which both classes weigh the same, from their sums."""
+    bad, good = bad / bad[-1, -1] / 2, good / good[-1, -1] / 2
+    return np.linalg.solve(bad[:-1] + good[:-1] + RIDGE * np.eye(len(bad) - 1), good[-1] - bad[-1])
+
+
+def taught(teacher: Model, content: np.ndarray, page: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
+    """By (view, class), the sums over the rows that the other view is sure of."""
+    out, logits = {}, teacher.logits(content, page)
+    sure = np.log(SURE / (1 - SURE))
+    for mine, (x, view) in enumerate(zip((content, page), teacher.views)):
+        theirs = logits[1 - mine] + teacher.prior
+        for value, rows in ((0, theirs <= -sure), (1, theirs >= sure)):
+            if rows.any():
+                out[mine, value] = _sums((x[rows] - view["mean"]) / view["scale"])
+    return out
+
+
+Taught = Callable[[Model], dict[tuple[int, int], np.ndarray]]
+
+
+def co_train(content: np.ndarray, page: np.ndarray, label: np.ndarray, held: np.ndarray, others: Taught) -> Model | None:
+    """Fit on labelled rows, of which ``held`` ones calibrate, and on what ``others`` adds up over the unlabelled rows.
+
+    None without both classes in each part. Taught rows of a class weigh as much as labelled ones,
+    but together no more than all labelled ones of it.
+    """
+    fit = ~held
     if any(len(np.unique(label[part])) < 2 for part in (fit, held)):
         return None
-    views = []
+    views, own, scaled = [], [], []
     for x in (content, page):
         mean, scale = x[fit].mean(axis=0), x[fit].std(axis=0) + 1e-3
-        views.append(((x - mean) / scale, mean, scale))
-    known = [np.where(fit, label, -1), np.where(fit, label, -1)]
-    pool = label < 0
-    weights = [_logistic(v[0][k >= 0], k[k >= 0]) for v, k in zip(views, known)]
+        scaled.append((x - mean) / scale)
+        own.append([_sums(scaled[-1][fit & (label == value)]) for value in (0, 1)])
+        views.append({"mean": mean, "scale": scale})
+    weights, prior = [_separated(*sums) for sums in own], float(np.log((label == 1).sum() / (label == 0).sum()))
+
+    def judged() -> Model:
+        return Model(tuple({**v, "weights": w, "platt": _calibrated(_margin(x[held], w), label[held])}
+                           for v, w, x in zip(views, weights, scaled)), prior=prior)
+
     for _ in range(ROUNDS):
-        handed = []
-        for (x, _, _), w in zip(views, weights):
-            slope, shift = _calibrated(_margin(x[held], w), label[held])
-            p = _sigmoid(slope * _margin(x, w) + shift)
-            picks = {}
-            for value, sure in ((1, p), (0, 1 - p)):
-                order = np.argsort(-np.where(pool, sure, -1), kind="stable")[:PER_ROUND]
-                picks[value] = order[(sure[order] >= SURE) & pool[order]]
-            handed.append(picks)
-        for mine, theirs in ((0, 1), (1, 0)):
-            for value, rows in handed[theirs].items():
-                known[mine][rows] = value
-        pool &= (known[0] < 0) & (known[1] < 0)
-        weights = [_logistic(v[0][k >= 0], k[k >= 0]) for v, k in zip(views, known)]
-    fitted, logits = [], []
-    for (x, mean, scale), w in zip(views, weights):
-        margin = _margin(x[held], w)
-        platt = _calibrated(margin, label[held])
-        fitted.append({"mean": mean.tolist(), "scale": scale.tolist(), "weights": w.tolist(), "platt": platt})
-        logits.append(np.clip(platt[0] * margin + platt[1], -30, 30))
+        sums = others(judged())
+        for mine in (0, 1):
+            more = [min(1.0, own[mine][v][-1, -1] / z[-1, -1]) * z if (z := sums.get((mine, v))) is not None else 0 for v in (0, 1)]
+            weights[mine] = _separated(*(a + b for a, b in zip(own[mine], more)))
+    model = judged()
+    logits = model.logits(content[held], page[held])
     combine = _logistic(np.column_stack(logits), label[held], 1e-3)
     score = _sigmoid(np.column_stack((*logits, np.ones(held.sum()))) @ combine)
     good, bad = np.sort(score[label[held] == 1]), score[label[held] == 0]
@@ -164,42 +196,58 @@ def co_train(content: np.ndarray, page: np.ndarray, label: np.ndarray, held: np.
     cuts = cuts[cuts <= highest]
     lost = np.searchsorted(good, cuts) / len(good)
     kept = np.searchsorted(np.sort(bad), cuts) / len(bad)
-    return Model(tuple(fitted), tuple(combine.tolist()), float(min(0.5, cuts[np.argmax(kept - lost)])))
+    return Model(model.views, tuple(combine.tolist()), float(min(0.5, cuts[np.argmax(kept - lost)])), prior)
 
 
-def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
-    """Co-train on a bounded sample: ``LABELLED`` labelled documents and about ``POOL`` others, chosen by hash."""
-    spark = documents.sparkSession
+def _matrix(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
+    parts = [c.flatten().to_numpy() for c in getattr(column, "chunks", [column])]
+    return (np.concatenate(parts) if parts else np.empty(0)).reshape(n, -1).astype(float)
+
+
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in released(sliced(batches)):
+        content, page = _features(batch)
+        both = np.hstack((content, page)).astype(np.float32)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(both) + 1) * (GRAMS + 11 + PLACES), pa.int32()), pa.array(both.ravel()))
+        yield pa.record_batch({"doc_id": batch.column("doc_id"), "label": batch.column("label"), "x": lists})
+
+
+def fit(documents: DataFrame, labels: DataFrame, stage: Stage) -> Model | None:
+    """Co-train on at most ``LABELLED`` labelled documents, chosen by hash, and all unlabelled ones."""
     sample = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
-    share = min(1.0, POOL / max(1, documents.count()))
-    chosen = documents.join(F.broadcast(sample), "doc_id", "left") \
-        .where(F.col("quality").isNotNull() | (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)))) \
-        .select("doc_id", "text", "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars"),
-                F.coalesce("quality", F.lit(-1)).cast("int").alias("label"),
-                F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4)).cast("int").alias("part"))
-
-    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in released(batches):
-            content, page = _features(batch)
-            both = pa.array(list(np.hstack((content, page)).astype(np.float32)), pa.list_(pa.float32()))
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "label": batch.column("label"),
-                                   "part": batch.column("part"), "x": both})
-
-    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, model = list(batches), None
-        if held:
-            rows = pa.Table.from_batches(held)
-            x = np.concatenate([c.flatten().to_numpy() for c in rows.column("x").chunks]).reshape(rows.num_rows, -1).astype(float)
-            order = np.lexsort((*x[:, :4].T, rows.column("doc_id").to_numpy()))
-            x, label, part = x[order], rows.column("label").to_numpy()[order], rows.column("part").to_numpy()[order]
-            model = co_train(x[:, :GRAMS], x[:, GRAMS:], label, part == 0)
-        yield pa.record_batch({"model": [json.dumps(model.__dict__ if model else None)]})
-
-    features = chosen.mapInArrow(seen, "doc_id bigint, label int, part int, x array<float>")
-    text = features.repartition(1).mapInArrow(trained, "model string").collect()
-    found = json.loads(text[0].model) if text else None
-    return Model(tuple(found["views"]), tuple(found["combine"]), found["threshold"]) if found else None
+    marked = documents.join(F.broadcast(sample), "doc_id", "left").select(
+        "doc_id", "text", "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars"), F.coalesce("quality", F.lit(-1)).cast("int").alias("label"))
+    features = stage("features", marked.mapInArrow(_seen, "doc_id bigint, label int, x array<float>"))
+    # One row of each labelled document, however often it is repeated.
+    known = features.where("label >= 0").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("x").alias("h"), "label", "x")).alias("r")) \
+        .select(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(4)).alias("part"), "doc_id", "r.label", "r.x").orderBy("doc_id").toArrow()
+    if not known.num_rows:
+        return None
+    x, label, part = _matrix(known.column("x"), known.num_rows), known.column("label").to_numpy(), known.column("part").to_numpy()
+    unlabelled = features.where("label < 0").select("x")
+
+    def others(teacher: Model) -> dict[tuple[int, int], np.ndarray]:
+        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[tuple[int, int], np.ndarray] = {}
+            for batch in released(sliced(batches)):
+                rows = _matrix(batch.column("x"), batch.num_rows)
+                for key, z in taught(teacher, rows[:, :GRAMS], rows[:, GRAMS:]).items():
+                    total[key] = total[key] + z if key in total else z
+            task = TaskContext.get().partitionId()
+            for (view, value), z in total.items():
+                n = len(z)
+                yield pa.record_batch({"view": pa.array([view] * n, pa.int32()), "value": pa.array([value] * n, pa.int32()),
+                                       "pos": pa.array(range(n), pa.int32()), "task": pa.array([task] * n, pa.int32()),
+                                       "z": pa.array(list(z), pa.list_(pa.float64()))})
+
+        sent = unlabelled.mapInArrow(added, "view int, value int, pos int, task int, z array<double>")
+        out: dict[tuple[int, int], list] = {}
+        for r in sorted(added_up(sent, "view", "value", "pos").collect(), key=lambda r: (r.view, r.value, r.pos)):
+            out.setdefault((r.view, r.value), []).append(r.z)
+        return {key: np.array(z) for key, z in out.items()}
+
+    return co_train(x[:, :GRAMS], x[:, GRAMS:], label, part == 0, others)
 
 
 def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -211,7 +259,7 @@ def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
     there are no labels, scores are null and every row is kept. Repeated rows get equal scores;
     other columns pass through, columns with the names above are replaced.
     """
-    model = fit(documents.select("doc_id", "text", "lang", "source", "n_chars"), labels)
+    model = fit(documents.select("doc_id", "text", "lang", "source", "n_chars"), labels, written(documents.sparkSession, "quality"))
     kind = "struct<content_score:double,page_score:double,score:double,keep:boolean>"
     if model is None:
         scored = F.from_json(F.lit('{"keep":true}'), kind)

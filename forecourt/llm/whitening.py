@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.stages import Stage, sliced
+from forecourt.llm.stages import Stage, added_up, sliced
 from forecourt.llm.vafile import usable
 
 SCALE, SHIFT, COMPONENTS = 64, 1_000_000, 32
@@ -233,24 +233,9 @@ def _products(rows: DataFrame, of: Callable[[Space, np.ndarray], np.ndarray], sp
             yield pa.record_batch({"dims": pa.array([d] * len(z), pa.int32()), "pos": pa.array(range(len(z)), pa.int32()),
                                    "task": pa.array([task] * len(z), pa.int32()), "z": pa.array(list(z), pa.list_(pa.float64()))})
 
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total = None, None
-        one = lambda: pa.record_batch({"dims": pa.array([key[0]], pa.int32()), "pos": pa.array([key[1]], pa.int32()),
-                                       "z": pa.array([total], pa.list_(pa.float64()))})
-        for batch in batches:
-            for d, i, z in zip(batch.column("dims").to_pylist(), batch.column("pos").to_pylist(), batch.column("z")):
-                if (d, i) != key:
-                    if key is not None:
-                        yield one()
-                    key, total = (d, i), np.zeros(len(z.values))
-                total = total + z.values.to_numpy()
-        if key is not None:
-            yield one()
-
     sent = rows.where("dims > 0").mapInArrow(added, "dims int, pos int, task int, z array<double>")
-    found = sent.repartition("dims", "pos").sortWithinPartitions("dims", "pos", "task").mapInArrow(merged, "dims int, pos int, z array<double>")
     made: dict[int, np.ndarray] = {}
-    for r in sorted(found.collect(), key=lambda r: (r.dims, r.pos)):
+    for r in sorted(added_up(sent, "dims", "pos").collect(), key=lambda r: (r.dims, r.pos)):
         made.setdefault(r.dims, np.empty((len(r.z), len(r.z))))[r.pos] = r.z
     out = {}
     for d, z in made.items():
