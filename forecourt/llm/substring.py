@@ -19,8 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.stages import released, sliced
-from forecourt.llm.windows import (bucket_count, flat, lists, packed, rabin_karp, repeated_anchors, runs,
+from forecourt.llm.stages import raw_bytes, released, sliced
+from forecourt.llm.windows import (bucket_count, document_key, flat, lists, packed, rabin_karp, repeated_anchors, runs,
                                    window_anchors)
 
 WINDOW, GRAM = 20, 8
@@ -48,13 +48,13 @@ class _WordHashes(dict):
 _first, _second = _WordHashes(1), _WordHashes(2)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, unchanged, as UTF-8."""
-    return (text or "").encode().split()
+def words_of(raw: bytes) -> list[bytes]:
+    """Words between ASCII white space, unchanged."""
+    return raw.split()
 
 
-def word_symbols(text: str | None) -> np.ndarray:
-    return _first.of(words_of(text))
+def word_symbols(raw: bytes) -> np.ndarray:
+    return _first.of(words_of(raw))
 
 
 SENT = ["bucket", "settled", "h1", "h2", "doc", "twin", "start"]
@@ -86,7 +86,7 @@ def _sent(gram: int, window: int, buckets: int):
             texts = pa.compute.struct_field(batch.column("row"), "text")
             for doc, twin, text, anchors in zip(batch.column("doc").to_pylist(), batch.column("twin").to_pylist(),
                                                 texts, batch.column("anchors")):
-                words = words_of(text.as_py())
+                words = words_of(raw_bytes(text))
                 symbols = _first.of(words)
                 own = window_anchors(symbols, gram, window)
                 at = np.flatnonzero(np.isin(own, anchors.values.to_numpy().view(np.uint64)))
@@ -115,19 +115,19 @@ def _counted(table: pa.Table) -> pa.Table:
     h1, h2, doc, twin, start = (flat(open_, n) for n in ("h1", "h2", "doc", "twin", "start"))
     order, later = _later(h1, h2, doc, twin, start)
     over = order[later]
-    return pa.table(_starts(*(np.concatenate((c[over], flat(settled, n)))
-                              for n, c in (("doc", doc), ("twin", twin), ("start", start)))))
+    found = _starts(*(np.concatenate((c[over], flat(settled, n))) for n, c in (("doc", doc), ("twin", twin), ("start", start))))
+    return pa.table({c: v.astype(np.int32) if c in ("first", "last") else v for c, v in found.items()})
 
 
 def _cut(window: int):
     def cut(texts: pa.Array, repeats: pa.Array) -> pa.Array:
         total, removed, kept, spans = [], [], [], []
         for text, repeat in zip(texts, repeats):
-            words = words_of(text.as_py())
+            words = words_of(raw_bytes(text))
             total.append(len(words))
             if not repeat.is_valid:
                 removed.append(0)
-                kept.append(b" ".join(words).decode())
+                kept.append(b" ".join(words))
                 spans.append([])
                 continue
             edge, n = np.zeros(len(words) + 1, np.int64), len(words) + 1
@@ -135,11 +135,11 @@ def _cut(window: int):
             edge -= np.bincount(repeat.values.field(1).to_numpy() + window, minlength=n)
             gone = np.cumsum(edge[:-1]) > 0
             removed.append(int(gone.sum()))
-            kept.append(b" ".join([w for w, g in zip(words, gone.tolist()) if not g]).decode())
+            kept.append(b" ".join([w for w, g in zip(words, gone.tolist()) if not g]))
             turn = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
             spans.append([{"first": a, "end": b} for a, b in zip(turn[::2].tolist(), turn[1::2].tolist())])
         return pa.StructArray.from_arrays(
-            [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
+            [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).view(pa.string()),
              pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))],
             ["n_words", "n_removed", "kept_text", "spans"])
 
@@ -160,19 +160,20 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     spark = documents.sparkSession
     gram = max(1, min(GRAM, window // 2))
     passed = [c for c in documents.columns if c.lower() not in ("n_words", "n_removed", "kept_text", "spans")]
-    keyed = documents.select(
-        F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64("text").alias("twin"),
-        F.struct(*[F.col(f"`{c}`") for c in passed]).alias("row"))
+    doc, twin = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64("text").alias("twin")
+    known = F.when(F.col("doc") < (1 << 63) - 1, F.col("doc"))
+    key = document_key(known, F.col("twin")).alias("key")
+    keyed = documents.select(doc, twin, F.struct(*[F.col(f"`{c}`") for c in passed]).alias("row")).select(key, "doc", "twin", "row")
     # The texts are dealt by document once; both joins below read this one exchange.
-    dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc")
-    doc = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc")
-    replies = repeated_anchors(documents.select(doc, "text"), word_symbols, gram, window, buckets)
+    dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
+    places = documents.select(doc, twin, "text").select(key, "text").toDF("doc", "text")
+    replies = repeated_anchors(places, word_symbols, gram, window, buckets).withColumnRenamed("doc", "key")
     # Whole rows go in here too: with fewer columns the exchange would be another one.
-    sent = dealt.join(replies, "doc").select("doc", "twin", "row", "anchors").mapInArrow(
+    sent = dealt.join(replies, "key").select("doc", "twin", "row", "anchors").mapInArrow(
         _sent(gram, window, buckets), "bucket int, settled boolean, h1 array<bigint>, h2 array<bigint>, "
                                       "doc array<bigint>, twin array<bigint>, start array<int>")
-    found = sent.groupBy("bucket").applyInArrow(_counted, "doc bigint, twin bigint, first bigint, last bigint") \
-        .groupBy("doc").agg(F.collect_list(F.struct("first", "last", "twin")).alias("repeats"))
+    found = sent.groupBy("bucket").applyInArrow(_counted, "doc bigint, twin bigint, first int, last int") \
+        .groupBy(key).agg(F.collect_list(F.struct("first", "last", "twin")).alias("repeats"))
     own = F.filter("repeats", lambda r: r["twin"] == F.col("twin"))
-    out = dealt.join(found, "doc", "left").select("row", _cut(window)(F.col("row.text"), own).alias("cut"))
+    out = dealt.join(found, "key", "left").select("row", _cut(window)(F.col("row.text"), own).alias("cut"))
     return out.select("row.*", "cut.*")

@@ -13,15 +13,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.stages import released, sliced
+from forecourt.llm.stages import raw_bytes, released, sliced
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-CHUNK = 1 << 20
-Symbols = Callable[[str], np.ndarray]
+CHUNK, KEY_BITS = 1 << 20, 12
+Symbols = Callable[[bytes], np.ndarray]
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -114,6 +114,17 @@ def bucket_count(texts: DataFrame, bytes_per_bucket: int) -> int:
     return int(min(max(64, total // bytes_per_bucket), 1 << 30))
 
 
+def document_key(doc_id: Column, twin: Column) -> Column:
+    """What a document's rows are dealt by: its id with some bits of the hash of its text, or that hash alone.
+
+    Texts without id, and texts under one id, spread over tasks. Texts that share a key have the
+    same id, so key and ``twin`` name a document.
+    """
+    small = doc_id.between(0, (1 << 62 - KEY_BITS) - 1)
+    joined = F.shiftleft(doc_id.cast("bigint"), KEY_BITS).bitwiseOR(twin.bitwiseAND(F.lit((1 << KEY_BITS) - 1)))
+    return F.when(small, joined).when(doc_id.isNotNull(), F.xxhash64(doc_id, twin)).otherwise(twin)
+
+
 def runs(*columns: np.ndarray) -> np.ndarray:
     """True where a row differs from the row before."""
     new = np.zeros(len(columns[0]), bool)
@@ -136,28 +147,18 @@ def _replies(docs: np.ndarray, anchors: np.ndarray) -> pa.RecordBatch:
 
 
 def repeated_anchors(texts: DataFrame, symbols: Symbols, gram: int, window: int, buckets: int) -> DataFrame:
-    """(doc, anchors): for each document with any, its anchors that stand at two or more places of the table."""
-    return by_document(answers(texts, symbols, gram, window, buckets))
-
+    """(doc, anchors): for each document with any, its anchors that stand at two or more places of the table.
 
-def by_document(found: DataFrame) -> DataFrame:
-    return found.groupBy("doc").agg(F.flatten(F.collect_list("anchors")).alias("anchors"))
-
-
-def answers(texts: DataFrame, symbols: Symbols, gram: int, window: int, buckets: int, crowd: int | None = None) -> DataFrame:
-    """(doc, anchors), some rows per document: its anchors that stand at two or more places of the table.
-
-    With ``crowd``, a column ``crowded`` marks more rows, without a document: the anchors with that
-    many places at least. ``texts`` is (doc, text). Places are counted per input batch before the shuffle: an anchor
-    seen often in a batch is answered there and sent on once, so a passage shared by a third of
-    all documents costs one entry per batch.
+    ``texts`` is (doc, text), doc being any 64-bit key of the row. Places are counted per input
+    batch before the shuffle: an anchor seen often in a batch is answered there and sent on once,
+    so a passage shared by a third of all documents costs one entry per batch.
     """
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in released(sliced(batches)):
             docs, found = [], []
             for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
-                hashes = anchor_places(symbols(text.as_py()), gram, window)[1]
+                hashes = anchor_places(symbols(raw_bytes(text)), gram, window)[1]
                 docs.append(np.full(len(hashes), doc, np.int64))
                 found.append(hashes)
             if not found:
@@ -167,9 +168,8 @@ def answers(texts: DataFrame, symbols: Symbols, gram: int, window: int, buckets:
             doc, anchor = doc[order], anchor[order]
             new = runs(anchor)
             alone = new & np.concatenate((new[1:], [True])) if len(new) else new
-            more = ~alone[new] if crowd is None else np.diff(np.append(np.flatnonzero(new), len(new))).astype(np.int32) - 1
             sent = packed((anchor[new] % np.uint64(buckets)).astype(np.int64), {
-                "anchor": anchor[new].view(np.int64), "doc": doc[new], "many": more.astype(kind)})
+                "anchor": anchor[new].view(np.int64), "doc": doc[new], "many": ~alone[new]})
             rows = pa.record_batch(sent)
             yield rows.append_column("settled", pa.array(np.zeros(rows.num_rows, bool))).select(names)
             if not alone.all():
@@ -180,26 +180,20 @@ def answers(texts: DataFrame, symbols: Symbols, gram: int, window: int, buckets:
                 ends = np.cumsum(sizes)
                 yield pa.record_batch({"bucket": spread, "settled": pa.array(np.ones(len(spread), bool)),
                                        "anchor": sure.column("anchors"), "doc": lists(ends, doc_of),
-                                       "many": lists(ends, np.zeros(len(doc_of), kind))}).select(names)
+                                       "many": lists(ends, np.zeros(len(doc_of), bool))}).select(names)
 
     def met(table: pa.Table) -> pa.Table:
         sure = table.filter(table.column("settled"))
         open_ = table.filter(pa.compute.invert(table.column("settled")))
-        anchor, doc, many = flat(open_, "anchor"), flat(open_, "doc"), flat(open_, "many", kind)
+        anchor, doc, many = flat(open_, "anchor"), flat(open_, "doc"), flat(open_, "many", bool)
         order = np.argsort(anchor, kind="stable")
         anchor, doc, many = anchor[order], doc[order], many[order]
-        new = runs(anchor)
-        group = np.cumsum(new) - 1
+        group = np.cumsum(runs(anchor)) - 1
         count = np.bincount(group, weights=1 + many) if len(group) else np.empty(0)
-        pick = (count >= 2)[group] & (many == 0)
-        found = pa.Table.from_batches([_replies(np.concatenate((doc[pick], flat(sure, "doc"))),
-                                                np.concatenate((anchor[pick], flat(sure, "anchor"))))])
-        if crowd is None:
-            return found
-        full = pa.Table.from_batches([_replies(np.zeros(int((count >= crowd).sum()), np.int64), anchor[new][count >= crowd])])
-        return pa.concat_tables([t.append_column("crowded", pa.array(np.full(t.num_rows, c))) for t, c in ((found, False), (full, True))])
-
-    names, kind = ["bucket", "settled", "anchor", "doc", "many"], bool if crowd is None else np.int32
-    sent = texts.mapInArrow(places, "bucket int, settled boolean, anchor array<bigint>, doc array<bigint>, "
-                                    f"many array<{'boolean' if crowd is None else 'int'}>")
-    return sent.groupBy("bucket").applyInArrow(met, REPLIES if crowd is None else f"{REPLIES}, crowded boolean")
+        pick = (count >= 2)[group] & ~many
+        return pa.Table.from_batches([_replies(np.concatenate((doc[pick], flat(sure, "doc"))),
+                                               np.concatenate((anchor[pick], flat(sure, "anchor"))))])
+
+    names = ["bucket", "settled", "anchor", "doc", "many"]
+    sent = texts.mapInArrow(places, "bucket int, settled boolean, anchor array<bigint>, doc array<bigint>, many array<boolean>")
+    return sent.groupBy("bucket").applyInArrow(met, REPLIES).groupBy("doc").agg(F.flatten(F.collect_list("anchors")).alias("anchors"))

@@ -7,8 +7,8 @@ import random
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from forecourt.llm import bwt, queries, windows
 from conftest import SF
@@ -56,37 +56,83 @@ def test_random_passages(spark):
         assert result(bwt.remove_repeats(frame, length)) == plain(rows, length)
 
 
-@pytest.mark.parametrize("held", [1 << 20, 50])
-def test_crowded_anchors(spark, monkeypatch, held):
-    monkeypatch.setattr(bwt, "CROWD", 4)
+@pytest.mark.parametrize("crowd, held", [(1 << 19, 1 << 18), (500, 50), (0, 1 << 18)])
+def test_crowded_anchors_meet_by_finer_ones(spark, monkeypatch, crowd, held):
+    monkeypatch.setattr(bwt, "CROWD", crowd)
     monkeypatch.setattr(bwt, "HELD", held)
+    monkeypatch.setattr(bwt, "MERGED", crowd)
+    monkeypatch.setattr(bwt, "HELD_BYTES", 100)
     rng = random.Random(9)
     word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
     long, line = word(90), word(25)
-    rows = [(i, word(rng.randrange(40)) + rng.choice([long, line, long + line, line + long[:50]]) + word(rng.randrange(40))) for i in range(150)]
-    rows += [(200, "x" * 300), (201, None), (202, rows[0][1]), (203, long * 3)]
+    rows = [(i, word(rng.randrange(40)) + rng.choice([long, line, long + line, line + long[:50], long[:39], long[5:44]]) + word(rng.randrange(40))) for i in range(150)]
+    rows += [(200, "x" * 300), (201, None), (202, rows[0][1]), (203, long * 3), (204, "xy" * 90 + "x" * 41)]
     frame = spark.createDataFrame(rows + rows[:20], "doc_id bigint, text string").repartition(7)
     assert result(bwt.remove_repeats(frame, 40)) == plain(rows, 40)
 
 
-def test_a_line_in_other_texts_everywhere_is_no_hot_bucket(spark):
+def test_a_line_in_other_texts_everywhere_is_no_hot_group(spark, monkeypatch):
+    """Strips of its anchors go on to longer grams, where no group has them all."""
     rng = random.Random(10)
     word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
-    line = min((word(150) for _ in range(50)), key=lambda t: windows.rabin_karp(bwt.byte_symbols(t), 64).min())
-    texts = [word(400) + line + word(400) for _ in range(300)]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc bigint, text string")
-    found = windows.answers(frame, bwt.byte_symbols, 64, 400, 64, 100).collect()
-    crowded = np.array([a for r in found if r.crowded for a in r.anchors], np.int64).view(np.uint64)
-    grams = windows.rabin_karp(bwt.byte_symbols(line), 64)
-    assert 0 < len(crowded) and np.isin(crowded, grams).all()
-    batch = pa.record_batch({"doc": pa.array(range(300), pa.int64()), "twin": pa.array(range(300), pa.int64()),
-                             "row": pa.array([{"text": t} for t in texts]), "anchors": pa.array([crowded.view(np.int64).tolist()] * 300, pa.list_(pa.int64()))})
-    size = np.zeros(64, np.int64)
-    for rows in bwt._sent(64, 400, 64, crowded)(iter([batch])):
-        for bucket, starts, strips in zip(*(rows.column(n).to_pylist() for n in ("bucket", "start", "strip"))):
-            size[bucket] += len(starts)
-            assert not strips
-    assert size.sum() >= 300 and size.max() < 2 * size.mean()
+    line = min((word(150) for _ in range(50)), key=lambda t: windows.rabin_karp(bwt.byte_symbols(t.encode()), 64).min())
+    rows = [(i, word(400) + line + word(400)) for i in range(300)] + [(300 + i, word(100) + line + word(20)) for i in range(9)]
+    rows += [(400, rows[5][1][200:700]), (401, "")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    seen, real = [], bwt._of_strips
+    monkeypatch.setattr(bwt, "CROWD", 20_000)
+    monkeypatch.setattr(bwt, "_of_strips", lambda gram, *more: seen.append(gram) or real(gram, *more))
+    assert result(bwt.remove_repeats(frame, 400)) == plain(rows, 400)
+    assert seen == [200]
+
+
+def test_shards_must_be_sorted(monkeypatch):
+    """The merge reads the order of each shard and makes none of its own."""
+    rng = random.Random(3)
+    strips = ["".join(rng.choice("abc") for _ in range(60)).encode() for _ in range(9)]
+    shards = [strips[:4], strips[4:]]
+    right = [m.tolist() for shard in bwt.repeated_starts(shards, 7) for m in shard]
+    monkeypatch.setattr(bwt.Transform, "order", staticmethod(lambda symbol, before, ends, rounds: np.arange(len(symbol))))
+    assert [m.tolist() for shard in bwt.repeated_starts(shards, 7) for m in shard] != right
+
+
+def test_transform_is_that_of_the_sorted_suffixes():
+    rng = random.Random(2)
+    chains = [np.array([rng.randrange(3) for _ in range(n)]) for n in (9, 1, 6)]
+    made = bwt.Transform(chains, 1, 20)
+    suffixes = [(chain[i:].tolist(), int(chain[i - 1]) if i else -1) for chain in chains for i in range(len(chain) + 1)]
+    texts = [s for s, _ in suffixes]
+    assert [texts[p] for p in made.place] == sorted(texts) and made.symbol.tolist() == [suffixes[p][1] for p in made.place]
+
+
+def test_merge_stops_when_no_block_splits(monkeypatch):
+    """Different strips are told apart in a few rounds, whatever their length."""
+    rounds, real = [], bwt.stable_order
+    chains = [np.arange(50 * i, 50 * i + 50) for i in range(4)]
+    shards = [bwt.Transform(chains[:2], 1, 50), bwt.Transform(chains[2:], 1, 50)]
+    monkeypatch.setattr(bwt, "stable_order", lambda ids: rounds.append(1) or real(ids))
+    block = bwt.merge(shards, 50)
+    assert len(rounds) < 5 and len(np.unique(block)) == 201
+
+
+def test_text_that_is_no_utf8(spark):
+    rng = random.Random(5)
+    part = bytes(rng.randrange(128, 256) for _ in range(60)).hex()
+    frame = spark.sql(f"select 1L as doc_id, cast(x'{part}41' as string) as text union all select 2L, cast(x'42{part}' as string)")
+    assert {(r.doc_id, r.n_removed, bytes(r.kept)) for r in bwt.remove_repeats(frame, 40).collect()} == {(1, 60, b"A"), (2, 60, b"B")}
+
+
+def test_rows_without_id_are_documents_each(spark):
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = word(50)
+    texts = [word(30) + shared + word(i) for i in range(40)]
+    out = bwt.remove_repeats(spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string"), 40)
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out.collect()) == sorted(plain(list(enumerate(texts)), 40).values())
+    texts = spark.range(20_000).select(F.xxhash64("id").alias("twin"))
+    for doc in (F.lit(None), F.lit(7)):
+        keys = texts.groupBy(windows.document_key(doc, F.col("twin"))).count().agg(F.count("*"), F.max("count")).first()
+        assert keys[0] >= 4000 and keys[1] < 30
 
 
 def test_repeated_rows_clashing_columns_and_no_rows(spark):

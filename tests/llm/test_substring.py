@@ -17,7 +17,7 @@ def plain(rows, window):
     """(doc_id, text) with distinct ids -> {doc_id: (n_words, n_removed, kept text)}."""
     seen, out = set(), {}
     for doc_id, text in sorted(rows):
-        words = substring.words_of(text)
+        words = substring.words_of((text or "").encode())
         gone = [False] * len(words)
         for i in range(len(words) - window + 1):
             key = tuple(words[i:i + window])
@@ -71,7 +71,7 @@ def test_random_passages(spark):
 def test_a_line_in_other_words_everywhere_is_no_hot_bucket():
     rng, line = random.Random(7), [f"line{i}" for i in range(12)]
     texts = [" ".join([f"w{rng.getrandbits(60)}" for _ in range(30)] + line + [f"w{rng.getrandbits(60)}" for _ in range(30)]) for _ in range(400)]
-    shared = windows.rabin_karp(substring.word_symbols(" ".join(line)), 8).view(np.int64).tolist()
+    shared = windows.rabin_karp(substring.word_symbols(" ".join(line).encode()), 8).view(np.int64).tolist()
     batch = pa.record_batch({"doc": pa.array(range(400), pa.int64()), "twin": pa.array(range(400), pa.int64()),
                              "row": pa.array([{"text": t} for t in texts]), "anchors": pa.array([shared] * 400, pa.list_(pa.int64()))})
     held = np.zeros(64, np.int64)
