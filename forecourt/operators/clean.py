@@ -9,12 +9,11 @@ Order of rows: ``_row_order`` when the reader supplied it, else the row's own va
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.contracts import (
@@ -34,7 +33,7 @@ from forecourt.functions.numeric import differs
 from forecourt.functions.parsing import canonical, exact_amount, instant, truth
 from forecourt.operators.profile import foreign_key_report, validation_report
 from forecourt.operators.scoring import CheckFailure, union_all
-from forecourt.sources.store import shared_folder
+from forecourt.sources.store import written_stages
 
 ORDER = "_row_order"
 CONCURRENT_JOBS = 4
@@ -42,18 +41,6 @@ Stage = Callable[[str, DataFrame], DataFrame]
 AUDIT_SCHEMA = ("dataset", "action", "affected_rows", "details")
 
 
-def written_stages(spark: SparkSession, folder: str | None = None) -> Stage:
-    """A stage that writes each phase once, under a folder every executor can reach, and reads it back."""
-    root = f"{folder or shared_folder(spark) + '/forecourt'}/clean-{uuid.uuid4().hex[:12]}"
-
-    def stage(name: str, frame: DataFrame) -> DataFrame:
-        path = f"{root}/{name}"
-        frame.write.parquet(path)
-        return spark.read.parquet(path)
-
-    return stage
-
-
 @dataclass
 class Cleaning:
     """Cleaned datasets by name, and the audit frames collected on the way."""

@@ -1,7 +1,7 @@
 """The 28 warehouse data-quality checks and their gate.
 
 Row rules over the same table share one pass; uniqueness rules aggregate on the key; orphan
-rules left-join key-only dimensions. Every check yields one number.
+rules compare distinct keys (``keysets``). Every check yields one number.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from forecourt.contracts import (
     TECHNICIAN_ROLE,
 )
 from forecourt.functions.numeric import differs
+from forecourt.operators.keysets import Dangling, Link
 from forecourt.operators.scoring import duplicates, failures, pass_fail, summed, union_all
 from forecourt.operators.warehouse import sale_units
-
+from forecourt.sources.store import written_stages
 
 # Category, name and advice of every check.
 TEXTS: dict[str, tuple[str, str, str]] = {
@@ -123,11 +124,8 @@ def _missing(links) -> Column:
 def _orphans(w, fact: str, links) -> DataFrame:
     """Rows of a fact with at least one key that no dimension row carries (each row counted once)."""
     frame = w.table(fact).select(*[column for column, _, _ in links])
-    for column, dimension, key in links:
-        # Keys once: a dimension that repeats a key must not repeat the fact row.
-        found = w.table(dimension).select(F.col(key).alias(column)).distinct().withColumn(f"has_{column}", F.lit(True))
-        frame = frame.join(found, column, "left")
-    return failures(frame, _any([F.col(f"has_{column}").isNull() for column, _, _ in links]))
+    sets = [Link(column, w.table(dimension), key) for column, dimension, key in links]
+    return Dangling(frame, sets, written_stages(frame.sparkSession), fact).unresolved(frame)
 
 
 def _off(left: Column, right: Column) -> Column:
@@ -169,12 +167,17 @@ ROW_RULES: dict[str, tuple[str, Callable[[], Column]]] = {
 def _seller_alignment(w, as_of) -> DataFrame:
     staff = w.table("dim_employee").select(
         F.col("employee_key").alias("salesperson_key"), "role", F.col("dealership_key").alias("home"))
-    sales = w.table("fact_sales").select("salesperson_key", "dealership_key").join(staff, "salesperson_key")
-    return failures(sales, (F.col("role") != SALES_ROLE) | (F.col("home") != F.col("dealership_key")))
+    # Rows are counted by seller and dealership before anything is joined.
+    sales = w.table("fact_sales").groupBy("salesperson_key", "dealership_key").agg(F.count("*").alias("n")).join(staff, "salesperson_key")
+    return _rows_failing(sales, (F.col("role") != SALES_ROLE) | (F.col("home") != F.col("dealership_key")))
+
+
+def _rows_failing(counted: DataFrame, condition: Column) -> DataFrame:
+    return counted.agg(F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias("failed_count"))
 
 
 def _service_alignment(w, as_of) -> DataFrame:
-    frame = w.table("fact_service").select("service_advisor_key", "technician_key", "dealership_key")
+    frame = w.table("fact_service").groupBy("service_advisor_key", "technician_key", "dealership_key").agg(F.count("*").alias("n"))
     wrong = []
     for column, role in (("service_advisor_key", ADVISOR_ROLE), ("technician_key", TECHNICIAN_ROLE)):
         staff = w.table("dim_employee").select(
@@ -182,7 +185,7 @@ def _service_alignment(w, as_of) -> DataFrame:
             F.col("dealership_key").alias(f"{column}_home"))
         frame = frame.join(staff, column)
         wrong += [F.col(f"{column}_role") != role, F.col(f"{column}_home") != F.col("dealership_key")]
-    return failures(frame, _any(wrong))
+    return _rows_failing(frame, _any(wrong))
 
 
 def _order_mismatch(w, as_of) -> DataFrame:

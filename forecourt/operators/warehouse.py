@@ -1,10 +1,9 @@
 """Star-schema load: six dimensions and three facts from the staged datasets.
 
-Fact loads look up dimensions by business identifier with inner joins, so a row that does
-not resolve is left out and the row-count reconciliation reports it. The lookups project
-two or three columns only; Spark broadcasts a dimension when its published file size is
-under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise runs a sort-merge join with
-AQE skew handling.
+A surrogate key is a function of its identifier, so facts compute their keys and join no
+dimension. A row whose identifiers do not all resolve is left out and the row-count
+reconciliation reports it; which keys dangle is found from the distinct keys of a fact (see
+``keysets``), so no fact row is shuffled to look one up, however large a dimension is.
 """
 
 from __future__ import annotations
@@ -26,6 +25,8 @@ from forecourt.contracts import (
 )
 from forecourt.functions.calendar import days_between, describe_days
 from forecourt.functions.keys import date_key, snapshot_key, surrogate_key
+from forecourt.operators.keysets import Dangling, Link
+from forecourt.sources.store import written_stages
 
 MONEY = "decimal(14,2)"
 
@@ -138,19 +139,33 @@ def _current(dim: DataFrame, *columns: str) -> DataFrame:
     return dim.where("is_current").select(*columns)
 
 
-def _employees_in_role(w, role: str, prefix: str) -> DataFrame:
-    """Current employees of one role, keyed by their identifier and dealership."""
-    return _current(w.table("dim_employee").where(F.col("role") == role), "employee_id", "dealership_key", "employee_key") \
-        .withColumnsRenamed({"employee_id": f"{prefix}_id", "employee_key": f"{prefix}_key"})
+# Key column of a fact -> its identifier in the source, and the form of the identifier.
+KEYED = {
+    "customer_key": ("customer_id", "CUS", 6),
+    "vehicle_key": ("vehicle_id", "VEH", 6),
+    "dealership_key": ("dealership_id", "DLR", 3),
+    "salesperson_key": ("salesperson_id", "EMP", 6),
+    "service_advisor_key": ("service_advisor_id", "EMP", 6),
+    "technician_key": ("technician_id", "EMP", 6),
+}
 
 
-def _with_dimension_keys(w, facts: DataFrame, customer: bool = True) -> DataFrame:
-    if customer:
-        facts = facts.join(_current(w.table("dim_customer"), "customer_id", "customer_key"), "customer_id")
-    return (
-        facts.join(w.table("dim_vehicle").select("vehicle_id", "vehicle_key"), "vehicle_id")
-        .join(w.table("dim_dealership").select("dealership_id", "dealership_key"), "dealership_id")
-    )
+def _keyed(source: DataFrame, *columns: str) -> DataFrame:
+    return source.withColumns({c: surrogate_key(KEYED[c][0], *KEYED[c][1:]) for c in columns})
+
+
+def _links(w, **roles: str) -> list[Link]:
+    """What the keys of a fact must resolve to; employees in the role of their column, at the dealership of the row."""
+    links = [Link("vehicle_key", w.table("dim_vehicle"), "vehicle_key"), Link("dealership_key", w.table("dim_dealership"), "dealership_key")]
+    if roles:
+        links.append(Link("customer_key", _current(w.table("dim_customer"), "customer_key"), "customer_key"))
+    staff = _current(w.table("dim_employee"), "employee_key", "dealership_key", "role")
+    return links + [Link(f"{column}_key", staff.where(F.col("role") == role), "employee_key", "dealership_key", "dealership_key")
+                    for column, role in roles.items()]
+
+
+def _resolved(w, name: str, rows: DataFrame, checked: DataFrame, links: list[Link]) -> DataFrame:
+    return Dangling(checked, links, written_stages(rows.sparkSession), name).resolved(rows)
 
 
 def sale_units(status: Column) -> Column:
@@ -158,9 +173,8 @@ def sale_units(status: Column) -> Column:
 
 
 def fact_sales(w) -> DataFrame:
-    sellers = _employees_in_role(w, SALES_ROLE, "salesperson")
-    keyed = _with_dimension_keys(w, w.table("sales")).join(sellers, ["salesperson_id", "dealership_key"])
-    return keyed.select(
+    keyed = _keyed(w.table("sales"), "customer_key", "vehicle_key", "dealership_key", "salesperson_key")
+    return _resolved(w, "fact_sales", keyed, keyed, _links(w, salesperson=SALES_ROLE)).select(
         surrogate_key("sale_id", "SAL").alias("sales_key"),
         "sale_id",
         date_key(F.col("sale_date").cast("date")).alias("sale_date_key"),
@@ -175,7 +189,8 @@ def fact_sales(w) -> DataFrame:
 
 def fact_inventory(w) -> DataFrame:
     day = date_key(F.col("snapshot_date").cast("date"))
-    return _with_dimension_keys(w, w.table("inventory"), customer=False).select(
+    keyed = _keyed(w.table("inventory"), "vehicle_key", "dealership_key")
+    return _resolved(w, "fact_inventory", keyed, keyed, _links(w)).select(
         snapshot_key("inventory_id", day, "INV").alias("inventory_key"),
         "inventory_id",
         day.alias("snapshot_date_key"),
@@ -197,18 +212,15 @@ def elapsed_hours(start: Column, end: Column) -> Column:
 
 def fact_service(w) -> DataFrame:
     visits = w.table("service_appointments").select("appointment_id", *SHARED_ORDER_COLUMNS, "service_type")
-    services = w.table("dim_service").select("service_type", "service_key")
+    columns = ("customer_key", "vehicle_key", "dealership_key", "service_advisor_key", "technician_key")
     opened, promised, completed = (
         F.col(c).cast("timestamp_ntz") for c in ("opened_at", "promised_at", "completed_at")
     )
-    keyed = (
-        _with_dimension_keys(
-            w, w.table("service_orders").join(visits, ["appointment_id", *SHARED_ORDER_COLUMNS])
-        )
-        .join(_employees_in_role(w, ADVISOR_ROLE, "service_advisor"), ["service_advisor_id", "dealership_key"])
-        .join(_employees_in_role(w, TECHNICIAN_ROLE, "technician"), ["technician_id", "dealership_key"])
-        .join(services, "service_type")
-    )
+    # Every service type of an appointment is in its dimension, which is made of them.
+    joined = w.table("service_orders").join(visits, ["appointment_id", *SHARED_ORDER_COLUMNS]).where("service_type is not null") \
+        .withColumn("service_key", surrogate_key("service_type"))
+    links = _links(w, service_advisor=ADVISOR_ROLE, technician=TECHNICIAN_ROLE)
+    keyed = _resolved(w, "fact_service", _keyed(joined, *columns), _keyed(w.table("service_orders"), *columns), links)
     return keyed.select(
         surrogate_key("service_order_id", "SRO").alias("service_fact_key"),
         "service_order_id", "appointment_id",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from forecourt.contracts import ADVISOR_ROLE, SALES_ROLE, TECHNICIAN_ROLE
 from forecourt.functions.calendar import days_between, describe_report_days
 from forecourt.functions.keys import date_key
+from forecourt.operators.keysets import Link, dangling
 from forecourt.operators.reconcile import event_bounds
 from forecourt.plans import inventory, sales, service
 from forecourt.plans.sales import full_name
@@ -170,14 +171,15 @@ def relationship_errors(model: SemanticModel) -> DataFrame:
         one = model.table(dimension).select(F.col(key).alias("k"))
         repeated = one.groupBy("k").agg(F.count("*").alias("n")).where("n > 1 OR k IS NULL") \
             .agg(F.count("*").alias("dimension_errors"))
-        # Counted per key first: a hot key crosses the network once.
-        used = model.table(fact).where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")) \
-            .agg(F.count("*").alias("n"))
-        orphans = used.join(one, "k", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"))
-        parts += [repeated.select(F.lit(f"{dimension}.{key} -> {fact}.{column}").alias("relationship"),
-                                  "dimension_errors", F.lit(0).cast("bigint").alias("orphan_rows")),
-                  orphans.select(F.lit(f"{dimension}.{key} -> {fact}.{column}").alias("relationship"),
-                                 F.lit(0).cast("bigint").alias("dimension_errors"), "orphan_rows")]
+        parts.append(repeated.select(F.lit(f"{dimension}.{key} -> {fact}.{column}").alias("relationship"),
+                                     "dimension_errors", F.lit(0).cast("bigint").alias("orphan_rows")))
+    for fact in dict.fromkeys(r[2] for r in RELATIONSHIPS):
+        # All key columns of a fact in one scan; a hot key crosses the network once.
+        own = [r for r in RELATIONSHIPS if r[2] == fact]
+        found = dangling(model.table(fact), [Link(column, model.table(dimension), key) for dimension, key, _, column in own])
+        labels = F.array(*[F.lit(f"{dimension}.{key} -> {fact}.{column}") for dimension, key, _, column in own])
+        parts.append(found.select(F.get(labels, F.col("link")).alias("relationship"), F.lit(0).cast("bigint").alias("dimension_errors"),
+                                  F.col("n").alias("orphan_rows")))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)

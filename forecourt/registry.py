@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from forecourt.contracts import DATASETS
 from forecourt.operators import constraints, measures, profile, quality, reconcile, scenarios
-from forecourt.operators.clean import clean_datasets, require_clean, written_stages
+from forecourt.operators.clean import clean_datasets, require_clean
 from forecourt.operators.scoring import CheckFailure, require_all_pass, union_all
 from forecourt.operators.warehouse import repair_unit_signs
 from forecourt.plans import customer, inventory, model, pages, reporting, sales, service
@@ -24,7 +24,7 @@ from forecourt.plans.warehouse import DIMENSIONS, FACTS, Warehouse
 from forecourt.sources import files
 from forecourt.sources.faulty import faulty, faulty_star
 from forecourt.sources.order_tables import read_order_tables
-from forecourt.sources.store import TableStore, shared_folder
+from forecourt.sources.store import TableStore, shared_folder, written_stages
 
 _open: dict[tuple[str, str], Warehouse] = {}
 _lock = threading.RLock()

@@ -12,6 +12,7 @@ import hashlib
 import json
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def written_stages(spark: SparkSession, folder: str | None = None) -> Callable[[str, DataFrame], DataFrame]:
+    """A stage that writes each frame once, under a folder every executor can reach, and reads it back."""
+    root = f"{folder or shared_folder(spark) + '/forecourt'}/stages-{uuid.uuid4().hex[:12]}"
+
+    def stage(name: str, frame: DataFrame) -> DataFrame:
+        path = f"{root}/{name}"
+        schema = frame.schema
+        frame.write.parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+    return stage
+
+
 class TableStore:
     """One immutable version folder plus the catalog schema through which it is read."""
 
@@ -71,6 +85,8 @@ class TableStore:
         self.database = "forecourt_" + hashlib.md5(self.path.encode()).hexdigest()[:12]
         self.row_counts = dict(row_counts or {})
         self.buckets: dict[str, int] = {}
+        # Joins on more keys than the bucket column still meet bucket by bucket, in any session.
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.path}/_schema'")
 
     @classmethod
