@@ -347,6 +347,8 @@ FROM vd WHERE appointment_date >= DATE '2024-01-05' AND service_type = 'Repair'"
     "pg_12_customer_value": _top(BUYER_PAGE, "cd", "value_c DESC, customer_id", 100, 0,
                                  "relationship_segment = 'Sales + Service' AND value_c >= 10000000"),
     "pg_13_dealership_performance": _dealer_page(100, 0, "region = 'ASIA' AND total_revenue >= 0"),
+    "pg_14_deep_page": _top(SALE_PAGE, "sd", "sale_date DESC, sale_id", 500, 12_000),
+    "pg_15_after_page": _top(VISIT_PAGE, "vd", "appointment_date DESC, appointment_id", 200, 900),
 }
 
 SQL: dict[str, str] = {

@@ -1,8 +1,10 @@
 """Parameterised page and summary queries over the reporting views.
 
 A page is ``filter -> select -> orderBy -> offset -> limit`` with a fixed, total order. Spark
-plans the last three as one top-k, so no full sort is exchanged. For deep paging pass
-``after`` (the sort values of the last row seen) instead of a large offset.
+plans the last three as one top-k, so no full sort is exchanged; a task holds offset + limit
+rows. Beyond an offset of ``DEEP`` rows the order is dealt over all tasks and written with each
+row's place; the row counts of the parts say which places the page has, and only those are read
+back. ``after`` (the sort values of the last row seen) needs neither.
 """
 
 from __future__ import annotations
@@ -16,9 +18,11 @@ from pyspark.sql import functions as F
 
 from forecourt.functions.numeric import percent, ratio, total_or_zero, whole_or_zero
 from forecourt.plans import reporting
+from forecourt.sources.store import written_stages
 
 # Page limits, accepted filter values, output columns.
 DEFAULT_LIMIT, MAX_LIMIT = 100, 500
+DEEP = 10_000  # the largest offset that one task holds
 CHOICES = {
     "sale_status": ("Completed", "Returned"),
     "payment_type": ("Finance", "Cash", "Lease"),
@@ -139,18 +143,43 @@ def _filtered(w, resource: Resource, filters: dict[str, Any]) -> DataFrame:
 
 
 def _beyond(order: tuple[tuple[str, bool], ...], values: tuple) -> Column:
-    """Rows that sort strictly after the given sort values."""
+    """Rows that sort strictly after the given sort values; NULL is the smallest value, as in the order of a page."""
     later, tied = F.lit(False), F.lit(True)
     for (name, descending), value in zip(order, values, strict=True):
         column = F.col(name)
-        later = later | (tied & ((column < value) if descending else (column > value)))
-        tied = tied & (column == value)
+        if value is None:
+            beyond = F.lit(False) if descending else column.isNotNull()
+        else:
+            beyond = (column < value) | column.isNull() if descending else column > value
+        later = later | (tied & F.coalesce(beyond, F.lit(False)))
+        tied = tied & column.eqNullSafe(F.lit(value))
     return later
 
 
-def page(w, name: str, limit: int = DEFAULT_LIMIT, offset: int = 0, after: tuple | None = None,
+PLACE_BITS = 33  # monotonically_increasing_id: the partition above, the row in it below
+
+
+def _from_place(frame: DataFrame, ordering: list[Column], offset: int, limit: int) -> DataFrame:
+    """The rows at places offset .. offset + limit of the order, which no task holds as a whole.
+
+    The order is written once, each row with its part and its place in the part; a page reads the
+    places that it needs, which the files are sorted by.
+    """
+    dealt = frame.repartitionByRange(*ordering).sortWithinPartitions(*ordering).withColumn("_place", F.monotonically_increasing_id())
+    ranked = written_stages(frame.sparkSession)("ranked", dealt)
+    parts = ranked.groupBy(F.shiftright("_place", PLACE_BITS).alias("part")).count().orderBy("part").collect()  # one row per task
+    wanted, before = F.lit(False), 0
+    for part, rows in parts:
+        first, last = max(0, offset - before), min(rows, offset + limit - before)
+        if first < last:
+            wanted = wanted | F.col("_place").between((part << PLACE_BITS) + first, (part << PLACE_BITS) + last - 1)
+        before += rows
+    return ranked.where(wanted).orderBy("_place").limit(limit).drop("_place")
+
+
+def page(w, name: str, limit: int = DEFAULT_LIMIT, offset: int = 0, after: tuple | None = None, deep: int = DEEP,
          **filters: Any) -> DataFrame:
-    """One page as a DataFrame in a stable order."""
+    """One page as a DataFrame in a stable order; an offset beyond ``deep`` rows is found by place."""
     if not 1 <= limit <= MAX_LIMIT:
         raise QueryError(f"limit must be between 1 and {MAX_LIMIT}")
     if offset < 0:
@@ -160,7 +189,10 @@ def page(w, name: str, limit: int = DEFAULT_LIMIT, offset: int = 0, after: tuple
     if after is not None:
         frame = frame.where(_beyond(resource.order, after))
     ordering = [F.desc(c) if descending else F.asc(c) for c, descending in resource.order]
-    frame = frame.select(*resource.fields).orderBy(*ordering)
+    frame = frame.select(*resource.fields)
+    if offset > deep:
+        return _from_place(frame, ordering, offset, limit)
+    frame = frame.orderBy(*ordering)
     return (frame.offset(offset) if offset else frame).limit(limit)
 
 

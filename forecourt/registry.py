@@ -180,9 +180,17 @@ PAGES: dict[str, Plan] = {
                                     minimum_value=Decimal("100000")),
     "pg_13_dealership_performance": partial(pages.page, name="dealership_performance", region="ASIA",
                                             minimum_revenue=Decimal("0")),
+    "pg_14_deep_page": partial(pages.page, name="sales_performance", limit=500, offset=12_000),
+    "pg_15_after_page": lambda w: _after(w, "service", 900, 200),
 }
 
 
+def _after(w: Warehouse, name: str, seen: int, limit: int) -> DataFrame:
+    """The page behind the first ``seen`` rows, found by the sort values of the last of them."""
+    last = pages.page(w, name, limit=1, offset=seen - 1).first()
+    return pages.page(w, name, limit=limit, after=tuple(last[c] for c, _ in pages.RESOURCES[name].order))
+
+
 LOADED = (*DIMENSIONS, *FACTS)
 
 LOAD: dict[str, Plan] = {
