@@ -26,17 +26,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecourt.llm.components import connected_components
-from forecourt.llm.stages import Stage, released
+from forecourt.llm.stages import Stage, raw_bytes, released
 
 BITS, RADIUS, BUCKET, SEED = 64, 3, 2048, 42
 FORWARD = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
 
 
-def fingerprint_of(text: str | None, shingle: int) -> int:
-    """Unsigned fingerprint of one text: words between ASCII white space, A-Z in lower case."""
-    words = (text or "").encode().lower().split()
+def shingle_hashes(words: list[bytes], shingle: int) -> Iterator[np.ndarray]:
+    """64-bit hashes of the shingles of a text, repeats included, some at a time; of fewer words the whole sequence."""
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -45,12 +44,28 @@ def fingerprint_of(text: str | None, shingle: int) -> int:
     else:
         starts, ends = starts[:1], ends[-1:]
     view, digest = memoryview(joined), xxhash.xxh64_intdigest
-    count, n = np.zeros(BITS, dtype=np.int64), len(starts)
-    for at in range(0, n, 1 << 16):
-        hashes = np.array([digest(view[a:b], SEED) for a, b in
-                           zip(starts[at:at + (1 << 16)].tolist(), ends[at:at + (1 << 16)].tolist())], dtype="<u8")
-        count += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * count > n, bitorder="little").view("<u8")[0])
+    for at in range(0, len(starts), 1 << 16):
+        yield np.array([digest(view[a:b], SEED) for a, b in
+                        zip(starts[at:at + (1 << 16)].tolist(), ends[at:at + (1 << 16)].tolist())], dtype="<u8")
+
+
+def _words(raw: bytes) -> list[bytes]:
+    """Words between ASCII white space, A-Z in lower case."""
+    return raw.lower().split()
+
+
+def _majority(hashes: Iterator[np.ndarray], width: int) -> np.ndarray:
+    """Of rows of ``width`` 64-bit words, the bits that more than half have set."""
+    count, n = np.zeros(BITS * width, dtype=np.int64), 0
+    for part in hashes:
+        count += np.unpackbits(part.view(np.uint8).reshape(-1, 8 * width), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(part) // width
+    return np.packbits(2 * count > n, bitorder="little").view("<u8")
+
+
+def fingerprint_of(raw: bytes, shingle: int) -> int:
+    """Unsigned fingerprint of one text."""
+    return int(_majority(shingle_hashes(_words(raw), shingle), 1)[0])
 
 
 def fingerprint(text: Column, shingle: int = 3) -> Column:
@@ -59,7 +74,7 @@ def fingerprint(text: Column, shingle: int = 3) -> Column:
     @F.arrow_udf(T.LongType())
     def fingerprints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in released(texts):
-            out = np.fromiter((fingerprint_of(t.as_py(), shingle) for t in batch), dtype=np.uint64, count=len(batch))
+            out = np.fromiter((fingerprint_of(raw_bytes(t), shingle) for t in batch), dtype=np.uint64, count=len(batch))
             yield pa.array(out.view(np.int64))
 
     return fingerprints(text)
@@ -75,49 +90,55 @@ def _signed(x: int) -> int:
     return x - (1 << BITS) if x >> (BITS - 1) else x
 
 
-def _finer(spark: SparkSession, masks: list[int]) -> DataFrame:
-    """(mask, finer): each mask with those that also cover its open bits; 15 per mask, so a small table."""
+def _finer(spark: SparkSession, masks: list[int], radius: int) -> DataFrame:
+    """(mask, finer): each mask with those that also cover its open bits; some per mask, so a small table."""
     rows = [(_signed(m), _signed(m | sub)) for m in masks
-            for sub in covering_masks([b for b in range(BITS) if not m >> b & 1])]
+            for sub in covering_masks([b for b in range(BITS) if not m >> b & 1], radius)]
     return spark.createDataFrame(sorted(set(rows)), "mask bigint, finer bigint")
 
 
-@F.arrow_udf(FORWARD)
-def _forest(groups: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """A spanning forest of the links among the members of each bucket."""
-    for batch in released(groups):
-        found = []
-        for group in batch.to_pylist():
-            marks = np.array([m["fp"] for m in group], dtype=np.int64)
-            kin, links = np.arange(len(marks)), []
-            for i in range(len(marks) - 1):
-                near = i + 1 + np.flatnonzero(np.bitwise_count((marks[i + 1:] ^ marks[i]).view(np.uint64)) <= RADIUS)
-                near = near[kin[near] != kin[i]]
-                if len(near):
-                    met, first = np.unique(kin[near], return_index=True)
-                    links += [{"a": group[i]["id"], "b": group[j]["id"]} for j in near[first].tolist()]
-                    kin[np.isin(kin, met)] = kin[i]
-            found.append(links)
-        yield pa.array(found, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
-
-
-def links(marks: DataFrame, stage: Stage) -> DataFrame:
-    """Edges (a, b) that connect the distinct fingerprints (id, fp) exactly as all links within the radius do."""
+def _forest(radius: int):
+    def forest(groups: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """A spanning forest of the links among the members of each bucket."""
+        for batch in released(groups):
+            found = []
+            for group in batch.to_pylist():
+                marks = np.array([m["fp"] for m in group], dtype=np.int64)
+                kin, links = np.arange(len(marks)), []
+                for i in range(len(marks) - 1):
+                    near = i + 1 + np.flatnonzero(np.bitwise_count((marks[i + 1:] ^ marks[i]).view(np.uint64)) <= radius)
+                    near = near[kin[near] != kin[i]]
+                    if len(near):
+                        met, first = np.unique(kin[near], return_index=True)
+                        links += [{"a": group[i]["id"], "b": group[j]["id"]} for j in near[first].tolist()]
+                        kin[np.isin(kin, met)] = kin[i]
+                found.append(links)
+            yield pa.array(found, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
+
+    return F.arrow_udf(forest, FORWARD)
+
+
+def links(marks: DataFrame, stage: Stage, radius: int = RADIUS) -> DataFrame:
+    """Edges (a, b) that connect the distinct fingerprints (id, fp) exactly as all links within the radius do.
+
+    With a column ``print``, fingerprints of different prints never meet, and each print is connected on its own.
+    """
     spark = marks.sparkSession
-    whole, masks, found = marks, [0], []
+    whole, masks, found, of = marks, [0], [], [c for c in marks.columns if c == "print"]
     while masks:
         if masks == [0]:
-            first = F.array(*[F.lit(_signed(m)) for m in covering_masks(list(range(BITS)))])
-            keyed = whole.select("id", "fp", F.explode(first).alias("mask"))
+            first = F.array(*[F.lit(_signed(m)) for m in covering_masks(list(range(BITS)), radius)])
+            keyed = whole.select(*of, "id", "fp", F.explode(first).alias("mask"))
         else:
-            keyed = whole.join(F.broadcast(_finer(spark, masks)), "mask").select("id", "fp", F.col("finer").alias("mask"))
+            keyed = whole.join(F.broadcast(_finer(spark, masks, radius)), "mask").select(*of, "id", "fp", F.col("finer").alias("mask"))
         keyed = keyed.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
-        sizes = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
-        members = stage("buckets", keyed.join(sizes, ["mask", "key"]))
-        found.append(stage("links", members.where(F.col("n") <= BUCKET).groupBy("mask", "key")
+        bucket = [*of, "mask", "key"]
+        sizes = keyed.groupBy(bucket).agg(F.count("*").alias("n")).where("n > 1")
+        members = stage("buckets", keyed.join(sizes, bucket))
+        found.append(stage("links", members.where(F.col("n") <= BUCKET).groupBy(bucket)
                            .agg(F.sort_array(F.collect_list(F.struct("fp", "id"))).alias("group"))
-                           .select(F.explode(_forest("group")).alias("e")).select("e.a", "e.b").distinct()))
-        whole = members.where(F.col("n") > BUCKET).select("id", "fp", "mask").distinct()
+                           .select(F.explode(_forest(radius)("group")).alias("e")).select("e.a", "e.b").distinct()))
+        whole = members.where(F.col("n") > BUCKET).select(*of, "id", "fp", "mask").distinct()
         masks = [r.mask & ((1 << BITS) - 1) for r in whole.select("mask").distinct().collect()]
     out = found[0]
     for more in found[1:]:
@@ -142,3 +163,92 @@ def near_duplicates(documents: DataFrame, stage: Stage, shingle: int = 3) -> Dat
         .select("fp", F.coalesce("component", "id").alias("component_id"))
     named = marks.join(classes, "fp", "left")
     return named.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+# -- similarity of shingle sets ----------------------------------------------------------------------
+
+PRINTS, PRINT_RADIUS = 8, 4
+
+
+def _marks(shingle: int):
+    """The digest of a text's set of shingles, and fingerprints of its set of words by different hashes."""
+
+    def marked(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in released(texts):
+            of, prints = [], []
+            for text in batch:
+                words = _words(raw_bytes(text))
+                shingles = [np.unique(h) for h in shingle_hashes(words, shingle)]
+                of.append(xxhash.xxh3_128_digest(np.unique(np.concatenate(shingles)).tobytes() if shingles else b""))
+                once = sorted(set(words))
+                hashes = (np.frombuffer(b"".join(xxhash.xxh3_128_digest(w, seed) for w in once[at:at + 4096] for seed in range(PRINTS // 2)), "<u8")
+                          for at in range(0, len(once), 4096))
+                prints.append(_majority(hashes, PRINTS).view(np.int64) if once else np.zeros(PRINTS, np.int64))
+            flat = np.concatenate(prints) if prints else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(of) + 1, dtype=np.int32) * PRINTS), pa.array(flat))
+            yield pa.StructArray.from_arrays([pa.array(of, pa.binary()), lists], ["of", "prints"])
+
+    return F.arrow_udf(marked, "struct<of:binary,prints:array<bigint>>")
+
+
+def _shingle_set(shingle: int):
+    def sets(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in released(texts):
+            found = [np.unique(np.concatenate([np.empty(0, "<u8"), *shingle_hashes(_words(raw_bytes(t)), shingle)])).view(np.int64) for t in batch]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *found])))
+
+    return F.arrow_udf(sets, "array<bigint>")
+
+
+def _candidates(distinct: DataFrame, stage: Stage) -> DataFrame:
+    """Edges (a, b) between texts (id, prints) that are within the radius in some print.
+
+    All covering tables are one aggregate of a hash, a count and two ids, so most buckets, those
+    of two, need no second pass. Members of larger buckets are fetched and connected by a
+    spanning forest; texts of buckets too full for a task go through ``links``.
+    """
+    masks = covering_masks(list(range(BITS)), PRINT_RADIUS)
+    first = F.array(*[F.lit(_signed(m)) for m in masks])
+    prints = distinct.select("id", F.posexplode("prints").alias("print", "fp"))
+    keyed = prints.withColumn("mask", F.explode(first)).withColumn("h", F.xxhash64("print", "mask", F.col("fp").bitwiseAND(F.col("mask"))))
+    met = stage("met", keyed.select("h", "id").groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("n > 1 and a < b"))
+    pairs = met.where("n = 2").select("a", "b").distinct()
+    near = F.exists(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= PRINT_RADIUS), lambda x: x)
+    own = distinct.select("id", "prints")
+    pairs = pairs.join(own.toDF("a", "pa"), "a").join(own.toDF("b", "pb"), "b").where(near).select("a", "b")
+    members = stage("members", keyed.join(met.where("n > 2").select("h", "n"), "h").select("h", "n", "print", "id", "fp"))
+    groups = members.where(F.col("n") <= BUCKET).groupBy("h").agg(F.sort_array(F.collect_list(F.struct("fp", "id"))).alias("group"))
+    forest = groups.select(F.explode(_forest(PRINT_RADIUS)("group")).alias("e")).select("e.a", "e.b")
+    full = members.where(F.col("n") > BUCKET).groupBy("print", "fp").agg(F.min("id").alias("id"))
+    # Equal fingerprints are one in the tables of full buckets; the others hang on the first of them.
+    kin = members.where(F.col("n") > BUCKET).select("print", "fp", "id").distinct().join(full.toDF("print", "fp", "a"), ["print", "fp"]).where("id <> a")
+    edges = pairs.union(forest).union(kin.select("a", F.col("id").alias("b"))).union(links(full.select("print", "id", "fp"), stage, PRINT_RADIUS))
+    return stage("candidates", edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def near_copies(documents: DataFrame, stage: Stage, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id), one row per row of ``documents`` (doc_id, text): documents whose shingle sets are similar.
+
+    Similar are texts whose sets of word shingles have a cosine of at least ``similarity``; equal
+    sets are one. Candidates agree within ``PRINT_RADIUS`` bits in one of ``PRINTS`` fingerprints
+    of their sets of words, which near copies change less than their shingles; those of a
+    covering bucket are connected by a spanning forest, and each of its links is checked on the
+    shingle sets themselves. Two texts without a common word order are never joined; a pair that
+    no fingerprint brings together, or that only a link of a dissimilar third text connects, is missed.
+    Blank and null texts have one set. A row without doc_id links nothing and has a null
+    component. Other columns are ignored; an empty table gives an empty result.
+    """
+    marks = stage("marks", documents.select("doc_id", _marks(shingle)("text").alias("m")).select("doc_id", "m.of", "m.prints"))
+    distinct = stage("sets", marks.where("doc_id is not null").groupBy("of").agg(F.min("doc_id").alias("id"), F.first("prints").alias("prints")))
+    edges = _candidates(distinct, stage)
+    # Only the texts of candidates are read again.
+    ends = edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct()
+    sets = stage("shingles", documents.select("doc_id", "text").join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+                 .select(F.col("doc_id").alias("id"), _shingle_set(shingle)("text").alias("s")))
+    both = edges.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    alike = F.size(F.array_intersect("sa", "sb")) >= F.lit(similarity) * F.sqrt(F.size("sa").cast("double") * F.size("sb"))
+    joined = connected_components(stage("similar", both.where(alike).select("a", "b").distinct()), stage)
+    classes = distinct.join(joined, distinct.id == joined.node, "left").select("of", F.coalesce("component", "id").alias("component_id"))
+    named = marks.join(classes, "of", "left")
+    return named.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

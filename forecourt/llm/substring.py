@@ -163,13 +163,13 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     doc, twin = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64("text").alias("twin")
     known = F.when(F.col("doc") < (1 << 63) - 1, F.col("doc"))
     key = document_key(known, F.col("twin")).alias("key")
-    keyed = documents.select(doc, twin, F.struct(*[F.col(f"`{c}`") for c in passed]).alias("row")).select(key, "doc", "twin", "row")
+    keyed = documents.select(doc, twin, F.struct(*[F.col(f"`{c}`") for c in passed]).alias("row")).select(key, "twin", "row")
     # The texts are dealt by document once; both joins below read this one exchange.
     dealt = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
     places = documents.select(doc, twin, "text").select(key, "text").toDF("doc", "text")
     replies = repeated_anchors(places, word_symbols, gram, window, buckets).withColumnRenamed("doc", "key")
     # Whole rows go in here too: with fewer columns the exchange would be another one.
-    sent = dealt.join(replies, "key").select("doc", "twin", "row", "anchors").mapInArrow(
+    sent = dealt.join(replies, "key").select(F.coalesce("row.doc_id", F.lit((1 << 63) - 1)).alias("doc"), "twin", "row", "anchors").mapInArrow(
         _sent(gram, window, buckets), "bucket int, settled boolean, h1 array<bigint>, h2 array<bigint>, "
                                       "doc array<bigint>, twin array<bigint>, start array<int>")
     found = sent.groupBy("bucket").applyInArrow(_counted, "doc bigint, twin bigint, first int, last int") \

@@ -122,7 +122,8 @@ def document_key(doc_id: Column, twin: Column) -> Column:
     """
     small = doc_id.between(0, (1 << 62 - KEY_BITS) - 1)
     joined = F.shiftleft(doc_id.cast("bigint"), KEY_BITS).bitwiseOR(twin.bitwiseAND(F.lit((1 << KEY_BITS) - 1)))
-    return F.when(small, joined).when(doc_id.isNotNull(), F.xxhash64(doc_id, twin)).otherwise(twin)
+    # Never null, also to the optimiser: a join would else filter one of two equal exchanges, and read both.
+    return F.coalesce(F.when(small, joined).when(doc_id.isNotNull(), F.xxhash64(doc_id, twin)).otherwise(twin), F.lit(0))
 
 
 def runs(*columns: np.ndarray) -> np.ndarray:

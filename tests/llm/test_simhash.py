@@ -49,7 +49,7 @@ TEXTS = [None, "", " \t\n ", "one", "One two", "a b c d e f g", "A B c d e f g",
 
 def test_fingerprints():
     for text in TEXTS:
-        assert simhash.fingerprint_of(text, 3) == plain_fingerprint(text)
+        assert simhash.fingerprint_of((text or "").encode(), 3) == plain_fingerprint(text)
 
 
 def test_spark_hash_is_the_stated_one(spark):
@@ -94,3 +94,55 @@ def test_whole_query_and_odd_rows(spark):
     got = simhash.near_duplicates(odd, written(spark, "test")).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in got) == [(-1, -1), (3, 3), (5, 3), (5, 3), (8, 8), (9, 8)]
     assert simhash.near_duplicates(odd.limit(0), written(spark, "test")).count() == 0
+
+
+def shingles(text, k=5):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + k]) for i in range(len(words) - k + 1)} or ({tuple(words)} if words else set())
+
+
+def test_near_copies_against_shingle_sets(spark):
+    """Links are never false; nine in ten of the documents that exact similarity drops are dropped."""
+    folder = SF.replace("0.001", "0.1")
+    rows = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 6000").select("doc_id", "text")
+    sets = {r.doc_id: frozenset(shingles(r.text)) for r in rows.collect()}
+    where = {}
+    for i, s in sets.items():
+        for x in s:
+            where.setdefault(x, []).append(i)
+    pairs = {(a, b) for ids in where.values() if len(ids) < 60 for a, b in itertools.combinations(ids, 2)}
+    same = {}
+    for i, s in sorted(sets.items()):
+        same.setdefault(s, i)
+    pairs |= {(same[s], i) for i, s in sets.items() if same[s] != i}
+    alike = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * (len(sets[a]) * len(sets[b])) ** .5]
+
+    def grouped(links):
+        parent = {i: i for i in sets}
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in links:
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+        return {i: root(i) for i in sets}
+
+    want = grouped(alike)
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(rows, written(spark, "t")).collect()}
+    assert set(got) == set(want) and all(want[i] == want[c] for i, c in got.items())
+    dropped = [i for i, c in want.items() if i != c]
+    new = [i for i in dropped if sets[i] != sets[want[i]]]
+    assert len(new) > 100 and sum(got[i] != i for i in new) / len(new) > 0.9
+    assert all(got[i] != i for i in dropped if same[sets[i]] != i)
+
+
+def test_near_copies_odd_rows(spark):
+    text = " ".join(f"word{i}" for i in range(200))
+    rows = [(5, text, 1), (3, text.upper(), 2), (9, text.replace("word7 ", "other "), 3), (None, text, 4), (8, "", 5), (7, None, 6), (6, "a b", 7), (4, "b a", 8), (5, text, 9)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, of int")
+    got = simhash.near_copies(frame, written(spark, "t")).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1) for r in got) == [(-1, -1), (3, 3), (4, 4), (5, 3), (5, 3), (6, 6), (7, 7), (8, 7), (9, 3)]
+    assert simhash.near_copies(frame.limit(0), written(spark, "t")).count() == 0
