@@ -29,8 +29,8 @@ from forecourt.contracts import (
     Field,
     foreign_keys,
 )
-from forecourt.functions.numeric import differs
 from forecourt.functions.parsing import canonical, exact_amount, instant, truth
+from forecourt.operators.keysets import Dangling, Link
 from forecourt.operators.profile import foreign_key_report, validation_report
 from forecourt.operators.scoring import CheckFailure, union_all
 from forecourt.sources.store import written_stages
@@ -115,9 +115,28 @@ def _standardize(job: Cleaning, contract: Dataset, raw: DataFrame) -> DataFrame:
     return renamed.select(*[columns[f.name].alias(f.name) for f in known], *order)
 
 
-def _first_rows(contract: Dataset, frame: DataFrame) -> DataFrame:
+def _first_rows(job: Cleaning, contract: Dataset, frame: DataFrame) -> DataFrame:
     """First row of every key, carrying how many rows (_copies) and distinct rows (_rivals) it stands for.
 
+    A scan of the key column alone finds the keys that repeat. Only their rows, and rows without
+    a key, are compared as wholes; the others pass by the list of repeated keys and are never
+    shuffled while that list is small enough for Spark to send it to them.
+    """
+    key, names = contract.key, [c for c in frame.columns if c != ORDER]
+    if key not in names:
+        return _compared(contract, frame)
+    repeated = job.stage(f"{contract.name}_repeated_keys", frame.where(F.col(key).isNotNull()).groupBy(key)
+                         .agg(F.count("*").alias("n")).where("n > 1").select(F.col(key).alias("_key")))
+    one = F.lit(1).cast("bigint")
+    alone = frame.where(F.col(key).isNotNull()).join(repeated, F.col(key) == F.col("_key"), "left_anti") \
+        .select(*names, one.alias("_copies"), one.alias("_rivals"))
+    several = frame.join(repeated, F.col(key) == F.col("_key"), "left_semi").unionByName(frame.where(F.col(key).isNull()))
+    return alone.unionByName(_compared(contract, several))
+
+
+def _compared(contract: Dataset, frame: DataFrame) -> DataFrame:
+    """The first rows by comparing whole rows.
+
     Both steps are aggregates with map-side combine, so a key or a row repeated a billion
     times is reduced before the shuffle.
     """
@@ -126,19 +145,19 @@ def _first_rows(contract: Dataset, frame: DataFrame) -> DataFrame:
     unique = frame.groupBy(*names).agg(order.alias(ORDER), F.count("*").alias("_copies"))
     key = contract.key
     if key not in names:
-        return unique.withColumn("_rivals", F.lit(1).cast("bigint"))
+        return unique.select(*names, "_copies", F.lit(1).cast("bigint").alias("_rivals"))
     others = [c for c in names if c != key]
     keyed = unique.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.min_by(F.struct(*others, ORDER), ORDER).alias("first"),
         F.sum("_copies").alias("_copies"), F.count("*").alias("_rivals"))
-    kept = keyed.select(key, "first.*", "_copies", "_rivals").select(*names, ORDER, "_copies", "_rivals")
-    unkeyed = unique.where(F.col(key).isNull()).withColumn("_rivals", F.lit(1).cast("bigint"))
-    return kept.unionByName(unkeyed)
+    kept = keyed.select(key, "first.*", "_copies", "_rivals").select(*names, "_copies", "_rivals")
+    return kept.unionByName(unique.where(F.col(key).isNull()).select(*names, "_copies", F.lit(1).cast("bigint").alias("_rivals")))
 
 
-def _drop_bad_rows(job: Cleaning, contract: Dataset, frame: DataFrame) -> DataFrame:
+def _without_faults(job: Cleaning, contract: Dataset, frame: DataFrame) -> DataFrame:
     """Duplicates, negative values, missing critical values and missing descriptions."""
-    firsts = job.stage(f"{contract.name}_first_rows", _first_rows(contract, frame))
+    standard = job.stage(f"{contract.name}_standard", frame)
+    firsts = job.stage(f"{contract.name}_first_rows", _first_rows(job, contract, standard))
     names = [c for c in frame.columns if c != ORDER]
     nonnegative = [f.name for f in contract.where(lambda f: f.nonnegative) if f.name in names]
     critical = [c for c in contract.critical if c in names]
@@ -214,26 +233,31 @@ def _first_failure(frame: DataFrame, tests: list[tuple[str, Column]]) -> DataFra
     return frame.withColumn("_fail", failing)
 
 
-def _drop_orphans(job: Cleaning, round_no: int, only_parents: set[str] | None = None) -> None:
+def _keep_related(job: Cleaning, round_no: int, only_parents: set[str] | None = None) -> None:
     """Remove rows without their parents, children after parents, NULL children included."""
     for name in job.contracts:
         links = [r for r in foreign_keys() if r[0] == name and (only_parents is None or r[2] in only_parents)]
         if name not in job.tables or not links:
             continue
-        frame, names = job.tables[name], job.tables[name].columns
-        tests = []
-        for _, column, parent, key in links:
-            if parent not in job.tables or column not in names or key not in job.tables[parent].columns:
-                continue
-            mark = f"_has_{column}"
-            parents = job.tables[parent].select(F.col(key).alias(column), F.lit(True).alias(mark)) \
-                .where(F.col(column).isNotNull()).distinct()
-            frame = frame.join(parents, column, "left")
-            tests.append((f"{column} -> {parent}.{key}", F.col(mark).isNull()))
-        tagged = job.stage(f"{name}_related_{round_no}", _first_failure(frame, tests).select(*names, "_fail"))
-        job.record(name, tagged, [("removed broken foreign-key rows", label, F.count_if(F.col("_fail") == label))
-                                  for label, _ in tests])
-        job.tables[name] = tagged.where(F.col("_fail").isNull()).drop("_fail")
+        names = job.tables[name].columns
+        links = [(column, parent, key) for _, column, parent, key in links
+                 if parent in job.tables and column in names and key in job.tables[parent].columns]
+        _without(job, name, f"related_{round_no}", "removed broken foreign-key rows", {
+            f"{column} -> {parent}.{key}": Link(column, job.tables[parent].select(key), key) for column, parent, key in links})
+
+
+def _without(job: Cleaning, name: str, step: str, action: str, links: dict[str, Link]) -> None:
+    """Remove rows with a key that is NULL or not held; a row counts for the first of its links that fails.
+
+    Distinct keys meet the held ones; rows meet the list of keys that are left over only.
+    """
+    if not links:
+        return
+    frame = job.tables[name]
+    rows, wrong = Dangling(frame, list(links.values()), job.stage, f"{name}_{step}").marked(frame)
+    tagged = job.stage(f"{name}_{step}", _first_failure(rows, list(zip(links, wrong))).select(*frame.columns, "_fail"))
+    job.record(name, tagged, [(action, label, F.count_if(F.col("_fail") == label)) for label in links])
+    job.tables[name] = tagged.where(F.col("_fail").isNull()).drop("_fail")
 
 
 def _enforce_roles(job: Cleaning) -> set[str]:
@@ -245,16 +269,9 @@ def _enforce_roles(job: Cleaning) -> set[str]:
     for name in dict.fromkeys(link[0] for link in ROLE_LINKS):
         if name not in job.tables:
             continue
-        frame, names = job.tables[name], job.tables[name].columns
-        tests = []
-        for _, column, role in [link for link in ROLE_LINKS if link[0] == name and link[1] in names]:
-            roles = staff.select(F.col("employee_id").alias(column), F.col("role").alias(f"_role_{column}"))
-            frame = frame.join(roles, column, "left")
-            tests.append((f"{column} requires {role}", differs(F.col(f"_role_{column}"), F.lit(role))))
-        tagged = job.stage(f"{name}_roles", _first_failure(frame, tests).select(*names, "_fail"))
-        job.record(name, tagged, [("removed rows with invalid employee role", label, F.count_if(F.col("_fail") == label))
-                                  for label, _ in tests])
-        job.tables[name] = tagged.where(F.col("_fail").isNull()).drop("_fail")
+        _without(job, name, "roles", "removed rows with invalid employee role", {
+            f"{column} requires {role}": Link(column, staff.where(F.col("role") == role).select("employee_id"), "employee_id")
+            for of, column, role in ROLE_LINKS if of == name and column in job.tables[name].columns})
         touched.add(name)
     return touched
 
@@ -313,7 +330,7 @@ def clean_datasets(
 
     def first_phase(name: str) -> None:
         contract = job.contracts.get(name) or Dataset(name, "", ())
-        job.tables[name] = _drop_bad_rows(job, contract, _standardize(job, contract, datasets[name]))
+        job.tables[name] = _without_faults(job, contract, _standardize(job, contract, datasets[name]))
 
     # Datasets are independent up to here, so their writes run as concurrent jobs.
     with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
@@ -321,13 +338,13 @@ def clean_datasets(
     for name, repair in REPAIRS.items():
         if name in job.tables:
             job.tables[name] = repair(job, job.tables[name])
-    _drop_orphans(job, 1)
+    _keep_related(job, 1)
     shrunk = _enforce_roles(job)
     _follow_appointments(job)
     _drop_sold_stock(job)
     _drop_impossible_sales(job)
     # Only parents that lost rows since the first round can leave new orphans.
-    _drop_orphans(job, 2, only_parents=shrunk)
+    _keep_related(job, 2, only_parents=shrunk)
     ordered = {name: _in_order(job.contracts.get(name) or Dataset(name, "", ()), frame)
                for name, frame in job.tables.items()}
     return ordered, job.audit()

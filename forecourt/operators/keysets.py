@@ -18,7 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import DateType, StringType
 
 Stage = Callable[[str, DataFrame], DataFrame]
 
@@ -34,23 +34,27 @@ class Link:
     of: str | None = None
 
 
-def _number(frame: DataFrame, name: str | None) -> Column:
-    """A key as a number; days count from 1970."""
+def _value(frame: DataFrame, name: str | None, kind: str) -> Column:
+    """A key as text or as a number; days count from 1970."""
     if name is None:
-        return F.lit(0).cast("bigint")
-    return (F.unix_date(name) if frame.schema[name].dataType == DateType() else F.col(name)).cast("bigint")
+        return F.lit(0).cast(kind)
+    return (F.unix_date(name) if frame.schema[name].dataType == DateType() else F.col(name)).cast(kind)
 
 
-def _one_scan(frame: DataFrame, links: list[Link]) -> DataFrame:
+def _kind(frame: DataFrame, links: list[Link]) -> str:
+    return "string" if any(frame.schema[k.column].dataType == StringType() for k in links) else "bigint"
+
+
+def _one_scan(frame: DataFrame, links: list[Link], kind: str) -> DataFrame:
     """(link, key, within) of every key that is not NULL."""
     return frame.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("link"), _number(frame, k.column).alias("key"), _number(frame, k.within).alias("within"))
+        F.struct(F.lit(i).alias("link"), _value(frame, k.column, kind).alias("key"), _value(frame, k.within, kind).alias("within"))
         for i, k in enumerate(links)]))).where("key is not null")
 
 
-def _held(links: list[Link]) -> DataFrame:
+def _held(links: list[Link], kind: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [
-        k.held.select(F.lit(i).alias("link"), _number(k.held, k.key).alias("key"), _number(k.held, k.of).alias("within"))
+        k.held.select(F.lit(i).alias("link"), _value(k.held, k.key, kind).alias("key"), _value(k.held, k.of, kind).alias("within"))
         for i, k in enumerate(links)]).distinct()
 
 
@@ -60,43 +64,49 @@ def dangling(frame: DataFrame, links: list[Link]) -> DataFrame:
     A key with a ``within`` column dangles unless it is held with the same value there; NULL
     there is no value. NULL keys are left out.
     """
-    used = _one_scan(frame, links).groupBy("link", "key", "within").agg(F.count("*").alias("n"))
-    return used.join(_held(links), ["link", "key", "within"], "left_anti")
+    kind = _kind(frame, links)
+    used = _one_scan(frame, links, kind).groupBy("link", "key", "within").agg(F.count("*").alias("n"))
+    return used.join(_held(links, kind), ["link", "key", "within"], "left_anti")
 
 
 class Dangling:
     """The dangling keys of a frame, written once."""
 
     def __init__(self, frame: DataFrame, links: list[Link], stage: Stage, name: str):
-        self.links = links
+        self.links, self.kind = links, _kind(frame, links)
         self.found = stage(f"{name}_dangling", dangling(frame, links))
         # One row per link at most.
         self.bad = sorted(r.link for r in self.found.select("link").distinct().collect())
 
-    def _of(self, i: int, mark: str) -> tuple[DataFrame, list[str]]:
-        k = self.links[i]
-        names = [k.column, *([k.within] if k.within else [])]
+    def _met(self, rows: DataFrame, i: int, how: str) -> DataFrame:
+        """The rows joined with the dangling keys of a link, as ``_bad<i>_key``."""
+        k, mark = self.links[i], f"_bad{i}_"
         keys = self.found.where(F.col("link") == i).select(F.col("key").alias(f"{mark}key"), F.col("within").alias(f"{mark}within"))
-        return keys, names
-
-    def _same(self, rows: DataFrame, mark: str, names: list[str]) -> Column:
-        same = _number(rows, names[0]) == F.col(f"{mark}key")
-        return same & _number(rows, names[1]).eqNullSafe(F.col(f"{mark}within")) if len(names) > 1 else same
+        same = _value(rows, k.column, self.kind) == F.col(f"{mark}key")
+        if k.within:
+            same = same & _value(rows, k.within, self.kind).eqNullSafe(F.col(f"{mark}within"))
+        return rows.join(keys, same, how)
 
     def resolved(self, rows: DataFrame) -> DataFrame:
         """The rows whose keys are all held; rows with a NULL key are left out."""
         for k in self.links:
             rows = rows.where(F.col(k.column).isNotNull())
         for i in self.bad:
-            keys, names = self._of(i, f"_bad{i}_")
-            rows = rows.join(keys, self._same(rows, f"_bad{i}_", names), "left_anti")
+            rows = self._met(rows, i, "left_anti")
         return rows
 
+    def marked(self, rows: DataFrame) -> tuple[DataFrame, list[Column]]:
+        """The rows with more columns, and for each link the condition that its key is NULL or not held."""
+        wrong = []
+        for i, k in enumerate(self.links):
+            none = F.col(k.column).isNull()
+            if i in self.bad:
+                rows = self._met(rows, i, "left")
+                none = none | F.col(f"_bad{i}_key").isNotNull()
+            wrong.append(none)
+        return rows, wrong
+
     def unresolved(self, rows: DataFrame) -> DataFrame:
         """One row: how many rows have a NULL key or one that is not held, each counted once."""
-        wrong = reduce(Column.__or__, [F.col(k.column).isNull() for k in self.links])
-        for i in self.bad:
-            keys, names = self._of(i, f"_bad{i}_")
-            rows = rows.join(keys, self._same(rows, f"_bad{i}_", names), "left")
-            wrong = wrong | F.col(f"_bad{i}_key").isNotNull()
-        return rows.agg(F.count_if(wrong).alias("failed_count"))
+        rows, wrong = self.marked(rows)
+        return rows.agg(F.count_if(reduce(Column.__or__, wrong)).alias("failed_count"))
