@@ -168,6 +168,7 @@ def near_duplicates(documents: DataFrame, stage: Stage, shingle: int = 3) -> Dat
 # -- similarity of shingle sets ----------------------------------------------------------------------
 
 PRINTS, PRINT_RADIUS = 8, 4
+BROADCAST_BUCKETS = 1_000_000  # 16 bytes each
 
 
 def _marks(shingle: int):
@@ -217,8 +218,12 @@ def _candidates(distinct: DataFrame, stage: Stage) -> DataFrame:
     near = F.exists(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= PRINT_RADIUS), lambda x: x)
     own = distinct.select("id", "prints")
     pairs = pairs.join(own.toDF("a", "pa"), "a").join(own.toDF("b", "pb"), "b").where(near).select("a", "b")
-    members = stage("members", keyed.join(met.where("n > 2").select("h", "n"), "h").select("h", "n", "print", "id", "fp"))
-    groups = members.where(F.col("n") <= BUCKET).groupBy("h").agg(F.sort_array(F.collect_list(F.struct("fp", "id"))).alias("group"))
+    larger = met.where("n > 2").select("h", "n")
+    # A short list of buckets goes to the texts; a longer one meets them in a shuffled join.
+    larger = F.broadcast(larger) if larger.count() <= BROADCAST_BUCKETS else larger
+    members = stage("members", keyed.join(larger, "h").select("h", "n", "print", "id", "fp"))
+    # In order of ids, tables tend to hang texts on the same ones, and fewer different links are left.
+    groups = members.where(F.col("n") <= BUCKET).groupBy("h").agg(F.sort_array(F.collect_list(F.struct("id", "fp"))).alias("group"))
     forest = groups.select(F.explode(_forest(PRINT_RADIUS)("group")).alias("e")).select("e.a", "e.b")
     full = members.where(F.col("n") > BUCKET).groupBy("print", "fp").agg(F.min("id").alias("id"))
     # Equal fingerprints are one in the tables of full buckets; the others hang on the first of them.
