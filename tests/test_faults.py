@@ -265,3 +265,20 @@ def test_returns_are_signed_but_are_no_interaction(spark):
 
 def test_contracts_are_complete():
     assert sum(len(d.columns) for d in DATASETS.values()) == 83
+
+
+def test_the_audit_of_values_parses_nothing_again(spark, capsys):
+    row = {"vehicle_id": " veh000001 ", "vin": "V1", "make": "A", "model": "B", "model_year": "2020", "body_type": "C", "fuel_type": "Hybrid",
+           "color": "Red", "vehicle_condition": "NEW", "mileage_at_acquisition": "0", "manufacturer_msrp": "dear"}
+    names = list(row)
+    raw = spark.createDataFrame([tuple(row.values()), tuple({**row, "vehicle_id": "VEH000002\t", "manufacturer_msrp": "12.5"}.values())],
+                                ", ".join(f"{c} string" for c in names))
+    tables, audit = clean_datasets({"vehicles": raw})
+    found = {(r.action, r.details): r.affected_rows for r in audit.collect()}
+    assert found[("standardized string values", "vehicle_id")] == 2
+    assert found[("invalid number coerced to null", "manufacturer_msrp")] == 1
+    assert found[("standardized category", "vehicle_condition")] == 2
+    assert tables["vehicles"].columns == names
+    capsys.readouterr()
+    audit.explain(True)
+    assert "raise_error" not in capsys.readouterr().out
