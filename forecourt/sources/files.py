@@ -16,6 +16,7 @@ from forecourt.operators.profile import (
     validation_report,
 )
 from forecourt.operators.scoring import union_all
+from forecourt.sources.store import written_stages
 
 
 class SourceError(ValueError):
@@ -225,8 +226,10 @@ def write_audit(audit: DataFrame, folder: str) -> str:
 
 def profile_folder(spark: SparkSession, folder: str, target: str) -> dict[str, object]:
     """Write the four profile reports and a manifest; return the manifest."""
-    datasets = load_datasets(spark, folder)
-    validation, relations = validation_report(datasets), foreign_key_report(datasets)
+    datasets, stage = load_datasets(spark, folder), written_stages(spark)
+    # The reports and the manifest read these; the checks themselves run once.
+    validation = stage("validation", validation_report(datasets))
+    relations = stage("relations", foreign_key_report(datasets))
     reports = {
         "dataset_profile": dataset_profile(datasets),
         "column_profile": column_profile(datasets),

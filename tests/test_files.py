@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from forecourt.contracts import DATASETS
 from forecourt.functions.keys import key_date, date_key, surrogate_key
 from forecourt.functions.parsing import instant
+from forecourt.operators import profile
 from forecourt.operators.scoring import CheckFailure
 from forecourt.plans import pages
 from forecourt.plans.run import clean_folder, load_folder
@@ -90,6 +91,16 @@ def test_profile_reports_are_written(spark, folder, tmp_path):
     assert spark.read.option("header", True).csv(manifest["reports"]["column_profile"]).count() == 83
 
 
+def test_profile_checks_run_once(spark, sample, tmp_path, monkeypatch):
+    one = {"dealerships": sample["dealerships"]}
+    files.write_datasets(one, f"{tmp_path}/plain")
+    read = []
+    monkeypatch.setattr(files, "summary", lambda datasets, *checks: read.extend(checks) or profile.summary(datasets, *checks))
+    files.profile_folder(spark, f"{tmp_path}/plain", f"{tmp_path}/reports")
+    assert len(read) == 2
+    assert not any(f"{tmp_path}/plain" in path for frame in read for path in frame.inputFiles())
+
+
 # -- sample data ----------------------------------------------------------------------------
 @pytest.mark.parametrize("bad", [
     {"customers": 0}, {"vehicles": 10}, {"service_orders": 20_000}, {"employees": 20},
