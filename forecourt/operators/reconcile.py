@@ -7,6 +7,7 @@ map, and derives every check row from it (see ``scoring``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -487,9 +488,12 @@ def _outside_bounds(w) -> DataFrame:
 
 
 def model_check_counts(w) -> dict[str, Callable[[], DataFrame]]:
-    """Check name -> one-row failed_count frame, for the 16 star-model checks."""
+    """Check name -> one-row failed_count frame, for the 16 star-model checks.
+
+    A check builds the views that it reads, no others.
+    """
     c = F.col
-    sold, stock, visits = sales.detail(w), inventory.detail(w), service.detail(w)
+    sold, stock, visits = partial(sales.detail, w), partial(inventory.detail, w), partial(service.detail, w)
 
     def gap(left: DataFrame, right: DataFrame) -> DataFrame:
         signed = union_all([left.agg(F.count(ROWS).alias("n")), right.agg((-F.count(ROWS)).alias("n"))])
@@ -499,12 +503,12 @@ def model_check_counts(w) -> dict[str, Callable[[], DataFrame]]:
         return frame.agg(F.count_if(condition).alias("failed_count"))
 
     def fact_grain() -> DataFrame:
-        return union_all([_repeated(sold, "sales_key"), _repeated(stock, "inventory_key"),
-                          _repeated(visits, "appointment_id")]).agg(F.sum("failed_count").alias("failed_count"))
+        return union_all([_repeated(sold(), "sales_key"), _repeated(stock(), "inventory_key"),
+                          _repeated(visits(), "appointment_id")]).agg(F.sum("failed_count").alias("failed_count"))
 
     def enriched() -> DataFrame:
         orders = w.table("fact_service").select("service_fact_key")
-        return gap(visits.select("service_fact_key").join(orders, "service_fact_key", "left"), visits)
+        return gap(visits().select("service_fact_key").join(orders, "service_fact_key", "left"), visits())
 
     def contiguous() -> DataFrame:
         day = c("full_date")
@@ -522,23 +526,23 @@ def model_check_counts(w) -> dict[str, Callable[[], DataFrame]]:
         "fact_grain_uniqueness": fact_grain,
         "required_foreign_keys_and_role_alignment": lambda: _bad_keys(w),
         "inventory_composite_grain":
-            lambda: duplicates(stock, "vehicle_key", "dealership_key", "snapshot_date_key"),
+            lambda: duplicates(stock(), "vehicle_key", "dealership_key", "snapshot_date_key"),
         "repair_order_unique_within_appointments":
-            lambda: duplicates(visits.where(c("service_order_id").isNotNull()), "service_order_id"),
+            lambda: duplicates(visits().where(c("service_order_id").isNotNull()), "service_order_id"),
         "service_status_enrichment_preserves_grain": enriched,
-        "appointments_not_lost": lambda: gap(w.table("service_appointments"), visits),
-        "sales_eligible_rows_preserved": lambda: gap(_recognised(w), sold),
-        "inventory_rows_preserved": lambda: gap(w.table("fact_inventory"), stock),
+        "appointments_not_lost": lambda: gap(w.table("service_appointments"), visits()),
+        "sales_eligible_rows_preserved": lambda: gap(_recognised(w), sold()),
+        "inventory_rows_preserved": lambda: gap(w.table("fact_inventory"), stock()),
         "calendar_source_unique_contiguous": contiguous,
         "full_year_calendar_bounds_cover_event_dates": lambda: _outside_bounds(w),
         "calendar_bounds_available": lambda: event_bounds(w).select(
             F.when(c("first").isNull() | c("last").isNull(), 1).otherwise(0).alias("failed_count")),
         "date_key_matches_date": lambda: wrong(w.table("dim_date"), c("date_key") != date_key("full_date")),
-        "signed_return_values": lambda: wrong(sold, sign_broken),
+        "signed_return_values": lambda: wrong(sold(), sign_broken),
         "service_costs_not_fabricated": lambda: wrong(
-            visits, ~c("service_cost_available") & (c("service_cost").isNotNull() | c("service_profit").isNotNull())),
+            visits(), ~c("service_cost_available") & (c("service_cost").isNotNull() | c("service_profit").isNotNull())),
         "slow_moving_and_bucket_boundaries": lambda: wrong(
-            stock, (c("is_slow_moving") != (days > SLOW_DAYS)) | (c("aging_bucket_sort") != plain_bucket)),
+            stock(), (c("is_slow_moving") != (days > SLOW_DAYS)) | (c("aging_bucket_sort") != plain_bucket)),
     }
 
 

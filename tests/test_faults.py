@@ -282,3 +282,10 @@ def test_the_audit_of_values_parses_nothing_again(spark, capsys):
     capsys.readouterr()
     audit.explain(True)
     assert "raise_error" not in capsys.readouterr().out
+
+
+def test_a_model_check_builds_only_what_it_reads(spark):
+    days = spark.createDataFrame([(20240105, "2024-01-05"), (20240107, "2024-01-06")], "date_key int, full_date string") \
+        .withColumn("full_date", F.col("full_date").cast("date"))
+    rows = reconcile.model_checks(Warehouse({"dim_date": days}), only="date_key_matches_date").collect()
+    assert [tuple(r) for r in rows] == [("date_key_matches_date", 1, "FAIL")]
