@@ -210,6 +210,17 @@ def test_orders_join_appointments_without_shuffling_them(spark, loaded):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_stock_meets_its_vehicles_without_being_shuffled(spark, loaded):
+    from forecourt.plans import sales
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(loaded.table("fact_inventory").join(sales.vehicle_attributes(loaded), "vehicle_key"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def test_filters_and_columns_reach_the_scan(spark, loaded):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     try:
