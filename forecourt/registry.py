@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import date
 from decimal import Decimal
 from functools import cached_property, partial
@@ -15,14 +15,14 @@ from pyspark.sql import types as T
 
 from forecourt.contracts import DATASETS
 from forecourt.operators import constraints, measures, profile, quality, reconcile, scenarios
-from forecourt.operators.clean import clean_datasets, require_clean
+from forecourt.operators.clean import Once, Stage, cleaning, require_clean, run_all
 from forecourt.operators.scoring import CheckFailure, require_all_pass, union_all
 from forecourt.operators.warehouse import repair_unit_signs
 from forecourt.plans import customer, inventory, model, pages, reporting, sales, service
 from forecourt.plans.model import SemanticModel
 from forecourt.plans.warehouse import DIMENSIONS, FACTS, Warehouse
 from forecourt.sources import files
-from forecourt.sources.faulty import faulty, faulty_star
+from forecourt.sources.faulty import faulty_dataset, faulty_star
 from forecourt.sources.order_tables import read_order_tables
 from forecourt.sources.store import TableStore, shared_folder, written_stages
 
@@ -205,23 +205,48 @@ LOAD: dict[str, Plan] = {
 }
 
 
+class FaultyDatasets(Mapping):
+    """The faulty datasets by name, each written when it is first asked for."""
+
+    def __init__(self, w: Warehouse, stage: Stage):
+        self._made = {name: Once(partial(self._written, w, stage, name)) for name in DATASETS}
+
+    @staticmethod
+    def _written(w: Warehouse, stage: Stage, name: str) -> DataFrame:
+        return stage(f"faulty_{name}", faulty_dataset(name, w.table(name)))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._made[name]()
+
+    def __iter__(self):
+        return iter(self._made)
+
+    def __len__(self) -> int:
+        return len(self._made)
+
+
 class Faulty:
     """The faulty datasets of a folder, written once, and the cleaning run over them."""
 
     def __init__(self, w: Warehouse):
-        spark = w.table("customers").sparkSession
-        self._stage = written_stages(spark)
-        broken = faulty(w.sources())
-        self.datasets = {name: self._stage(f"faulty_{name}", frame) for name, frame in broken.items()}
+        self._stage = written_stages(w.table("customers").sparkSession)
+        self.datasets = FaultyDatasets(w, self._stage)
+        self.cleaning = cleaning(self.datasets, stage=self._stage)
         self._cleaned: tuple[dict[str, DataFrame], DataFrame] | None = None
 
     @property
     def cleaned(self) -> tuple[dict[str, DataFrame], DataFrame]:
         if self._cleaned is None:
-            tables, audit = clean_datasets(self.datasets, stage=self._stage)
+            tables, audit = run_all(self.cleaning)
             self._cleaned = tables, self._stage("audit", audit)
         return self._cleaned
 
+    def audited(self, action: str) -> DataFrame:
+        """The audit of one action."""
+        if self._cleaned is None:
+            return self.cleaning.audit(action)
+        return self._cleaned[1].where(F.col("action") == action)
+
     @property
     def validation(self) -> DataFrame:
         return profile.validation_report(self.datasets)
@@ -274,10 +299,10 @@ SOURCES: dict[str, Plan] = {
     "prf_4_validation": lambda w: _broken(w).validation,
     "prf_5_outcome": lambda w: profile.outcome(_broken(w).validation, _broken(w).relations),
     "prf_6_summary": lambda w: profile.summary(_broken(w).datasets, _broken(w).validation, _broken(w).relations),
-    **{name: (lambda w, action=action: _broken(w).cleaned[1].where(F.col("action") == action))
+    **{name: (lambda w, action=action: _broken(w).audited(action))
        for name, action in CLEANING_STEPS.items()},
     "cln_24_audit": lambda w: _broken(w).cleaned[1],
-    **{f"cln_24_cleaned_{name}": (lambda w, name=name: _whole_as_double(name, _broken(w).cleaned[0][name]))
+    **{f"cln_24_cleaned_{name}": (lambda w, name=name: _whole_as_double(name, _broken(w).cleaning.table(name)))
        for name in DATASETS},
 }
 

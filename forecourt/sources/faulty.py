@@ -78,22 +78,23 @@ SOLD_VEHICLE = "CASE WHEN CAST(substr(vehicle_id, 4) AS BIGINT) % 2 = 1 THEN 'VE
 
 def faulty(datasets: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Text datasets with the faults applied and the copies appended."""
-    result = {}
-    for name, contract in DATASETS.items():
-        text = as_file_text(contract, datasets[name])
-        if name == "sales":
-            text = text.withColumn("vehicle_id", F.expr(SOLD_VEHICLE))
-        numbered = text.withColumn("k", F.substring(contract.key, 4, 20).cast("bigint"))
-        changes = FAULTS[name]
-        broken = numbered.select("k", *[F.expr(changes.get(c, c)).alias(c) for c in contract.columns])
-        frames = [broken]
-        for condition, overrides in COPIES.get(name, []):
-            frames.append(broken.where(condition).withColumns({c: F.expr(e) for c, e in overrides.items()}))
-        whole = frames[0]
-        for frame in frames[1:]:
-            whole = whole.unionByName(frame)
-        result[name] = whole.select(*contract.columns)
-    return result
+    return {name: faulty_dataset(name, datasets[name]) for name in DATASETS}
+
+
+def faulty_dataset(name: str, frame: DataFrame) -> DataFrame:
+    """One of the text datasets."""
+    contract = DATASETS[name]
+    text = as_file_text(contract, frame)
+    if name == "sales":
+        text = text.withColumn("vehicle_id", F.expr(SOLD_VEHICLE))
+    numbered = text.withColumn("k", F.substring(contract.key, 4, 20).cast("bigint"))
+    changes = FAULTS[name]
+    broken = numbered.select("k", *[F.expr(changes.get(c, c)).alias(c) for c in contract.columns])
+    whole = broken
+    for condition, overrides in COPIES.get(name, []):
+        whole = whole.unionByName(broken.where(condition).withColumns({c: F.expr(e) for c, e in overrides.items()}))
+    return whole.select(*contract.columns)
+
 
 # Faults of the loaded star schema: table -> column -> expression over its unchanged columns.
 STAR_FAULTS: dict[str, dict[str, str]] = {

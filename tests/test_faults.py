@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from forecourt.contracts import DATASETS
 from forecourt.operators import profile, quality, reconcile
-from forecourt.operators.clean import clean_datasets, require_clean
+from forecourt.operators.clean import clean_datasets, cleaning, require_clean
 from forecourt.operators.constraints import require_constraints, violations
 from forecourt.operators.scoring import CheckFailure, require_all_pass
 from forecourt.plans import customer
@@ -284,6 +284,28 @@ def test_the_audit_of_values_parses_nothing_again(spark, capsys):
     assert "raise_error" not in capsys.readouterr().out
 
 
+def test_cleaning_runs_the_steps_asked_for(spark, sample):
+    def recorded():
+        written = []
+
+        def stage(name, frame):
+            written.append(name)
+            return frame.localCheckpoint()
+
+        return written, cleaning(with_fault(sample, "inventory", "slow_moving_flag", "maybe", "inventory_id = 'INV000001'"), stage=stage)
+
+    whole = {tuple(r) for r in recorded()[1].audit().collect()}
+    for action, needed in (("invalid boolean coerced to null", set()), ("removed duplicate primary keys", {"_repeated_keys"}),
+                           ("recalculated slow_moving_flag", {"inventory_repeated_keys"})):
+        written, job = recorded()
+        assert {tuple(r) for r in job.audit(action).collect()} == {r for r in whole if r[1] == action}
+        assert all(any(name.endswith(n) for n in needed) for name in written), (action, written)
+    written, job = recorded()
+    assert job.table("customers").count() == 40
+    assert set(written) == {"customers_standard", "customers_repeated_keys", "customers_first_rows"}
+    assert job.audit("no such action").count() == 0 and job.audit("no such action").columns == list(job.audit().columns)
+
+
 def test_a_model_check_builds_only_what_it_reads(spark):
     days = spark.createDataFrame([(20240105, "2024-01-05"), (20240107, "2024-01-06")], "date_key int, full_date string") \
         .withColumn("full_date", F.col("full_date").cast("date"))
