@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from forecourt.functions.numeric import percent, ratio, total_or_zero, whole_or_zero
 from forecourt.plans import reporting
+from forecourt.plans.warehouse import Planned
 from forecourt.sources.store import written_stages
 
 # Page limits, accepted filter values, output columns.
@@ -61,6 +62,9 @@ DEALERSHIP_FIELDS = (
 )
 
 
+ONE_DETAIL = (reporting.sales_performance, reporting.inventory_aging, reporting.service_performance)
+
+
 class QueryError(ValueError):
     """A parameter is outside its accepted range."""
 
@@ -125,7 +129,8 @@ def _filtered(w, resource: Resource, filters: dict[str, Any]) -> DataFrame:
     start, end = given.get("date_from"), given.get("date_to")
     if start and end and start > end:
         raise QueryError("date_from must be on or before date_to")
-    frame = resource.view(w)
+    # A page reads a detail once: no detail is built for it that isn't there yet.
+    frame = resource.view(Planned(w) if resource.view in ONE_DETAIL else w)
     for name, value in {**resource.always, **{n: given[n] for n in resource.equal if n in given}}.items():
         if name in CHOICES and value not in CHOICES[name]:
             raise QueryError(f"{name} must be one of {', '.join(CHOICES[name])}")
