@@ -27,6 +27,8 @@ from forecourt.functions.numeric import differs
 from forecourt.operators.quality import checks as quality_checks
 from forecourt.operators.scoring import duplicates, pass_fail, reconciled, require_all_pass, scalars, union_all
 from forecourt.plans import customer, inventory, reporting, sales, service
+from forecourt.plans.warehouse import Planned
+from forecourt.sources.store import written_stages
 
 Rule = tuple[str, str, "str | None", str]
 ROWS = "*"
@@ -437,9 +439,8 @@ def _model_dimension_keys(w) -> DataFrame:
     return union_all(frames)
 
 
-def _key_uses(w) -> DataFrame:
+def _key_uses(details: dict[str, DataFrame]) -> DataFrame:
     """(dimension, key, rows) over all facts: unpivoted, then counted, so hot keys collapse map-side."""
-    details = {"sales": sales.detail(w), "inventory": inventory.detail(w), "service": service.detail(w)}
     frames = []
     for fact, columns in MODEL_KEYS.items():
         pairs = F.array(*[
@@ -450,9 +451,9 @@ def _key_uses(w) -> DataFrame:
     return union_all(frames)
 
 
-def _bad_keys(w) -> DataFrame:
+def _bad_keys(w, details: dict[str, DataFrame]) -> DataFrame:
     known = _model_dimension_keys(w).select("dimension", "key", F.lit(True).alias("known"))
-    uses = _key_uses(w).join(known, ["dimension", "key"], "left")
+    uses = _key_uses(details).join(known, ["dimension", "key"], "left")
     bad = (F.col("key").isNull() & ~F.col("dimension").isin(*OPTIONAL_DIMENSIONS)) | (
         F.col("key").isNotNull() & F.col("known").isNull())
     return uses.where(bad).agg(_zero(F.sum("uses")).alias("failed_count"))
@@ -487,13 +488,38 @@ def _outside_bounds(w) -> DataFrame:
     return _event_days(w).agg(F.count_if(outside).alias("failed_count"))
 
 
-def model_check_counts(w) -> dict[str, Callable[[], DataFrame]]:
+# The columns of the details that the star-model checks read.
+MODEL_READS = {
+    "sales_detail": ("sales_key", *MODEL_KEYS["sales"].values(), "sale_status", "units_sold", "revenue", "vehicle_cost"),
+    "inventory_detail": ("inventory_key", *MODEL_KEYS["inventory"].values(), "days_in_inventory", "is_slow_moving", "aging_bucket_sort"),
+    "service_detail": ("appointment_id", *MODEL_KEYS["service"].values(), "service_order_id", "service_fact_key",
+                       "service_cost_available", "service_cost", "service_profit"),
+}
+
+
+def _read_once(w) -> Callable[[str], DataFrame]:
+    """The details by name; of one that isn't built yet, the columns that the checks read are joined and written once."""
+    if w.store is None:
+        return w.table
+    stage, kept = written_stages(w.store.spark), {}
+
+    def read(name: str) -> DataFrame:
+        if w.has(name):
+            return w.table(name)
+        if name not in kept:
+            kept[name] = stage(name, w.plan(name).select(*MODEL_READS[name]))
+        return kept[name]
+
+    return read
+
+
+def model_check_counts(w, detail: Callable[[str], DataFrame] | None = None) -> dict[str, Callable[[], DataFrame]]:
     """Check name -> one-row failed_count frame, for the 16 star-model checks.
 
     A check builds the views that it reads, no others.
     """
-    c = F.col
-    sold, stock, visits = partial(sales.detail, w), partial(inventory.detail, w), partial(service.detail, w)
+    c, few, detail = F.col, Planned(w) if detail else w, detail or w.table
+    sold, stock, visits = partial(detail, "sales_detail"), partial(detail, "inventory_detail"), partial(detail, "service_detail")
 
     def gap(left: DataFrame, right: DataFrame) -> DataFrame:
         signed = union_all([left.agg(F.count(ROWS).alias("n")), right.agg((-F.count(ROWS)).alias("n"))])
@@ -524,15 +550,15 @@ def model_check_counts(w) -> dict[str, Callable[[], DataFrame]]:
     return {
         "dimension_key_uniqueness": lambda: _repeated(_model_dimension_keys(w), "dimension", "key"),
         "fact_grain_uniqueness": fact_grain,
-        "required_foreign_keys_and_role_alignment": lambda: _bad_keys(w),
+        "required_foreign_keys_and_role_alignment": lambda: _bad_keys(w, {"sales": sold(), "inventory": stock(), "service": visits()}),
         "inventory_composite_grain":
             lambda: duplicates(stock(), "vehicle_key", "dealership_key", "snapshot_date_key"),
         "repair_order_unique_within_appointments":
             lambda: duplicates(visits().where(c("service_order_id").isNotNull()), "service_order_id"),
         "service_status_enrichment_preserves_grain": enriched,
         "appointments_not_lost": lambda: gap(w.table("service_appointments"), visits()),
-        "sales_eligible_rows_preserved": lambda: gap(_recognised(w), sold()),
-        "inventory_rows_preserved": lambda: gap(w.table("fact_inventory"), stock()),
+        "sales_eligible_rows_preserved": lambda: gap(_recognised(few), sold()),
+        "inventory_rows_preserved": lambda: gap(few.table("fact_inventory"), stock()),
         "calendar_source_unique_contiguous": contiguous,
         "full_year_calendar_bounds_cover_event_dates": lambda: _outside_bounds(w),
         "calendar_bounds_available": lambda: event_bounds(w).select(
@@ -548,7 +574,7 @@ def model_check_counts(w) -> dict[str, Callable[[], DataFrame]]:
 
 def model_checks(w, only: str | None = None) -> DataFrame:
     """The star-model checks as rows (check_name, failed_count, status)."""
-    counts = model_check_counts(w)
+    counts = model_check_counts(w, None if only else _read_once(w))
     names = [only] if only else list(counts)
     rows = union_all([
         counts[name]().select(F.lit(name).alias("check_name"), F.col("failed_count").cast("bigint")) for name in names
