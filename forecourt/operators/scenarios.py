@@ -126,7 +126,7 @@ def _month(key: str) -> Column:
     return F.floor(F.col(key) / 100).cast("int")
 
 
-def scenarios(model: SemanticModel) -> DataFrame:
+def scenarios(model: SemanticModel, served: DataFrame | None = None) -> DataFrame:
     """All scenario names with their kind and, for months, the month number (YYYYMM)."""
     no_month = F.lit(None).cast("int").alias("month")
 
@@ -135,7 +135,8 @@ def scenarios(model: SemanticModel) -> DataFrame:
             F.concat(F.lit(prefix), F.col(column).cast("string")).alias("scenario"), F.lit(prefix).alias("kind"),
             no_month)
 
-    orders = model.table("fact_service").where(F.col("completed_date_key").isNotNull())
+    served = model.table("fact_service") if served is None else served
+    orders = served.where(F.col("completed_date_key").isNotNull())
     months = orders.select(_month("completed_date_key").alias("month")).distinct().select(
         F.concat(F.lit("month_"), F.col("month").cast("string")).alias("scenario"), F.lit("month_").alias("kind"),
         "month")
@@ -167,9 +168,12 @@ def _tagged(frame: DataFrame, date_key: str | None) -> DataFrame:
 def scenario_kpis(model: SemanticModel) -> DataFrame:
     """The KPI vector of every scenario."""
     c = F.col
-    sold, served = model.table("fact_sales"), model.table("fact_service")
+    labels = ("dealership_key", "brand", "vehicle_type")
+    sold = model.read_once("fact_sales", "sale_id", "sale_date_key", "customer_key", *labels, "sale_status", "units_sold", "revenue", "gross_profit")
+    served = model.read_once("fact_service", "service_order_id", "appointment_date_key", "completed_date_key", "customer_key", *labels,
+                             "order_status", "completed_appointment_count", "completion_eligible_count", "service_revenue")
+    stock = model.read_once("fact_inventory", "vehicle_key", *labels, "snapshot_date_key", "days_in_inventory", "inventory_units", "inventory_value")
     done = served.where(c("order_status") == "Completed")
-    stock = model.table("fact_inventory")
 
     by_sales = _tagged(sold, "sale_date_key").groupBy("scenario").agg(
         F.sum("revenue").alias("r"), F.sum("units_sold").alias("u"), F.sum("gross_profit").alias("p"))
@@ -202,7 +206,7 @@ def scenario_kpis(model: SemanticModel) -> DataFrame:
         by_sales.where(~past).select("scenario", c("r").alias("hr")),
         by_orders.where(~past).select("scenario", c("sr").alias("hs")),
     ]
-    names = scenarios(model)
+    names = scenarios(model, served)
     month_rows = names.where(c("kind") == "month_").select("scenario", "month", F.lit(1).alias("wanted"))
     monthly = union_all([
         f.select("month", "hr", "hs") for f in (

@@ -33,9 +33,14 @@ def aging(days: Column, labels: bool = True) -> Column:
     return result
 
 
+def derived() -> dict[str, Column]:
+    """What the age of a stock row says."""
+    days = F.col("days_in_inventory")
+    return {"aging_bucket": aging(days), "aging_bucket_sort": aging(days, labels=False), "is_slow_moving": days > SLOW_DAYS}
+
+
 def build_detail(w) -> DataFrame:
     """One row per vehicle, dealership and snapshot."""
-    days = F.col("days_in_inventory")
     calendar = w.table("dim_date").select(
         F.col("date_key").alias("snapshot_date_key"), F.col("full_date").alias("snapshot_date")
     )
@@ -52,10 +57,8 @@ def build_detail(w) -> DataFrame:
             "acquired_date", "inventory_status",
             F.col("on_hand_quantity").alias("inventory_units"),
             F.col("carrying_cost").alias("inventory_value"),
-            days,
-            aging(days).alias("aging_bucket"),
-            aging(days, labels=False).alias("aging_bucket_sort"),
-            (days > SLOW_DAYS).alias("is_slow_moving"),
+            "days_in_inventory",
+            *[column.alias(name) for name, column in derived().items()],
         )
     )
 

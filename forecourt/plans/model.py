@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.contracts import ADVISOR_ROLE, SALES_ROLE, TECHNICIAN_ROLE
 from forecourt.functions.calendar import days_between, describe_report_days
 from forecourt.functions.keys import date_key
-from forecourt.operators.keysets import Link, dangling
+from forecourt.operators.keysets import Link, Stage, dangling
 from forecourt.operators.reconcile import event_bounds
-from forecourt.plans import inventory, sales, service
+from forecourt.plans import inventory, narrow, sales, service
 from forecourt.plans.sales import full_name
+from forecourt.sources.store import written_stages
 
 VEHICLE_LABELS = ("brand", "model", "model_year", "vehicle_type")
 
@@ -104,11 +106,13 @@ def _inventory(w) -> DataFrame:
         .select(*INVENTORY_COLUMNS, *VEHICLE_LABELS)
 
 
+def _event_keys() -> dict[str, Column]:
+    return {f"{name}_date_key": date_key(F.col(f"{name}_at").cast("date")) for name in ("opened", "promised", "completed")}
+
+
 def _service(w) -> DataFrame:
-    keys = {f"{name}_date_key": date_key(F.col(f"{name}_at").cast("date"))
-            for name in ("opened", "promised", "completed")}
     labels = {"vehicle_brand": "brand", "vehicle_model": "model", "vehicle_model_year": "model_year"}
-    return service.wide_detail(w).withColumns(keys).withColumnsRenamed(labels) \
+    return service.wide_detail(w).withColumns(_event_keys()).withColumnsRenamed(labels) \
         .select(*SERVICE_COLUMNS, *VEHICLE_LABELS)
 
 
@@ -129,6 +133,14 @@ TABLES = {
 FACT_COLUMNS = {"fact_sales": SALES_COLUMNS, "fact_inventory": INVENTORY_COLUMNS, "fact_service": SERVICE_COLUMNS}
 
 
+def _narrow(w, name: str) -> DataFrame:
+    """A model fact without vehicle labels and without its detail view."""
+    rows = narrow.FACTS_OF[name](w)
+    if name == "fact_inventory":
+        rows = rows.withColumn("acquired_date_key", date_key("acquired_date"))
+    return (rows.withColumns(_event_keys()) if name == "fact_service" else rows).select(*FACT_COLUMNS[name])
+
+
 def model_table(w, name: str) -> DataFrame:
     """One exported model table (facts without the vehicle labels used for filtering)."""
     frame = TABLES[name](w)
@@ -141,14 +153,31 @@ class SemanticModel:
     Facts always carry the vehicle labels, so brand and type filters need no join.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]], stage: Stage | None = None, bare: tuple[str, ...] = ()):
         self._sources = dict(tables)
         self._ready: dict[str, DataFrame] = {}
+        self._bare, self._stage = bare, stage
 
     @classmethod
     def of(cls, w) -> SemanticModel:
         return cls({name: partial(build, w) for name, build in TABLES.items()})
 
+    @classmethod
+    def narrow(cls, w) -> SemanticModel:
+        """The model without its detail views, as far as they are not there yet and would add nothing but attributes."""
+        bare = {name: partial(_narrow, w, name) for name in FACT_COLUMNS if narrow.suffices(w, name)}
+        tables = {name: partial(build, w) for name, build in TABLES.items()}
+        return cls({**tables, **bare}, written_stages(w.store.spark) if bare else None, tuple(bare))
+
+    def rows(self, name: str) -> DataFrame:
+        """A fact, possibly without labels; their join with unique, resolved keys changes no rows."""
+        return self._sources[name]() if name in self._bare else self.table(name)
+
+    def read_once(self, name: str, *columns: str) -> DataFrame:
+        """Columns of a fact for many aggregates: a plan that isn't written yet is run and written once."""
+        frame = self.table(name).select(*columns)
+        return self._stage(f"{name}-{uuid.uuid4().hex[:8]}", frame) if name in self._bare else frame
+
     def table(self, name: str) -> DataFrame:
         if name not in self._ready:
             source = self._sources[name]
@@ -161,7 +190,7 @@ class SemanticModel:
             return fact
         vehicles = self.table("dim_vehicle")
         missing = [c for c in VEHICLE_LABELS if c not in fact.columns and c in vehicles.columns]
-        return fact.join(vehicles.select("vehicle_key", *missing), "vehicle_key") if missing else fact
+        return fact.join(vehicles.select("vehicle_key", *missing), "vehicle_key").select(*fact.columns, *missing) if missing else fact
 
 
 def relationship_errors(model: SemanticModel) -> DataFrame:
@@ -206,8 +235,8 @@ def grain_errors(model: SemanticModel) -> DataFrame:
             F.count_if(F.col("n") > 1).alias("repeated_keys"),
             F.coalesce(F.sum(F.when(has_null, F.col("n"))), F.lit(0)).alias("null_rows"))
 
-    rows = [counted(f"{fact}({', '.join(keys)})", model.table(fact), keys) for fact, keys in GRAINS.items()]
-    orders = model.table("fact_service").where(F.col("service_order_id").isNotNull())
+    rows = [counted(f"{fact}({', '.join(keys)})", model.rows(fact), keys) for fact, keys in GRAINS.items()]
+    orders = model.rows("fact_service").where(F.col("service_order_id").isNotNull())
     rows.append(counted("fact_service(service_order_id)", orders, ("service_order_id",)))
     result = rows[0]
     for row in rows[1:]:

@@ -48,6 +48,12 @@ def full_name() -> Column:
     return F.concat("first_name", F.lit(" "), "last_name")
 
 
+def signed_amounts() -> dict[str, Column]:
+    """Amounts of a fact row that count against a return."""
+    return {name: (F.col(of) * F.col("unit_quantity")).cast(CENTS)
+            for name, of in (("revenue", "sale_price"), ("vehicle_cost", "vehicle_cost"), ("gross_profit", "gross_profit"))}
+
+
 def build_detail(w) -> DataFrame:
     """One row per completed or returned sale."""
     sellers = w.table("dim_employee").select(
@@ -56,9 +62,6 @@ def build_detail(w) -> DataFrame:
         full_name().alias("salesperson_name"),
     )
 
-    def signed(name: str, alias: str) -> Column:
-        return (F.col(name) * F.col("unit_quantity")).cast(CENTS).alias(alias)
-
     return (
         w.table("fact_sales").where(F.col("sale_status").isin(*RECOGNISED_SALES))
         .join(calendar_attributes(w, "sale_date_key", "sale_date"), "sale_date_key")
@@ -75,9 +78,7 @@ def build_detail(w) -> DataFrame:
             "sales_channel", "payment_type", "sale_status",
             F.col("unit_quantity").alias("units_sold"),
             "list_price", "discount_amount",
-            signed("sale_price", "revenue"),
-            signed("vehicle_cost", "vehicle_cost"),
-            signed("gross_profit", "gross_profit"),
+            *[amount.alias(name) for name, amount in signed_amounts().items()],
         )
     )
 

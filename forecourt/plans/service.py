@@ -23,6 +23,24 @@ MONEY_COLUMNS = ("labor_revenue", "parts_revenue", "discount_amount", "service_r
 MODEL_ONLY = ("order_status", "vehicle_type", "vehicle_model_year")
 
 
+def visit_counts(status: Column) -> list[Column]:
+    return [
+        F.lit(1).cast("smallint").alias("appointment_count"),
+        one_if(status == "Completed").alias("completed_appointment_count"),
+        one_if(status == "Cancelled").alias("cancellation_count"),
+        one_if(status == "No Show").alias("no_show_count"),
+        one_if(status.isin(*TERMINAL)).alias("completion_eligible_count"),
+    ]
+
+
+def amounts() -> dict[str, Column]:
+    """Amounts of a repair order, 0 without one; costs are not known."""
+    return {
+        **{c: F.coalesce(F.col(c), F.lit(0)).cast(CENTS) for c in MONEY_COLUMNS},
+        "service_cost": F.lit(None).cast(CENTS), "service_profit": F.lit(None).cast(CENTS), "service_cost_available": F.lit(False),
+    }
+
+
 def build_detail(w) -> DataFrame:
     """One row per staged appointment that resolves its customer, vehicle, dealership, advisor and service."""
     visits = w.table("service_appointments").select(
@@ -70,18 +88,11 @@ def build_detail(w) -> DataFrame:
             "dealership_key", "dealership_id", "dealership_name", "region", "state",
             "service_advisor_key", "service_advisor_id", "service_advisor_name",
             "service_key", "service_type", "service_category", "appointment_status",
-            F.lit(1).cast("smallint").alias("appointment_count"),
-            one_if(status == "Completed").alias("completed_appointment_count"),
-            one_if(status == "Cancelled").alias("cancellation_count"),
-            one_if(status == "No Show").alias("no_show_count"),
-            one_if(status.isin(*TERMINAL)).alias("completion_eligible_count"),
+            *visit_counts(status),
             "service_fact_key", "service_order_id", "repair_order_quantity",
             "technician_key", "technician_id", "technician_name", "payer_type",
             "opened_at", "promised_at", "completed_at", "completed_on_time", "turnaround_hours",
-            *[F.coalesce(F.col(c), F.lit(0)).cast(CENTS).alias(c) for c in MONEY_COLUMNS],
-            F.lit(None).cast(CENTS).alias("service_cost"),
-            F.lit(None).cast(CENTS).alias("service_profit"),
-            F.lit(False).alias("service_cost_available"),
+            *[column.alias(name) for name, column in amounts().items()],
             *MODEL_ONLY,
         )
     )

@@ -136,7 +136,7 @@ def _rounded(frame: DataFrame) -> DataFrame:
 
 
 def _over_model(build: Callable[[SemanticModel], DataFrame]) -> Plan:
-    return lambda w: _rounded(build(SemanticModel.of(w)))
+    return lambda w: _rounded(build(SemanticModel.narrow(w)))
 
 
 MODEL: dict[str, Plan] = {
@@ -420,7 +420,7 @@ GATES: dict[str, Plan] = {
 
 RECONCILED: dict[str, Plan] = {
     "rc_rel_relationships": lambda w: model.relationship_errors(SemanticModel.of(w)),
-    "rc_grn_grains": lambda w: model.grain_errors(SemanticModel.of(w)),
+    "rc_grn_grains": lambda w: model.grain_errors(SemanticModel.narrow(w)),
     "rc_cmp_scenarios": lambda w: _rounded(scenarios.scenario_comparison(w)),
     "rc_all_suites": reconcile.suite_summary,
 }
