@@ -8,12 +8,51 @@ path. Each round is written to the shared folder, so a lost executor never costs
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.stages import Stage
 
 
+THINNED = 1 << 20
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) -> for THINNED edges at a time, (node, smallest node that they connect it to)."""
+    kin: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := kin.setdefault(x, x)) != x:
+            kin[x] = x = kin[up]
+        return x
+
+    def met() -> pa.RecordBatch:
+        found = [(x, y) for x in kin if (y := root(x)) != x]
+        return pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+    seen = 0
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            x, y = sorted((root(a), root(b)))
+            kin[y] = x
+        if (seen := seen + batch.num_rows) >= THINNED:
+            yield met()
+            kin.clear()
+            seen = 0
+    yield met()
+
+
+def thinned(edges: DataFrame) -> DataFrame:
+    """Fewer edges (a, b) that connect the same nodes: each task ties what its own edges connect to the smallest node of it.
+
+    For tables with far more edges than nodes; their ends are bigint and not null.
+    """
+    return edges.select("a", "b").mapInArrow(_stars, "a bigint, b bigint")
+
+
 def _star(arcs: DataFrame) -> DataFrame:
     """Arcs (u, v) -> (u, v, m) with m the smallest of u and all its v."""
     least = arcs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -21,11 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forecourt.llm.components import connected_components
+from forecourt.llm.components import connected_components, thinned
 from forecourt.llm.stages import Stage, raw_bytes, released
 
 BITS, RADIUS, BUCKET, SEED = 64, 3, 2048, 42
@@ -119,26 +119,23 @@ def _forest(radius: int):
 
 
 def links(marks: DataFrame, stage: Stage, radius: int = RADIUS) -> DataFrame:
-    """Edges (a, b) that connect the distinct fingerprints (id, fp) exactly as all links within the radius do.
-
-    With a column ``print``, fingerprints of different prints never meet, and each print is connected on its own.
-    """
+    """Edges (a, b) that connect the distinct fingerprints (id, fp) exactly as all links within the radius do."""
     spark = marks.sparkSession
-    whole, masks, found, of = marks, [0], [], [c for c in marks.columns if c == "print"]
+    whole, masks, found = marks, [0], []
     while masks:
         if masks == [0]:
             first = F.array(*[F.lit(_signed(m)) for m in covering_masks(list(range(BITS)), radius)])
-            keyed = whole.select(*of, "id", "fp", F.explode(first).alias("mask"))
+            keyed = whole.select("id", "fp", F.explode(first).alias("mask"))
         else:
-            keyed = whole.join(F.broadcast(_finer(spark, masks, radius)), "mask").select(*of, "id", "fp", F.col("finer").alias("mask"))
+            keyed = whole.join(F.broadcast(_finer(spark, masks, radius)), "mask").select("id", "fp", F.col("finer").alias("mask"))
         keyed = keyed.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
-        bucket = [*of, "mask", "key"]
+        bucket = ["mask", "key"]
         sizes = keyed.groupBy(bucket).agg(F.count("*").alias("n")).where("n > 1")
         members = stage("buckets", keyed.join(sizes, bucket))
         found.append(stage("links", members.where(F.col("n") <= BUCKET).groupBy(bucket)
                            .agg(F.sort_array(F.collect_list(F.struct("fp", "id"))).alias("group"))
                            .select(F.explode(_forest(radius)("group")).alias("e")).select("e.a", "e.b").distinct()))
-        whole = members.where(F.col("n") > BUCKET).select(*of, "id", "fp", "mask").distinct()
+        whole = members.where(F.col("n") > BUCKET).select("id", "fp", "mask").distinct()
         masks = [r.mask & ((1 << BITS) - 1) for r in whole.select("mask").distinct().collect()]
     out = found[0]
     for more in found[1:]:
@@ -167,93 +164,191 @@ def near_duplicates(documents: DataFrame, stage: Stage, shingle: int = 3) -> Dat
 
 # -- similarity of shingle sets ----------------------------------------------------------------------
 
-PRINTS, PRINT_RADIUS = 8, 4
-BROADCAST_BUCKETS = 1_000_000  # 16 bytes each
+PRINTS, TABLES, SAMPLED = 8, 192, 32
+#: Of the bits of a text's shingles. At a cosine of 0.8 about 105 of 512 differ, with a deviation of 9.
+APART = 154
+BROADCAST_IDS = 1_000_000  # 8 bytes each
+
+
+def _spread(hashes: np.ndarray) -> np.ndarray:
+    """``PRINTS`` independent 64-bit words for each hash, one hash after another."""
+    x = hashes[:, None] + np.arange(1, PRINTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return (x ^ x >> np.uint64(31)).ravel()
+
+
+def _wide(hashes: np.ndarray) -> np.ndarray:
+    """The fingerprint of ``PRINTS`` times 64 bits of a set of hashes; of none, zero."""
+    if not len(hashes):
+        return np.zeros(PRINTS, np.int64)
+    return _majority((_spread(hashes[at:at + 4096]) for at in range(0, len(hashes), 4096)), PRINTS).view(np.int64)
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]).astype(np.int32)), pa.array(flat))
 
 
 def _marks(shingle: int):
-    """The digest of a text's set of shingles, and fingerprints of its set of words by different hashes."""
+    """The digest of a text's set of shingles, and the wide fingerprints of its set of words and of its set of shingles."""
 
     def marked(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in released(texts):
-            of, prints = [], []
+            of, prints, order = [], [], []
             for text in batch:
                 words = _words(raw_bytes(text))
-                shingles = [np.unique(h) for h in shingle_hashes(words, shingle)]
-                of.append(xxhash.xxh3_128_digest(np.unique(np.concatenate(shingles)).tobytes() if shingles else b""))
-                once = sorted(set(words))
-                hashes = (np.frombuffer(b"".join(xxhash.xxh3_128_digest(w, seed) for w in once[at:at + 4096] for seed in range(PRINTS // 2)), "<u8")
-                          for at in range(0, len(once), 4096))
-                prints.append(_majority(hashes, PRINTS).view(np.int64) if once else np.zeros(PRINTS, np.int64))
-            flat = np.concatenate(prints) if prints else np.empty(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(of) + 1, dtype=np.int32) * PRINTS), pa.array(flat))
-            yield pa.StructArray.from_arrays([pa.array(of, pa.binary()), lists], ["of", "prints"])
+                shingles = np.unique(np.concatenate([np.empty(0, "<u8"), *map(np.unique, shingle_hashes(words, shingle))]))
+                of.append(xxhash.xxh3_128_digest(shingles.tobytes()))
+                once = set(words)
+                prints.append(_wide(np.fromiter((xxhash.xxh3_64_intdigest(w, SEED) for w in once), np.uint64, len(once))))
+                order.append(_wide(shingles))
+            yield pa.StructArray.from_arrays([pa.array(of, pa.binary()), _lists(prints), _lists(order)], ["of", "prints", "order"])
 
-    return F.arrow_udf(marked, "struct<of:binary,prints:array<bigint>>")
+    return F.arrow_udf(marked, "struct<of:binary,prints:array<bigint>,order:array<bigint>>")
 
 
 def _shingle_set(shingle: int):
     def sets(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in released(texts):
-            found = [np.unique(np.concatenate([np.empty(0, "<u8"), *shingle_hashes(_words(raw_bytes(t)), shingle)])).view(np.int64) for t in batch]
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *found])))
+            yield _lists([np.unique(np.concatenate([np.empty(0, "<u8"), *shingle_hashes(_words(raw_bytes(t)), shingle)])).view(np.int64) for t in batch])
 
     return F.arrow_udf(sets, "array<bigint>")
 
 
+def _places(each: int, seed: int) -> np.ndarray:
+    """The bits that each table reads, drawn once for all: (TABLES, each) places in a wide fingerprint."""
+    rng = np.random.default_rng(seed)
+    return np.array([rng.choice(BITS * PRINTS, each, replace=False) for _ in range(TABLES)])
+
+
+def _bits(marks: np.ndarray) -> np.ndarray:
+    return np.unpackbits(marks.view(np.uint8).reshape(-1, 8 * PRINTS), axis=1, bitorder="little")
+
+
+def _keys():
+    """Of a wide fingerprint, its bucket in each table: the number of the table and the bits themselves."""
+    places, table = _places(SAMPLED, SEED).ravel(), np.arange(TABLES, dtype=np.int64) << SAMPLED
+
+    def keyed(prints: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in released(prints):
+            marks, out = batch.flatten().to_numpy().reshape(-1, PRINTS), [np.empty(0, np.int64)]
+            for at in range(0, len(marks), 1024):
+                read = np.packbits(_bits(marks[at:at + 1024])[:, places].reshape(-1, SAMPLED), axis=1).view("<u4")
+                out.append((table + read.reshape(-1, TABLES)).ravel())
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * TABLES), pa.array(np.concatenate(out)))
+
+    return F.arrow_udf(keyed, "array<bigint>")
+
+
+def _rank():
+    """Of a bucket and a wide fingerprint in it, 64 more of its bits in the order of the table: near ones are often neighbours."""
+    places = _places(BITS, SEED + 1)
+
+    def ranked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for key, prints in batches:
+            marks, table, out = prints.flatten().to_numpy().reshape(-1, PRINTS), key.to_numpy() >> SAMPLED, [np.empty(0, np.int64)]
+            for at in range(0, len(marks), 1024):
+                bits = np.take_along_axis(_bits(marks[at:at + 1024]), places[table[at:at + 1024]], axis=1)
+                out.append(np.packbits(bits, axis=1).view(">i8")[:, 0].astype(np.int64))
+            yield pa.array(np.concatenate(out))
+
+    return F.arrow_udf(ranked, T.LongType())
+
+
+def nearest_forest(marks: np.ndarray, apart: int) -> list[tuple[int, int]]:
+    """A minimum spanning forest of fingerprints (rows) at most ``apart`` bits apart, as pairs of places.
+
+    For every smaller limit, too, it connects what all pairs within that limit connect.
+    """
+    left, near = np.arange(1, len(marks)), np.zeros(len(marks), np.int64)
+    far, found, now = np.full(len(marks), marks.shape[1] * BITS + 1), [], 0
+    while len(left):
+        new = np.bitwise_count(marks[left] ^ marks[now]).sum(axis=1)
+        closer = new < far[left]
+        far[left[closer]], near[left[closer]] = new[closer], now
+        at = int(np.argmin(far[left]))
+        now, left = int(left[at]), np.delete(left, at)
+        if far[now] <= apart:
+            found.append((int(near[now]), now))
+    return found
+
+
+def _blocks(start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Of the members of a bucket, BUCKET at a time; of more, each meets half a block before and behind it."""
+    for at in range(start, max(start + 1, end - BUCKET // 2), BUCKET // 2):
+        yield at, min(at + BUCKET, end)
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) of the nearest forest of each bucket, of rows (key, id, order) sorted by key; a bucket may span batches."""
+
+    def edges(key: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)])).tolist()
+        pairs = [(ids[at + i], ids[at + j]) for bucket in zip(cuts[:-1], cuts[1:]) for at, end in _blocks(*bucket)
+                 for i, j in nearest_forest(marks[at:end], APART)]
+        found = np.unique(np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1), axis=0)
+        return pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, PRINTS), np.uint64)]
+    for batch in released(batches):
+        came = [batch.column("key").to_numpy(), batch.column("id").to_numpy(),
+                batch.column("order").flatten().to_numpy().view(np.uint64).reshape(-1, PRINTS)]
+        held = [np.concatenate(both) for both in zip(held, came)]
+        last = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+        # Of the last bucket so far, its full blocks go on, and what the next block shares with them stays.
+        full = [at for at, end in _blocks(last, len(held[0])) if end - at == BUCKET]
+        done, keep = (full[-1] + BUCKET, full[-1] + BUCKET // 2) if full else (last, last)
+        if done:
+            yield edges(*(h[:done] for h in held))
+            held = [h[keep:] for h in held]
+    if len(held[0]):
+        yield edges(*held)
+
+
 def _candidates(distinct: DataFrame, stage: Stage) -> DataFrame:
-    """Edges (a, b) between texts (id, prints) that are within the radius in some print.
+    """Edges (a, b) between texts (id, prints, order) that share a bucket of some table.
 
-    All covering tables are one aggregate of a hash, a count and two ids, so most buckets, those
-    of two, need no second pass. Members of larger buckets are fetched and connected by a
-    spanning forest; texts of buckets too full for a task go through ``links``.
+    One shuffle brings the rows (key, id) of all tables together, and only buckets of two and
+    more are kept. Their members are connected by a minimum spanning forest over the
+    fingerprints of their shingles, so the edges of a large group stay in proportion to its
+    texts and are those that are most alike. A bucket of more than ``BUCKET`` texts is sorted by
+    more bits, differently in each table, and connected in blocks that overlap by half.
     """
-    masks = covering_masks(list(range(BITS)), PRINT_RADIUS)
-    first = F.array(*[F.lit(_signed(m)) for m in masks])
-    prints = distinct.select("id", F.posexplode("prints").alias("print", "fp"))
-    keyed = prints.withColumn("mask", F.explode(first)).withColumn("h", F.xxhash64("print", "mask", F.col("fp").bitwiseAND(F.col("mask"))))
-    met = stage("met", keyed.select("h", "id").groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("n > 1 and a < b"))
-    pairs = met.where("n = 2").select("a", "b").distinct()
-    near = F.exists(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= PRINT_RADIUS), lambda x: x)
-    own = distinct.select("id", "prints")
-    pairs = pairs.join(own.toDF("a", "pa"), "a").join(own.toDF("b", "pb"), "b").where(near).select("a", "b")
-    larger = met.where("n > 2").select("h", "n")
-    # A short list of buckets goes to the texts; a longer one meets them in a shuffled join.
-    larger = F.broadcast(larger) if larger.count() <= BROADCAST_BUCKETS else larger
-    members = stage("members", keyed.join(larger, "h").select("h", "n", "print", "id", "fp"))
-    # In order of ids, tables tend to hang texts on the same ones, and fewer different links are left.
-    groups = members.where(F.col("n") <= BUCKET).groupBy("h").agg(F.sort_array(F.collect_list(F.struct("id", "fp"))).alias("group"))
-    forest = groups.select(F.explode(_forest(PRINT_RADIUS)("group")).alias("e")).select("e.a", "e.b")
-    full = members.where(F.col("n") > BUCKET).groupBy("print", "fp").agg(F.min("id").alias("id"))
-    # Equal fingerprints are one in the tables of full buckets; the others hang on the first of them.
-    kin = members.where(F.col("n") > BUCKET).select("print", "fp", "id").distinct().join(full.toDF("print", "fp", "a"), ["print", "fp"]).where("id <> a")
-    edges = pairs.union(forest).union(kin.select("a", F.col("id").alias("b"))).union(links(full.select("print", "id", "fp"), stage, PRINT_RADIUS))
-    return stage("candidates", edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    parts, bucket = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), Window.partitionBy("key")
+    keyed = distinct.select("id", "prints").repartition(parts, "id").select("id", F.explode(_keys()("prints")).alias("key"))
+    met = keyed.repartition(parts, "key").withColumn("more", F.min("id").over(bucket) < F.max("id").over(bucket))
+    members = stage("members", met.where("more").select("key", "id").distinct())
+    own = members.join(distinct.select("id", "prints", "order"), "id").select("key", "id", "order", _rank()("key", "prints").alias("rank"))
+    edges = own.repartition(parts, "key").sortWithinPartitions("key", "rank", "id").mapInArrow(_forests, "a bigint, b bigint")
+    return stage("candidates", edges.where("a < b").distinct())
 
 
 def near_copies(documents: DataFrame, stage: Stage, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id), one row per row of ``documents`` (doc_id, text): documents whose shingle sets are similar.
 
     Similar are texts whose sets of word shingles have a cosine of at least ``similarity``; equal
-    sets are one. Candidates agree within ``PRINT_RADIUS`` bits in one of ``PRINTS`` fingerprints
-    of their sets of words, which near copies change less than their shingles; those of a
-    covering bucket are connected by a spanning forest, and each of its links is checked on the
-    shingle sets themselves. Two texts without a common word order are never joined; a pair that
-    no fingerprint brings together, or that only a link of a dissimilar third text connects, is missed.
+    sets are one. Candidates agree in all ``SAMPLED`` bits that one of ``TABLES`` tables reads of a
+    SimHash fingerprint of their sets of words, which near copies change less than their shingles;
+    those of a bucket are connected by a minimum spanning forest over SimHash fingerprints of their
+    shingles, and each of its links is checked on the shingle sets themselves. Two texts without a
+    common word order are never joined; a pair that no table brings together is missed, and so is
+    one close to the limit that only links of texts just below it connect.
     Blank and null texts have one set. A row without doc_id links nothing and has a null
     component. Other columns are ignored; an empty table gives an empty result.
     """
-    marks = stage("marks", documents.select("doc_id", _marks(shingle)("text").alias("m")).select("doc_id", "m.of", "m.prints"))
-    distinct = stage("sets", marks.where("doc_id is not null").groupBy("of").agg(F.min("doc_id").alias("id"), F.first("prints").alias("prints")))
+    marks = stage("marks", documents.select("doc_id", _marks(shingle)("text").alias("m")).select("doc_id", "m.*"))
+    distinct = stage("sets", marks.where("doc_id is not null").groupBy("of")
+                     .agg(F.min("doc_id").alias("id"), F.first("prints").alias("prints"), F.first("order").alias("order")))
     edges = _candidates(distinct, stage)
-    # Only the texts of candidates are read again.
-    ends = edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct()
+    # Only the texts of candidates are read again; a short list of them goes to every executor.
+    ends = stage("ends", edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct())
+    ends = F.broadcast(ends) if ends.count() <= BROADCAST_IDS else ends
     sets = stage("shingles", documents.select("doc_id", "text").join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
                  .select(F.col("doc_id").alias("id"), _shingle_set(shingle)("text").alias("s")))
     both = edges.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     alike = F.size(F.array_intersect("sa", "sb")) >= F.lit(similarity) * F.sqrt(F.size("sa").cast("double") * F.size("sb"))
-    joined = connected_components(stage("similar", both.where(alike).select("a", "b").distinct()), stage)
+    joined = connected_components(thinned(stage("similar", both.where(alike).select("a", "b").distinct())), stage)
     classes = distinct.join(joined, distinct.id == joined.node, "left").select("of", F.coalesce("component", "id").alias("component_id"))
     named = marks.join(classes, "of", "left")
     return named.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

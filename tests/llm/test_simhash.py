@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -146,3 +148,103 @@ def test_near_copies_odd_rows(spark):
     got = simhash.near_copies(frame, written(spark, "t")).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in got) == [(-1, -1), (3, 3), (4, 4), (5, 3), (5, 3), (6, 6), (7, 7), (8, 7), (9, 3)]
     assert simhash.near_copies(frame.limit(0), written(spark, "t")).count() == 0
+
+
+def changed(words, places, tag):
+    return " ".join(f"{tag}{i}" if i in places else w for i, w in enumerate(words))
+
+
+def grouped_of(spark, texts, stage=None):
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    return {r.doc_id: r.component_id for r in simhash.near_copies(frame, stage or written(spark, "t")).collect()}
+
+
+def test_a_large_group_of_near_copies_makes_few_edges(spark):
+    words, rng = [f"word{i}" for i in range(300)], random.Random(1)
+    texts = {i: changed(words, set(rng.sample(range(300), 6)), f"own{i}x") for i in range(500)}
+    folder, counts = written(spark, "t"), {}
+
+    def stage(step, frame):
+        out = folder(step, frame)
+        counts[step] = out.count()
+        return out
+
+    assert set(grouped_of(spark, texts, stage).values()) == {0}
+    # The star joins read no more edges than one forest for each task that checked links.
+    assert counts["edges"] < 8 * len(texts)
+
+
+def test_near_copies_close_to_the_limit(spark):
+    """Cosines of 0.80 to 0.82 by changes all over the text."""
+    rng, texts = random.Random(5), {}
+    for i in range(60):
+        words = [f"t{i}w{j}" for j in range(400)]
+        texts[2 * i] = " ".join(words)
+        texts[2 * i + 1] = changed(words, set(range(rng.randrange(14, 24), 400, 26)), f"new{i}x")
+    sets = {i: shingles(t) for i, t in texts.items()}
+    alike = [i for i in range(0, 120, 2) if len(sets[i] & sets[i + 1]) >= 0.8 * (len(sets[i]) * len(sets[i + 1])) ** .5]
+    found = grouped_of(spark, texts)
+    assert len(alike) == 60 and sum(found[i] == found[i + 1] for i in alike) >= 57
+
+
+def test_nearest_links_are_checked_first(spark):
+    """Text 0 has the words of 1 and 2 in another order: it is nearest by words, but like neither."""
+    rng = random.Random(3)
+    pairs = {}
+    for i in range(0, 90, 3):
+        words = [f"t{i}w{j}" for j in range(200)]
+        pairs[i + 1], pairs[i + 2] = " ".join(words), changed(words, {60, 140}, f"new{i}x")
+        pairs[i] = " ".join(rng.sample(words, 200))
+    found = grouped_of(spark, pairs)
+    assert found == {i: i + 1 if (i % 3) == 2 else i for i in pairs} | {i + 2: i + 1 for i in range(0, 90, 3)} | {i + 1: i + 1 for i in range(0, 90, 3)}
+
+
+@pytest.mark.parametrize("bucket", [2048, 20])
+def test_full_buckets_of_near_copies(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    words, rng = [f"word{i}" for i in range(300)], random.Random(2)
+    texts = {i: changed(words, set(rng.sample(range(300), 3)), f"own{i}x") for i in range(120)}
+    texts |= {i: " ".join(f"alone{i}x{j}" for j in range(50)) for i in range(120, 140)}
+    assert grouped_of(spark, texts) == {i: 0 if i < 120 else i for i in texts}
+
+
+def test_nearest_forest_connects_as_all_pairs_for_any_limit():
+    rng = random.Random(4)
+    for n in (1, 2, 3, 30):
+        marks = np.full((n, simhash.PRINTS), rng.getrandbits(64), np.uint64)
+        for row in marks:
+            for bit in rng.sample(range(512), rng.randrange(120)):
+                row[bit // 64] ^= np.uint64(1 << bit % 64)
+        apart = {(i, j): int(np.bitwise_count(marks[i] ^ marks[j]).sum()) for i, j in itertools.combinations(range(n), 2)}
+        forest = simhash.nearest_forest(marks, 154)
+
+        def grouped(pairs):
+            kin = list(range(n))
+            for i, j in pairs:
+                x, y = sorted((kin[i], kin[j]))
+                kin = [x if k == y else k for k in kin]
+            return kin
+
+        for limit in (154, 110, 60):
+            assert grouped(p for p in forest if apart[min(p), max(p)] <= limit) == grouped(p for p, d in apart.items() if d <= limit)
+
+
+def test_forests_go_on_over_batches():
+    rng = np.random.default_rng(0)
+    key, ids = np.array([1, 1, 2, 2, 2, 2, 7, 7]), np.arange(8)
+    marks = np.repeat(rng.integers(0, 2 ** 62, (8, 1)), simhash.PRINTS, 1)
+    marks[1], marks[3:6], marks[7] = marks[0], marks[2], marks[6]
+    rows = pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids), pa.array(marks.tolist(), pa.list_(pa.int64()))], ["key", "id", "order"])
+    whole, cut = ({(r["a"], r["b"]) for out in simhash._forests(rows.slice(at, size) for at in range(0, 8, size)) for r in out.to_pylist()} for size in (8, 3))
+    assert whole == cut and len(whole) == 5
+    assert not list(simhash._forests(iter([])))
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 100])
+def test_blocks_of_a_full_bucket_overlap(monkeypatch, size):
+    monkeypatch.setattr(simhash, "BUCKET", 8)
+    marks = np.array([[(1 << i) - 1] * simhash.PRINTS for i in range(50)], np.int64)  # 8 bits apart from one to the next
+    rows = pa.RecordBatch.from_arrays([pa.array(np.full(50, 3)), pa.array(np.arange(50)), pa.array(marks.tolist(), pa.list_(pa.int64()))],
+                                      ["key", "id", "order"])
+    found = {(r["a"], r["b"]) for out in simhash._forests(rows.slice(at, size) for at in range(0, 50, size)) for r in out.to_pylist()}
+    assert found == {(i, i + 1) for i in range(49)}
