@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -168,6 +169,7 @@ PRINTS, TABLES, SAMPLED = 8, 192, 32
 #: Of the bits of a text's shingles. At a cosine of 0.8 about 105 of 512 differ, with a deviation of 9.
 APART = 154
 BROADCAST_IDS = 1_000_000  # 8 bytes each
+BLOCK, TEXTS, COLUMNS = 1 << 18, 1024, 1 << 21
 
 
 def _spread(hashes: np.ndarray) -> np.ndarray:
@@ -241,21 +243,6 @@ def _keys():
     return F.arrow_udf(keyed, "array<bigint>")
 
 
-def _rank():
-    """Of a bucket and a wide fingerprint in it, 64 more of its bits in the order of the table: near ones are often neighbours."""
-    places = _places(BITS, SEED + 1)
-
-    def ranked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for key, prints in batches:
-            marks, table, out = prints.flatten().to_numpy().reshape(-1, PRINTS), key.to_numpy() >> SAMPLED, [np.empty(0, np.int64)]
-            for at in range(0, len(marks), 1024):
-                bits = np.take_along_axis(_bits(marks[at:at + 1024]), places[table[at:at + 1024]], axis=1)
-                out.append(np.packbits(bits, axis=1).view(">i8")[:, 0].astype(np.int64))
-            yield pa.array(np.concatenate(out))
-
-    return F.arrow_udf(ranked, T.LongType())
-
-
 def nearest_forest(marks: np.ndarray, apart: int) -> list[tuple[int, int]]:
     """A minimum spanning forest of fingerprints (rows) at most ``apart`` bits apart, as pairs of places.
 
@@ -306,49 +293,107 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield edges(*held)
 
 
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """(key, id) of buckets fuller than ``BUCKET``: dealt into blocks of half of it, each two blocks under a key of their own."""
+    blocks = F.ceil(F.col("size") / F.lit(max(1, BUCKET // 2)))
+    dealt = members.withColumn("block", F.pmod(F.row_number().over(Window.partitionBy("key").orderBy("id")).cast("bigint"), blocks))
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))) \
+        .select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "id")
+
+
 def _candidates(distinct: DataFrame, stage: Stage) -> DataFrame:
     """Edges (a, b) between texts (id, prints, order) that share a bucket of some table.
 
     One shuffle brings the rows (key, id) of all tables together, and only buckets of two and
     more are kept. Their members are connected by a minimum spanning forest over the
     fingerprints of their shingles, so the edges of a large group stay in proportion to its
-    texts and are those that are most alike. A bucket of more than ``BUCKET`` texts is sorted by
-    more bits, differently in each table, and connected in blocks that overlap by half.
+    texts. It connects all that differ in at most ``APART`` bits; of a bucket of more than
+    ``BUCKET`` texts, every two blocks are connected in a group of their own.
     """
     parts, bucket = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), Window.partitionBy("key")
     keyed = distinct.select("id", "prints").repartition(parts, "id").select("id", F.explode(_keys()("prints")).alias("key"))
-    met = keyed.repartition(parts, "key").withColumn("more", F.min("id").over(bucket) < F.max("id").over(bucket))
-    members = stage("members", met.where("more").select("key", "id").distinct())
-    own = members.join(distinct.select("id", "prints", "order"), "id").select("key", "id", "order", _rank()("key", "prints").alias("rank"))
-    edges = own.repartition(parts, "key").sortWithinPartitions("key", "rank", "id").mapInArrow(_forests, "a bigint, b bigint")
+    met = keyed.repartition(parts, "key").withColumns({"more": F.min("id").over(bucket) < F.max("id").over(bucket), "size": F.count("*").over(bucket)})
+    members = stage("members", met.where("more").select("key", "id", "size").distinct())
+    rows = members.where(F.col("size") <= BUCKET).select("key", "id").unionByName(_in_blocks(members.where(F.col("size") > BUCKET)))
+    own = rows.join(distinct.select("id", "order"), "id").select("key", "id", "order")
+    edges = own.repartition(parts, "key").sortWithinPartitions("key", "id").mapInArrow(_forests, "a bigint, b bigint")
     return stage("candidates", edges.where("a < b").distinct())
 
 
+def _links(similarity: float):
+    def linked(group: pa.Table) -> pa.Table:
+        """Of rows (group, one, two, block, id, s): a spanning forest of the pairs alike between blocks ``one`` and ``two``, or within one."""
+        one, two, block, ids = (group.column(c).to_numpy() for c in ("one", "two", "block", "id"))
+        lists = group.column("s").combine_chunks()
+        size, flat = pc.list_value_length(lists).to_numpy(), lists.flatten().to_numpy()
+        left, right = np.flatnonzero(block == one[0]), np.flatnonzero(block == two[0])
+        value, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(ids)), size)
+        # Only shingles of two texts count; a column for each, some at a time.
+        shared = np.cumsum(times > 1) - 1
+        seen = times[column] > 1
+        owner, column = owner[seen], shared[column[seen]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        common, step = np.zeros((len(left), len(right)), np.float32), max(1, COLUMNS // len(ids))
+        for at in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+            here = slice(*np.searchsorted(column, [at, at + step]))
+            x = np.zeros((len(ids), step), np.float32)
+            x[owner[here], column[here] - at] = 1
+            common += x[left] @ x[right].T
+        alike = (common > 0) & (common >= similarity * np.sqrt(size[left, None].astype(float) * size[right]))
+        kin, found = np.arange(len(ids)), []
+        for i, row in zip(left.tolist(), alike):
+            near = right[row]
+            near = near[kin[near] != kin[i]]
+            if len(near):
+                met, first = np.unique(kin[near], return_index=True)
+                found += [(ids[i], ids[j]) for j in near[first].tolist() if ids[i] != ids[j]]
+                kin[np.isin(kin, met)] = kin[i]
+        pairs = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return linked
+
+
+def _alike(sets: DataFrame, groups: DataFrame, stage: Stage, similarity: float) -> DataFrame:
+    """Edges (a, b) that connect the texts (id, s) of each group (node, component) as all pairs with that cosine do.
+
+    Every text of a group is compared with every other one on the shingle sets. A large group is
+    dealt into blocks by id, and each two blocks meet in a task of their own: a task holds about
+    two times ``BLOCK`` shingles and twice ``TEXTS`` texts, however large the group is.
+    """
+    held = sets.join(groups.toDF("id", "group"), "id")
+    sizes = held.groupBy("group").agg(F.ceil(F.greatest(F.sum(F.size("s")) / BLOCK, F.count("*") / TEXTS, F.lit(1))).cast("bigint").alias("blocks"))
+    dealt = held.join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("id"), "blocks")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))) \
+        .select("group", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "id", "s")
+    return stage("similar", dealt.groupBy("group", "one", "two").applyInArrow(_links(similarity), "a bigint, b bigint").distinct())
+
+
 def near_copies(documents: DataFrame, stage: Stage, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id), one row per row of ``documents`` (doc_id, text): documents whose shingle sets are similar.
 
     Similar are texts whose sets of word shingles have a cosine of at least ``similarity``; equal
     sets are one. Candidates agree in all ``SAMPLED`` bits that one of ``TABLES`` tables reads of a
-    SimHash fingerprint of their sets of words, which near copies change less than their shingles;
-    those of a bucket are connected by a minimum spanning forest over SimHash fingerprints of their
-    shingles, and each of its links is checked on the shingle sets themselves. Two texts without a
-    common word order are never joined; a pair that no table brings together is missed, and so is
-    one close to the limit that only links of texts just below it connect.
+    SimHash fingerprint of their sets of words, which near copies change less than their shingles.
+    Those of a bucket, however full, that differ in at most ``APART`` bits of SimHash fingerprints of
+    their shingles form a group, and within a group every pair is checked on the shingle sets
+    themselves. Two texts without a common word order are never joined; a pair is missed only if
+    neither a table nor a chain of candidates brings it together.
     Blank and null texts have one set. A row without doc_id links nothing and has a null
     component. Other columns are ignored; an empty table gives an empty result.
     """
     marks = stage("marks", documents.select("doc_id", _marks(shingle)("text").alias("m")).select("doc_id", "m.*"))
     distinct = stage("sets", marks.where("doc_id is not null").groupBy("of")
                      .agg(F.min("doc_id").alias("id"), F.first("prints").alias("prints"), F.first("order").alias("order")))
-    edges = _candidates(distinct, stage)
+    groups = stage("groups", connected_components(thinned(_candidates(distinct, stage)), stage))
     # Only the texts of candidates are read again; a short list of them goes to every executor.
-    ends = stage("ends", edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct())
-    ends = F.broadcast(ends) if ends.count() <= BROADCAST_IDS else ends
+    ends = groups.select(F.col("node").alias("doc_id"))
+    ends = F.broadcast(ends) if groups.count() <= BROADCAST_IDS else ends
     sets = stage("shingles", documents.select("doc_id", "text").join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
                  .select(F.col("doc_id").alias("id"), _shingle_set(shingle)("text").alias("s")))
-    both = edges.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    alike = F.size(F.array_intersect("sa", "sb")) >= F.lit(similarity) * F.sqrt(F.size("sa").cast("double") * F.size("sb"))
-    joined = connected_components(thinned(stage("similar", both.where(alike).select("a", "b").distinct())), stage)
+    joined = connected_components(thinned(_alike(sets, groups, stage, similarity)), stage)
     classes = distinct.join(joined, distinct.id == joined.node, "left").select("of", F.coalesce("component", "id").alias("component_id"))
     named = marks.join(classes, "of", "left")
     return named.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

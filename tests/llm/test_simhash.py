@@ -248,3 +248,56 @@ def test_blocks_of_a_full_bucket_overlap(monkeypatch, size):
                                       ["key", "id", "order"])
     found = {(r["a"], r["b"]) for out in simhash._forests(rows.slice(at, size) for at in range(0, 50, size)) for r in out.to_pylist()}
     assert found == {(i, i + 1) for i in range(49)}
+
+
+def swapped(words, places):
+    out = list(words)
+    for p in places:
+        out[p], out[p + 1] = out[p + 1], out[p]
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("bucket", [2048, 2])
+def test_a_failed_link_hides_no_other(spark, monkeypatch, bucket):
+    """Three texts with one set of words, all in one bucket of each table: 0 and 1 are alike, 2 is just below the limit to both."""
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    texts = {}
+    for i in range(0, 120, 3):
+        words, places = [f"t{i}w{j}" for j in range(400)], list(range(10, 400, 18))
+        texts[i], texts[i + 1], texts[i + 2] = (swapped(words, places[at:end]) for at, end in ((0, 6), (6, 13), (13, 21)))
+    sets = {i: shingles(t) for i, t in texts.items()}
+    near = {(i % 3, j % 3) for i, j in itertools.combinations(texts, 2) if len(sets[i] & sets[j]) >= 0.8 * (len(sets[i]) * len(sets[j])) ** .5}
+    assert near == {(0, 1)}
+    assert grouped_of(spark, texts) == {i: i - (i % 3 == 1) for i in texts}
+
+
+@pytest.mark.parametrize("block, texts", [(1 << 18, 1024), (60, 1024), (1 << 18, 3)])
+def test_links_of_a_group_as_brute_force(spark, monkeypatch, block, texts):
+    """Whatever the blocks; repeated ids link what each of their texts links, an empty set links nothing."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "TEXTS", texts)
+    rng, rows = random.Random(6), [(90, []), (91, []), (5, [1, 2, 3])]
+    for i in range(30):
+        base = rows[-1][1] if i % 4 else [rng.randrange(-2 ** 63, 2 ** 63) for _ in range(rng.choice([5, 20, 40]))]
+        rows.append((i, sorted({x for x in base if rng.random() > 0.08} | {rng.randrange(10 ** 6) for _ in range(rng.choice([0, 1, 2]))})))
+    sets = spark.createDataFrame(rows, "id bigint, s array<bigint>")
+    groups = spark.createDataFrame([(i, i % 2) for i in {r[0] for r in rows}], "node bigint, component bigint")
+    want, kin = {i: {i} for i, _ in rows}, {i: i for i, _ in rows}
+    for (i, s), (j, t) in itertools.combinations(rows, 2):
+        both = len(set(s) & set(t))
+        if i % 2 == j % 2 and both and both >= 0.8 * (len(s) * len(t)) ** .5:
+            old, new = max(kin[i], kin[j]), min(kin[i], kin[j])
+            kin = {x: new if c == old else c for x, c in kin.items()}
+    stage = written(spark, "t")
+    found = {r.node: r.component for r in simhash.connected_components(simhash._alike(sets, groups, stage, 0.8), stage).collect()}
+    assert {i: found.get(i, i) for i in kin} == kin and len(set(kin.values())) < len(kin) - 10
+
+
+def test_every_two_texts_of_a_full_bucket_share_a_group(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET", 6)
+    members = spark.createDataFrame([(7, i, 20) for i in range(20)] + [(8, i, 9) for i in range(9)], "key bigint, id bigint, size bigint")
+    groups = {}
+    for r in simhash._in_blocks(members).collect():
+        groups.setdefault(r.key, set()).add(r.id)
+    pairs = {p for g in groups.values() for p in itertools.combinations(sorted(g), 2)}
+    assert pairs == set(itertools.combinations(range(20), 2)) and max(map(len, groups.values())) <= 6
