@@ -32,22 +32,31 @@ def instant(column: Column, is_text: bool = True) -> Column:
     if not is_text:
         return column.cast("timestamp_ntz")
     text = F.trim(column)
-    layout = F.lit(None).cast("string")
-    for shape, pattern in reversed(DATE_LAYOUTS):
-        layout = F.when(text.rlike(shape), pattern).otherwise(layout)
+    layout = F
+    for shape, pattern in DATE_LAYOUTS:
+        layout = layout.when(text.rlike(shape), pattern)
     # ISO text never reaches the layouts; text of no known shape has a NULL layout and stays NULL.
     return F.coalesce(text.try_cast("timestamp_ntz"), F.try_to_timestamp(text, layout).cast("timestamp_ntz"))
 
 
+# Every text that a cast takes for a number has this form: no names, identifiers, dates, times or phone numbers.
+NUMERIC_FORM = r"(?s)^[\x00-\x20\x7f]*[+-]?(?:(?i:inf|nan).*|[\p{Nd}.][^-:]*+(?:(?<=[eEpP])-[^-:]*+)*+)$"
+
+
+def _numeric(column: Column, value: Column) -> Column:
+    """The value of a cast, tried only where it can succeed: a failing one costs an exception for each row."""
+    return F.when(column.cast("string").rlike(NUMERIC_FORM), value)
+
+
 def number(column: Column) -> Column:
     """DOUBLE, with NaN as NULL."""
-    value = column.try_cast("double")
+    value = _numeric(column, column.try_cast("double"))
     return F.when(~F.isnan(value), value)
 
 
 def amount(column: Column, kind: str = "decimal(38,10)") -> Column:
     """Exact decimal; also accepts exponent notation through DOUBLE."""
-    return F.coalesce(column.try_cast(kind), column.try_cast("double").try_cast(kind))
+    return _numeric(column, F.coalesce(column.try_cast(kind), column.try_cast("double").try_cast(kind)))
 
 
 def exact_amount(column: Column, kind: str, label: str) -> Column:
@@ -55,7 +64,7 @@ def exact_amount(column: Column, kind: str, label: str) -> Column:
 
     Text that is no finite number is NULL. Fractions beyond the kind's scale are rounded.
     """
-    seen = column.try_cast("double")
+    seen = _numeric(column, column.try_cast("double"))
     real = seen.isNotNull() & ~F.isnan(seen) & (F.abs(seen) != float("inf"))
     narrow = amount(column, "decimal(38,10)").try_cast(kind)
     problem = F.concat(F.lit(f"{label} holds a number outside {kind}: "), column.cast("string"))

@@ -90,14 +90,16 @@ def _column_profile(name: str, frame: DataFrame, approximate: bool) -> DataFrame
     order = F.array(*[F.lit(c) for c in frame.columns])
     counts = _value_counts(frame)
     value, n, is_date = F.col("value"), F.col("n"), F.col("column").isin(*dates) if dates else F.lit(False)
-    as_number, as_day = amount(value), F.when(is_date, instant(value))
-    present = value.isNotNull()
+    present, as_number, as_day = value.isNotNull(), F.col("as_number"), F.col("as_day")
     weighted = F.sum(as_number * n)
-    stats = counts.groupBy("column").agg(
+    # Each distinct value is parsed once.
+    parsed = counts.select("column", "value", "n", amount(value).alias("as_number"), number(value).isNull().alias("word"),
+                           F.when(is_date, instant(value)).alias("as_day"))
+    stats = parsed.groupBy("column").agg(
         F.sum("n").alias("row_count"),
         F.coalesce(F.sum(F.when(~present, n)), F.lit(0)).alias("null_count"),
         (F.approx_count_distinct("value") if approximate else F.count("value")).alias("unique_count"),
-        F.count_if(present & number(value).isNull()).alias("words"),
+        F.count_if(present & F.col("word")).alias("words"),
         F.count_if(present & ~F.lower(value).isin("true", "false")).alias("not_flags"),
         F.count_if(present & (as_number % 1 != 0)).alias("fractions"),
         F.min(as_number).alias("low"), F.max(as_number).alias("high"),
@@ -253,13 +255,16 @@ PROBLEM = ("dataset", "check", "example", "n")
 
 def _row_problems(name: str, frame: DataFrame, checks: list[RowCheck]) -> DataFrame:
     """Broken rules as (dataset, check, example, n): one pass, only failing rows are exploded."""
-    found = F.filter(F.array(*[
+    found = F.array(*[
         F.when(k.broken, F.struct(F.lit(k.check).alias("check"),
                                   (k.example.cast("string") if k.example is not None else F.lit(None).cast("string"))
                                   .alias("example")))
         for k in checks
-    ]), lambda x: x.isNotNull())
-    return frame.select(F.explode(found).alias("p")).groupBy(
+    ])
+    # Compiled expressions only: a lambda over the array has every rule interpreted row by row, and a chain of ORs
+    # becomes one method too large to compile, which the greatest of many flags is not.
+    flags = [F.coalesce(k.broken, F.lit(False)) for k in checks]
+    return frame.where(F.greatest(*flags) if len(flags) > 1 else flags[0]).select(F.explode(found).alias("p")).where(F.col("p").isNotNull()).groupBy(
         F.lit(name).alias("dataset"), F.col("p.check").alias("check"), F.col("p.example").alias("example")
     ).agg(F.count("*").alias("n"))
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forecourt.contracts import DATASETS
+from forecourt.functions import parsing
 from forecourt.functions.keys import snapshot_key, surrogate_key
 from forecourt.operators import clean, profile
 from forecourt.sources import files
@@ -70,3 +71,32 @@ def test_lost_rows_between_source_and_staging_stop_the_load(sample):
     files.require_staged_rows(counts, sample)
     with pytest.raises(files.SourceError, match="sales 50 / 49"):
         files.require_staged_rows(counts, {**sample, "sales": sample["sales"].limit(49)})
+
+
+def test_numbers_are_tried_only_where_a_cast_can_succeed(spark):
+    """The guard changes no result: every text that a cast takes passes it; names, dates, times and phone numbers do not."""
+    texts = ["1", " 1.5 ", "-2", "+3", ".5", "5.", "1e-3", "1E+3", "-1.5e-07", "0x1p-3", "1d", "2.5F", "inf", "-Infinity", "NaN", "\t7\n", "00123",
+             "", " ", None, "x", "INV000001", "Name", "1996-01-02", "12:30:00", "555-0123", "1-2", "1e5-", "--1", "1 2", "1,000", "infant", "e5", "-", "१२", "1" * 20_000 + "-", "9-" * 9_000]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.col("t").try_cast("double")
+    exact = F.coalesce(F.col("t").try_cast("decimal(38,10)"), F.col("t").try_cast("double").try_cast("decimal(38,10)"))
+    rows = frame.select("t", parsing.number(F.col("t")).alias("n"), F.when(~F.isnan(plain), plain).alias("n0"),
+                        parsing.amount(F.col("t")).alias("a"), exact.alias("a0"), F.col("t").rlike(parsing.NUMERIC_FORM).alias("tried")).collect()
+    assert [r.t for r in rows if r.n != r.n0 or r.a != r.a0] == [] and sum(r.n is not None for r in rows) >= 15
+    assert not any(r.tried for r in rows if r.t in ("INV000001", "Name", "1996-01-02", "12:30:00", "555-0123"))
+
+
+def test_row_rules_are_compiled(spark, sample):
+    """No lambda over the rules, which Spark would interpret for every row."""
+    frame, contract = sample["inventory"], DATASETS["inventory"]
+    plan = profile._row_problems("inventory", frame, profile._row_checks(contract, frame))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+
+
+def test_profile_parses_its_files_once(spark, sample, tmp_path, monkeypatch):
+    files.write_datasets({n: sample[n] for n in DATASETS}, str(tmp_path / "in"))
+    seen, real = [], files.validation_report
+    monkeypatch.setattr(files, "validation_report", lambda datasets: seen.append(datasets) or real(datasets))
+    files.profile_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert len(seen[0]) == len(DATASETS)
+    assert all("/stages-" in f.inputFiles()[0] for f in seen[0].values())
