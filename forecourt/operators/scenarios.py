@@ -15,6 +15,8 @@ from forecourt.functions.numeric import TOTAL, fraction
 from forecourt.operators.measures import KPI_VECTOR, NO_FILTER, FilterContext, _by_date, _by_dealership, _matches
 from forecourt.operators.scoring import pass_fail, union_all
 from forecourt.plans.model import SemanticModel
+from forecourt.plans.warehouse import Planned
+from forecourt.sources.store import written_stages
 
 # KPI tolerances (counts exact, money one cent, ratios 1e-8).
 COUNT_KPIS = ("units_sold", "inventory_units", "slow_moving_vehicles", "service_orders", "customers",
@@ -257,8 +259,12 @@ def _as_of_months(months: DataFrame, monthly: DataFrame, snapshots: DataFrame) -
 
 
 def facts_model(w) -> SemanticModel:
-    """Model tables taken from the star schema instead of the detail views, for cross-checking."""
-    c = F.col
+    """Model tables taken from the star schema instead of the detail views, for cross-checking.
+
+    With a store, the columns that are read of a fact are written once; nothing wide is.
+    """
+    c, spark = F.col, w.store and w.store.spark
+    w = Planned(w) if spark else w
     cars = w.table("dim_vehicle").select(
         "vehicle_key", c("make").alias("brand"), "model", "model_year", c("body_type").alias("vehicle_type"))
     sold = w.table("fact_sales").where(c("sale_status").isin(*RECOGNISED_SALES)).select(
@@ -273,16 +279,15 @@ def facts_model(w) -> SemanticModel:
     visits = w.table("service_detail").select(
         "appointment_id", "appointment_date_key", "customer_key", "vehicle_key", "dealership_key",
         "completed_appointment_count", "completion_eligible_count")
+    facts = {"fact_sales": sold, "fact_inventory": stock, "fact_service": visits.join(orders, "appointment_id", "left")}
     return SemanticModel({
         "dim_vehicle": cars,
         "dim_customer": w.table("dim_customer"),
         "dim_dealership": w.table("dim_dealership"),
-        "fact_sales": sold,
-        "fact_inventory": stock,
-        "fact_service": visits.join(orders, "appointment_id", "left"),
-    })
+        **{name: lambda frame=frame: frame for name, frame in facts.items()},
+    }, written_stages(spark) if spark else None, tuple(facts) if spark else ())
 
 
 def scenario_comparison(w) -> DataFrame:
     """KPIs of every scenario from the detail views against the same KPIs from the facts."""
-    return compare_kpis(scenario_kpis(SemanticModel.of(w)), scenario_kpis(facts_model(w)), ("scenario",))
+    return compare_kpis(scenario_kpis(SemanticModel.planned(w)), scenario_kpis(facts_model(w)), ("scenario",))

@@ -16,6 +16,7 @@ from forecourt.operators.keysets import Link, Stage, dangling
 from forecourt.operators.reconcile import event_bounds
 from forecourt.plans import inventory, narrow, sales, service
 from forecourt.plans.sales import full_name
+from forecourt.plans.warehouse import Planned
 from forecourt.sources.store import written_stages
 
 VEHICLE_LABELS = ("brand", "model", "model_year", "vehicle_type")
@@ -141,6 +142,11 @@ def _narrow(w, name: str) -> DataFrame:
     return (rows.withColumns(_event_keys()) if name == "fact_service" else rows).select(*FACT_COLUMNS[name])
 
 
+def exported(w) -> dict[str, DataFrame]:
+    """All model tables for one writing each; facts without their detail views, where those would add nothing but attributes."""
+    return {name: _narrow(w, name) if name in FACT_COLUMNS and narrow.suffices(w, name) else model_table(w, name) for name in TABLES}
+
+
 def model_table(w, name: str) -> DataFrame:
     """One exported model table (facts without the vehicle labels used for filtering)."""
     frame = TABLES[name](w)
@@ -169,6 +175,14 @@ class SemanticModel:
         tables = {name: partial(build, w) for name, build in TABLES.items()}
         return cls({**tables, **bare}, written_stages(w.store.spark) if bare else None, tuple(bare))
 
+    @classmethod
+    def planned(cls, w) -> SemanticModel:
+        """The model over its detail views; of a view that isn't there yet, the columns that ``read_once`` is asked for are joined and written."""
+        if w.store is None:
+            return cls.of(w)
+        missing = tuple(name for name, detail in narrow.DETAIL_OF.items() if not w.has(detail))
+        return cls({name: partial(build, Planned(w)) for name, build in TABLES.items()}, written_stages(w.store.spark), missing)
+
     def rows(self, name: str) -> DataFrame:
         """A fact, possibly without labels; their join with unique, resolved keys changes no rows."""
         return self._sources[name]() if name in self._bare else self.table(name)

@@ -339,7 +339,7 @@ class Files:
 
     @cached_property
     def model(self) -> dict[str, str]:
-        return files.export_model({n: model.model_table(self.w, n) for n in model.TABLES}, f"{self.root}/model")
+        return files.export_model(model.exported(self.w), f"{self.root}/model")
 
     @cached_property
     def staged(self) -> dict[str, DataFrame]:

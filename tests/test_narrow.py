@@ -66,3 +66,13 @@ def test_repeated_dimension_keys_are_joined(spark, tmp_path):
     w = fresh(spark, tmp_path, vehicles=lambda f: f.unionByName(f.limit(3)))
     assert not any(narrow.suffices(w, name) for name in model.FACT_COLUMNS)
     assert rows(model.grain_errors(SemanticModel.narrow(w))) == rows(model.grain_errors(SemanticModel.of(w)))
+
+
+@pytest.mark.parametrize("changed", [{}, ODD], ids=["sound", "odd"])
+def test_comparison_and_export_build_no_detail(spark, tmp_path, changed):
+    w = fresh(spark, tmp_path, **changed)
+    compared, exported = rows(scenarios.scenario_comparison(w)), {name: rows(frame) for name, frame in model.exported(w).items()}
+    assert not any(w.has(name) for name in (*DETAILS, "fact_sales", "fact_inventory"))
+    assert exported == {name: rows(model.model_table(w, name)) for name in model.TABLES}
+    assert all(w.has(name) for name in DETAILS)
+    assert compared == rows(scenarios.scenario_comparison(w)) and len(compared) > 0
